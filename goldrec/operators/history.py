@@ -80,8 +80,13 @@ def education_items_from(it: DataFrame, col: str = "item") -> DataFrame:
 
 
 def dedup_items(items: DataFrame) -> DataFrame:
-    """First item per (entity, k1, k2) in order (partial aggregation, no window)."""
-    return items.groupBy("entity_key", "k1", "k2").agg(F.min_by("item", "o").alias("item"), F.min("o").alias("o"))
+    """First item per (entity, k1, k2) in order (partial aggregation, no window).
+
+    The item itself breaks ties of the order key, so the survivor is deterministic.
+    """
+    return items.groupBy("entity_key", "k1", "k2").agg(
+        F.min_by("item", F.struct("o", "item")).alias("item"), F.min("o").alias("o")
+    )
 
 
 def dedup_collect(items: DataFrame, name: str) -> DataFrame:

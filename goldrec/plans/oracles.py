@@ -462,7 +462,8 @@ def oracle_history_dedup() -> str:
 n AS (SELECT entity_key, source_rank, record_id, pos, nullif({comp}, '') AS company, lower({comp}) AS k1,
       nullif({strip("COALESCE(title, '')")}, '') AS title, {date_sql('start_raw')} AS start, {date_sql('end_raw')} AS "end" FROM it)
 SELECT entity_key, company, title, start, "end" FROM (
-  SELECT *, row_number() OVER (PARTITION BY entity_key, k1, start ORDER BY source_rank, record_id, pos) AS rn FROM n) WHERE rn = 1"""
+  SELECT *, row_number() OVER (PARTITION BY entity_key, k1, start ORDER BY source_rank, record_id, pos,
+    company NULLS FIRST, title NULLS FIRST, start NULLS FIRST, "end" NULLS FIRST) AS rn FROM n) WHERE rn = 1"""
 
 
 def oracle_education_dedup() -> str:
@@ -472,7 +473,8 @@ n AS (SELECT entity_key, source_rank, record_id, pos, nullif({inst}, '') AS inst
       lower({inst}) AS k1, lower({deg}) AS k2, nullif({strip("COALESCE(field, '')")}, '') AS field,
       COALESCE({year_sql('end_year_raw')}, TRY_CAST({strip('end_year_raw')} AS INTEGER)) AS end_year FROM it)
 SELECT entity_key, institution, degree, field, end_year FROM (
-  SELECT *, row_number() OVER (PARTITION BY entity_key, k1, k2 ORDER BY source_rank, record_id, pos) AS rn FROM n) WHERE rn = 1"""
+  SELECT *, row_number() OVER (PARTITION BY entity_key, k1, k2 ORDER BY source_rank, record_id, pos,
+    institution NULLS FIRST, degree NULLS FIRST, field NULLS FIRST, end_year NULLS FIRST) AS rn FROM n) WHERE rn = 1"""
 
 
 ORACLES = {
