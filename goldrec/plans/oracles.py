@@ -494,3 +494,42 @@ ORACLES = {
     "history_dedup": oracle_history_dedup,
     "education_dedup": oracle_education_dedup,
 }
+
+
+def oracle_projected_contact() -> str:
+    loc = location_sql("lr")
+    return f"""WITH {winners_cte()},
+e AS ({_list_items('emails', f"lower({strip('raw')})")}),
+p AS ({_list_items('phones', phone_sql('raw'))}),
+fe AS (SELECT entity_key, arg_min(v, (source_rank, record_id, pos)) AS primary_email FROM e GROUP BY entity_key),
+fp AS (SELECT entity_key, arg_min(v, (source_rank, record_id, pos)) AS phone FROM p GROUP BY entity_key),
+w AS (SELECT entity_key,
+        max(CASE WHEN field = 'full_name' THEN value END) AS full_name,
+        max(CASE WHEN field = 'headline' THEN value END) AS headline,
+        max(CASE WHEN field = 'years_experience' THEN value END) AS yv,
+        max(CASE WHEN field = 'location_raw' THEN value END) AS lr,
+        max(CASE WHEN field = 'city' THEN value END) AS cw,
+        max(CASE WHEN field = 'country' THEN value END) AS kw
+      FROM winners GROUP BY entity_key),
+ents AS (SELECT DISTINCT entity_key FROM keyed)
+SELECT ents.entity_key, w.full_name, fe.primary_email, {phone_sql('fp.phone')} AS phone, w.headline,
+  TRY_CAST(w.yv AS DOUBLE) AS years_experience,
+  CASE WHEN w.lr IS NOT NULL AND w.lr <> '' THEN (CASE WHEN w.kw IS NOT NULL AND w.kw <> '' THEN {country_sql('w.kw')} ELSE {loc['country']} END)
+       WHEN (w.cw IS NOT NULL AND w.cw <> '') OR (w.kw IS NOT NULL AND w.kw <> '') THEN (CASE WHEN w.kw <> '' THEN {country_sql('w.kw')} END)
+  END AS location
+FROM ents LEFT JOIN w USING (entity_key) LEFT JOIN fe USING (entity_key) LEFT JOIN fp USING (entity_key)"""
+
+
+def oracle_violations_report() -> str:
+    key = "'customer' || c_custkey || '@example.com'"
+    none = "None is not of type ''{t}''"
+    return f"""SELECT {key} AS entity_key, 'overall_confidence' AS path, '1.5 is greater than the maximum of 1' AS message FROM customer WHERE c_custkey % 11 = 0
+UNION ALL SELECT {key}, 'candidate_id', '{none.format(t="string")}' FROM customer WHERE c_custkey % 13 = 0
+UNION ALL SELECT {key}, 'emails.0', '{none.format(t="string")}' FROM customer WHERE c_custkey % 17 = 0
+UNION ALL SELECT {key}, 'provenance.0.field', '{none.format(t="string")}' FROM customer WHERE c_custkey % 19 = 0"""
+
+
+ORACLES.update({
+    "projected_contact": oracle_projected_contact,
+    "violations_report": oracle_violations_report,
+})
