@@ -533,3 +533,19 @@ ORACLES.update({
     "projected_contact": oracle_projected_contact,
     "violations_report": oracle_violations_report,
 })
+
+
+def oracle_events_winner() -> str:
+    return """WITH claims AS (
+  SELECT 'user' || user_id AS entity_key, json_extract_string(props, '$.k') AS value, event_type AS source,
+         CAST(0.5 AS DOUBLE) * CAST(0.5 AS DOUBLE) AS score, 5 AS source_rank, 'ev-' || event_id AS record_id
+  FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL),
+pv AS (SELECT *, count(*) OVER (PARTITION BY entity_key, value) AS agree,
+              row_number() OVER (PARTITION BY entity_key, value ORDER BY score DESC, source_rank, record_id) AS rn FROM claims),
+best AS (SELECT * FROM pv WHERE rn = 1)
+SELECT entity_key, value AS k, source, agree, record_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY score DESC, agree DESC, source_rank, record_id) AS wr FROM best)
+WHERE wr = 1"""
+
+
+ORACLES["events_winner"] = oracle_events_winner

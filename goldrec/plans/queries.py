@@ -363,3 +363,26 @@ QUERIES.update({
     "projected_custom": projected_custom,
     "violations_report": violations_report,
 })
+
+
+def events_winner(spark, sf_dir):
+    """G2/W1 on ``events``: per user, the prevailing ``props.k`` across event records.
+
+    Event types act as sources of equal (default) weight, so the majority of
+    agreeing records decides, then the smallest record id.
+    """
+    from goldrec.schemas import fields_struct
+
+    ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    keyed = ev.select(
+        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("entity_key"),
+        F.concat(F.lit("ev-"), F.col("event_id").cast("string")).alias("record_id"),
+        F.col("event_type").alias("source"),
+        F.lit(None).cast("double").alias("extraction_confidence"),
+        fields_struct(headline=F.get_json_object("props", "$.k")).alias("fields"),
+    )
+    w = C.pick_winners(C.field_claims(keyed, ["headline"]))
+    return w.select("entity_key", F.col("value").alias("k"), "source", "agree", "record_id")
+
+
+QUERIES["events_winner"] = events_winner
