@@ -549,3 +549,36 @@ WHERE wr = 1"""
 
 
 ORACLES["events_winner"] = oracle_events_winner
+
+
+def oracle_csv_mapping() -> str:
+    k = "c_custkey"
+    name = f"(CASE WHEN {k} % 5 = 0 THEN 'Alt ' || c_name WHEN {k} % 9 = 0 THEN NULL ELSE c_name END)"
+    emails = f"(CASE WHEN {k} % 9 = 0 AND {k} % 2 = 0 THEN NULL ELSE 'c' || {k} || '@x.com|d' || {k} || '@y.org' END)"
+    years = f"(CASE WHEN {k} % 4 = 0 THEN NULL ELSE CAST({k} % 30 AS DOUBLE) END)"
+    return f"""SELECT * FROM (
+  SELECT {k} AS row_key, {name} AS full_name, {emails} AS emails,
+         '+1 415 555 ' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0') || '|junk' AS phones,
+         c_mktsegment AS headline, 'Python|SQL|Go' AS skills, {years} AS years_experience,
+         {PLACES_L}[c_nationkey % {len(PLACES)} + 1] AS location_raw
+  FROM customer) WHERE full_name IS NOT NULL OR emails IS NOT NULL"""
+
+
+def oracle_json_mapping() -> str:
+    k = "c_custkey"
+    email = f"('customer' || {k} || '@example.com')"
+    phone = f"('+1 415 555 ' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0'))"
+    return f"""SELECT {k} || '#0' AS record_id, c_name AS full_name, {email} AS emails, {phone} AS phones,
+       'Python|SQL' AS skills, CAST({k} % 30 AS DOUBLE) AS years_experience, CAST(NULL AS VARCHAR) AS headline, 1 AS n_experience
+FROM customer WHERE {k} % 4 = 0
+UNION ALL
+SELECT {k} || '#0', split_part(c_name, '#', 1) || ' ' || split_part(c_name, '#', 2), {email} || '|' || upper({email}), {phone},
+       'Python|SQL|Go', CAST({k} % 30 AS DOUBLE), NULL, NULL
+FROM customer WHERE {k} % 4 = 1
+UNION ALL
+SELECT {k} || '#0', c_name, {email}, NULL, NULL, NULL, NULL, NULL FROM customer WHERE {k} % 4 = 2
+UNION ALL
+SELECT {k} || '#1', 'Second ' || {k}, NULL, NULL, NULL, NULL, c_mktsegment, NULL FROM customer WHERE {k} % 4 = 2"""
+
+
+ORACLES.update({"csv_mapping": oracle_csv_mapping, "json_mapping": oracle_json_mapping})

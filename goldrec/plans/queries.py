@@ -386,3 +386,89 @@ def events_winner(spark, sf_dir):
 
 
 QUERIES["events_winner"] = events_winner
+
+
+# --- ingest mappings -----------------------------------------------------------
+
+
+def _csv_like(spark, sf_dir):
+    """A CSV-shaped table from customer: header spellings, ';'-lists, blanks, bad numbers."""
+    from goldrec.plans.derive import PLACES
+
+    k = F.col("c_custkey")
+    tail = F.lpad((k % 10000).cast("string"), 4, "0")
+    place = F.element_at(literal_array(PLACES), (F.col("c_nationkey") % len(PLACES)).cast("int") + 1)
+    c = _t(spark, sf_dir, "customer")
+    return c.select(
+        k.alias("row_key"),
+        F.when(k % 9 == 0, F.lit("")).otherwise(F.col("c_name")).alias(" Name "),
+        F.when((k % 9 == 0) & (k % 2 == 0), F.lit(" ")).otherwise(
+            F.concat(F.lit("c"), k.cast("string"), F.lit("@x.com; d"), k.cast("string"), F.lit("@y.org ;;"))).alias("EMAIL"),
+        F.concat(F.lit("+1 415 555 "), tail, F.lit("; junk ")).alias("Phone"),
+        F.col("c_mktsegment").alias("Job Title"),
+        F.lit("Python, SQL;Go ,,").alias("Skills"),
+        F.when(k % 4 == 0, F.lit("n/a")).otherwise((k % 30).cast("string")).alias("Years Exp"),
+        place.alias("Location"),
+        F.when(k % 5 == 0, F.concat(F.lit("Alt "), F.col("c_name"))).otherwise(F.lit("")).alias("Full Name"),
+    )
+
+
+def csv_mapping(spark, sf_dir):
+    """Header aliases (last non-blank wins), list cells, tolerant numbers, identity gate."""
+    from goldrec.sources.files import identity_gate, map_csv_fields
+
+    raw = _csv_like(spark, sf_dir)
+    rec = raw.select("row_key", map_csv_fields(raw.drop("row_key")).alias("fields"))
+    rec = identity_gate(rec)
+    f = F.col("fields")
+    return rec.select(
+        "row_key", f["full_name"].alias("full_name"), _join(f["emails"]).alias("emails"),
+        _join(f["phones"]).alias("phones"), f["headline"].alias("headline"), _join(f["skills_raw"]).alias("skills"),
+        f["years_experience"].alias("years_experience"), f["location_raw"].alias("location_raw"),
+    )
+
+
+def _ats_json(spark, sf_dir):
+    """JSON documents from customer in four shapes (enveloped, split name, top-level array, invalid)."""
+    k = F.col("c_custkey")
+    ks = k.cast("string")
+    email = F.concat(F.lit("customer"), ks, F.lit("@example.com"))
+    phone = F.concat(F.lit("+1 415 555 "), F.lpad((k % 10000).cast("string"), 4, "0"))
+    parts = F.split(F.col("c_name"), "#")
+    shape0 = F.to_json(F.struct(F.struct(
+        F.col("c_name").alias("applicant_name"), email.alias("email_address"), phone.alias("mobile"),
+        F.array(F.lit("Python"), F.lit("SQL")).alias("skill_set"), (k % 30).alias("years_of_experience"),
+        F.array(F.struct(F.concat(F.lit("Company "), (k % 97).cast("string")).alias("company"),
+                         F.col("c_mktsegment").alias("title"), F.lit("2020-01").alias("start"))).alias("work_history"),
+    ).alias("candidate")))
+    shape1 = F.to_json(F.struct(
+        F.get(parts, 0).alias("firstName"), F.get(parts, 1).alias("lastName"),
+        F.array(email, F.upper(email), F.lit(" ")).alias("contact_email"), F.array(phone).alias("phone_number"),
+        F.lit("Python; SQL, Go").alias("skills"), (k % 30).cast("string").alias("experience_years"),
+        F.lit("  ").alias("current_title"),
+    ))
+    shape2 = F.to_json(F.array(
+        F.struct(F.col("c_name").alias("name"), email.alias("email"), F.lit(None).cast("string").alias("job_title")),
+        F.struct(F.concat(F.lit("Second "), ks).alias("name"), F.lit(None).cast("string").alias("email"),
+                 F.col("c_mktsegment").alias("job_title")),
+    ))
+    text = F.when(k % 4 == 0, shape0).when(k % 4 == 1, shape1).when(k % 4 == 2, shape2).otherwise(
+        F.when(k % 8 == 3, F.lit("{bad json")).otherwise(F.lit("42")))
+    return _t(spark, sf_dir, "customer").select(ks.alias("doc_id"), text.alias("text"))
+
+
+def json_mapping(spark, sf_dir):
+    """ATS-style JSON -> mapped fields (envelopes, aliases, scalar-or-list, names, arrays)."""
+    from goldrec.sources.files import ats_records_from_text
+
+    rec = ats_records_from_text(_ats_json(spark, sf_dir), "doc_id", "text")
+    f = F.col("fields")
+    return rec.select(
+        "record_id", f["full_name"].alias("full_name"), _join(f["emails"]).alias("emails"),
+        _join(f["phones"]).alias("phones"), _join(f["skills_raw"]).alias("skills"),
+        f["years_experience"].alias("years_experience"), f["headline"].alias("headline"),
+        F.size(f["experience_raw"]).alias("n_experience"),
+    )
+
+
+QUERIES.update({"csv_mapping": csv_mapping, "json_mapping": json_mapping})

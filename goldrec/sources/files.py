@@ -162,7 +162,8 @@ def _string_list(v: Column) -> Column:
         F.transform(as_list, lambda x: F.coalesce(_vget(x, "$", "string"), F.to_json(x))),
         F.array(_vget(v, "$", "string")),
     )
-    return F.filter(F.transform(items, py_strip), lambda x: x.isNotNull() & (x != ""))
+    kept = F.filter(F.transform(items, py_strip), lambda x: x.isNotNull() & (x != ""))
+    return F.when(v.isNotNull(), kept)
 
 
 def _skills(v: Column) -> Column:
