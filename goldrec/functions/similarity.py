@@ -10,6 +10,7 @@ the length bound ``2 * min(la, lb) / (la + lb) >= cutoff / 100``.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,3 +82,52 @@ def token_sort_ratio_sql(a: str, b: str) -> str:
         f"(CASE WHEN {total} = 0 THEN 100.0 ELSE 100.0 * (1.0 - "
         f"({total} - 2 * {lcs_sql(ta, tb)}) / CAST({total} AS DOUBLE)) END)"
     )
+
+
+# --- vectorised path ---------------------------------------------------------
+#
+# The fold above is exact but interpreted and copies the DP row per cell.  The
+# same ratio via the bit-parallel LCS recurrence (one big-integer step per
+# character) in an Arrow-batched pandas UDF is far cheaper; it is the default.
+
+
+def _lcs_bits(a: str, b: str) -> int:
+    if not a or not b:
+        return 0
+    masks: dict[str, int] = {}
+    for i, ch in enumerate(a):
+        masks[ch] = masks.get(ch, 0) | (1 << i)
+    full = (1 << len(a)) - 1
+    v = full
+    for ch in b:
+        u = v & masks.get(ch, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(a) - bin(v).count("1")
+
+
+def _ratio_py(a: str | None, b: str | None) -> float | None:
+    if a is None or b is None:
+        return None
+    ta, tb = " ".join(sorted(a.split())), " ".join(sorted(b.split()))
+    total = len(ta) + len(tb)
+    if total == 0:
+        return 100.0
+    return 100.0 * (1.0 - (total - 2 * _lcs_bits(ta, tb)) / total)
+
+
+def _ratio_udf():
+    @F.pandas_udf("double")
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([_ratio_py(x, y) for x, y in zip(a, b)], dtype="float64")
+
+    return ratio
+
+
+USE_UDF = True
+
+
+def token_sort_ratio_fast(a: Column, b: Column) -> Column:
+    """D8 as an Arrow-batched pandas UDF (bit-parallel LCS); same values as ``token_sort_ratio``."""
+    if not USE_UDF:
+        return token_sort_ratio(a, b)
+    return _ratio_udf()(a, b)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldrec.functions.phones import normalize_phones
-from goldrec.functions.similarity import token_sort_ratio
+from goldrec.functions.similarity import token_sort, token_sort_ratio_fast as token_sort_ratio
 from goldrec.functions.strings import canonical_emails, py_strip
 
 NAME_MATCH_CUTOFF = 80
@@ -30,49 +30,48 @@ def _name_form(c):
 def match_fallback(keyed: DataFrame, cutoff: int = NAME_MATCH_CUTOFF) -> DataFrame:
     """Give every record without an e-mail key an ``entity_key``.
 
-    Candidates are found by an equi-join on E.164 phone between the e-mail-less
-    records and the (entity, phone, name) triples of keyed entities; the pair
-    is accepted when token-sort ratio of the names is >= ``cutoff``.  Both sides
-    are reduced to distinct (phone, name) values before the join, so repeated
-    rows never multiply pairs.  The best match (score, then key) wins.
+    One pass explodes (record, key, name, E.164 phone).  Candidates come from
+    an equi-join on phone between the e-mail-less (name, phone) values and the
+    (entity, name, phone) values of keyed records - both reduced to distinct
+    values first, so repeated rows never multiply pairs - with the length bound
+    as join predicate; a pair is accepted at token-sort ratio >= ``cutoff`` and
+    the best (ratio, then key) wins.  Unmatched records group by (first phone,
+    name), else stand alone.  Keyed rows pass through without a shuffle; only
+    e-mail-less rows are joined to their new key.
     """
-    phones = normalize_phones(F.col("fields.phones"))
-    base = keyed.withColumn("_phones", phones).withColumn("_name", _name_form(F.col("fields.full_name")))
-
+    pn = keyed.select(
+        "record_id", "entity_key", _name_form(F.col("fields.full_name")).alias("name"),
+        F.posexplode_outer(normalize_phones(F.col("fields.phones"))).alias("pos", "phone"),
+    )
     known = (
-        base.where(F.col("entity_key").isNotNull() & F.col("_name").isNotNull())
-        .select("entity_key", "_name", F.explode("_phones").alias("phone"))
+        pn.where(F.col("entity_key").isNotNull() & F.col("name").isNotNull() & F.col("phone").isNotNull())
+        .select("entity_key", F.col("name").alias("known_name"), F.col("phone").alias("known_phone"))
         .distinct()
     )
-    unkeyed = base.where(F.col("entity_key").isNull())
+    unkeyed = pn.where(F.col("entity_key").isNull())
     probes = (
-        unkeyed.where(F.col("_name").isNotNull())
-        .select("_name", F.explode("_phones").alias("phone"))
+        unkeyed.where(F.col("name").isNotNull() & F.col("phone").isNotNull())
+        .select(F.col("name").alias("probe_name"), F.col("phone").alias("probe_phone"))
         .distinct()
-        .withColumnRenamed("_name", "probe_name")
-    )
-    # length filter: ratio >= c needs 2*min(la,lb)/(la+lb) >= c/100
-    la, lb = F.length("probe_name"), F.length("_name")
-    cond = (probes.phone == known.phone) & (
-        F.least(la, lb) * 200 >= (la + lb) * cutoff
     )
+    # length filter on the token-sorted forms: ratio >= c needs 2*min(la,lb)/(la+lb) >= c/100
+    la, lb = F.length(token_sort(F.col("probe_name"))), F.length(token_sort(F.col("known_name")))
+    cond = (F.col("probe_phone") == F.col("known_phone")) & (F.least(la, lb) * 200 >= (la + lb) * cutoff)
     pairs = probes.join(known, cond).select(
-        "probe_name", probes.phone.alias("phone"), "entity_key",
-        token_sort_ratio(F.col("probe_name"), F.col("_name")).alias("ratio"),
+        "probe_name", "probe_phone", "entity_key",
+        token_sort_ratio(F.col("probe_name"), F.col("known_name")).alias("ratio"),
     ).where(F.col("ratio") >= cutoff)
-    best = pairs.groupBy("probe_name", "phone").agg(
+    best = pairs.groupBy("probe_name", "probe_phone").agg(
         F.min_by("entity_key", F.struct(-F.col("ratio"), F.col("entity_key"))).alias("match_key"),
         F.max("ratio").alias("match_ratio"),
     )
-    # each unkeyed record: best over its phones
-    rec_phones = unkeyed.select("record_id", "_name", F.posexplode_outer("_phones").alias("pos", "phone"))
     matched = (
-        rec_phones.join(best, (rec_phones._name == best.probe_name) & (rec_phones.phone == best.phone), "left")
+        unkeyed.join(best, (F.col("name") == F.col("probe_name")) & (F.col("phone") == F.col("probe_phone")), "left")
         .groupBy("record_id")
         .agg(
             F.min_by("match_key", F.struct(-F.col("match_ratio"), F.col("match_key"))).alias("match_key"),
-            F.min_by(rec_phones.phone, F.col("pos")).alias("first_phone"),
-            F.first("_name").alias("name_form"),
+            F.min_by("phone", F.col("pos")).alias("first_phone"),
+            F.first("name").alias("name_form"),
         )
     )
     fallback_key = F.coalesce(
@@ -92,10 +91,20 @@ def match_fallback(keyed: DataFrame, cutoff: int = NAME_MATCH_CUTOFF) -> DataFra
     return keyed_part.unionByName(unkeyed_part)
 
 
-def resolve(records: DataFrame, fallback: bool = True) -> DataFrame:
-    """E5 then (optionally) E6; records without any key stand alone."""
+def resolve(records: DataFrame, fallback: bool = True, materialize: bool = False) -> DataFrame:
+    """E5 then (optionally) E6; records without any key stand alone.
+
+    E6 reads the e-mail-keyed records three times (phones/names, keyed rows,
+    e-mail-less rows).  With ``materialize`` they are checkpointed first into
+    the shared ``spark.checkpoint.dir``, so source extraction runs once.
+    """
     keyed = assign_key(records)
     if fallback:
+        if materialize:
+            from goldrec.session import ensure_checkpoint_dir
+
+            ensure_checkpoint_dir(keyed.sparkSession)
+            keyed = keyed.checkpoint(eager=True)
         return match_fallback(keyed)
     return keyed.withColumn(
         "entity_key", F.coalesce("entity_key", F.concat(F.lit("record:"), F.col("record_id")))

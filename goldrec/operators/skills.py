@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldrec.functions.similarity import length_bound, token_sort, token_sort_ratio
+from goldrec.functions.similarity import length_bound, token_sort, token_sort_ratio_fast as token_sort_ratio
 from goldrec.functions.strings import py_strip
 from goldrec.operators.lists import exploded
 from goldrec.sources.dims import FUZZY_CUTOFF, SOURCE_ATTRIBUTION_CUTOFF, skills_dim

@@ -37,9 +37,19 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _keyed(spark, sf_dir, orphans=False, fallback=False):
+def _keyed(spark, sf_dir, orphans=False, fallback=False, materialize=None):
+    """Keyed source records.  After E6 matching the result feeds seven aggregations;
+    a reliable checkpoint (shared ``spark.checkpoint.dir``) computes the matching
+    once and gives every part a small plan to start from."""
     recs = customer_records_with_orphans(spark, sf_dir) if orphans else customer_records(spark, sf_dir)
-    return resolve(recs, fallback=fallback)
+    mat = fallback if materialize is None else materialize
+    keyed = resolve(recs, fallback=fallback, materialize=mat)
+    if mat:
+        from goldrec.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(spark)
+        keyed = keyed.checkpoint(eager=True)
+    return keyed
 
 
 def _join(c):
@@ -80,7 +90,7 @@ def entity_ids(spark, sf_dir):
 
 def golden_confidence(spark, sf_dir):
     """F6/F7/G12/G13 over the merged customers (all golden parts computed)."""
-    g = merge_records(spark, _keyed(spark, sf_dir))
+    g = merge_records(spark, _keyed(spark, sf_dir, materialize=True))
     return g.select("entity_key", *[c for c in g.columns if c.startswith("conf_")], "overall_confidence")
 
 
@@ -101,7 +111,7 @@ def golden_records(spark, sf_dir):
 
 def match_fallback(spark, sf_dir):
     """Entity key of every record, e-mail-less ones matched by phone + name."""
-    k = _keyed(spark, sf_dir, orphans=True, fallback=True)
+    k = resolve(customer_records_with_orphans(spark, sf_dir), fallback=True)
     return k.select("record_id", "entity_key")
 
 
@@ -326,7 +336,7 @@ def projected_contact(spark, sf_dir):
     """P1/P2/P3(E164)/P4/P5: contact fields of the golden records."""
     from goldrec.operators.project import project
 
-    g = merge_records(spark, _keyed(spark, sf_dir))
+    g = merge_records(spark, _keyed(spark, sf_dir, materialize=True))
     return project(spark, g, CONTACT_CONFIG)
 
 
@@ -334,7 +344,7 @@ def projected_custom(spark, sf_dir):
     """P1-P6 with skill canonicalisation and confidence columns."""
     from goldrec.operators.project import project
 
-    g = merge_records(spark, _keyed(spark, sf_dir))
+    g = merge_records(spark, _keyed(spark, sf_dir, materialize=True))
     p = project(spark, g, CUSTOM_CONFIG)
     return p.select(
         "entity_key", "full_name", "primary_email", "phone", _join("skills").alias("skills"), "headline",
@@ -346,7 +356,7 @@ def violations_report(spark, sf_dir):
     """V1/V3: golden rows with injected faults -> violation rows."""
     from goldrec.operators.quality import validate
 
-    g = merge_records(spark, _keyed(spark, sf_dir))
+    g = merge_records(spark, _keyed(spark, sf_dir, materialize=True))
     k = F.regexp_extract("entity_key", r"^customer([0-9]+)@", 1).try_cast("long")
     bad_prov = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit("x").alias("source"), F.lit("y").alias("method")))
     g = (
