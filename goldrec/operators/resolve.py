@@ -24,7 +24,8 @@ def assign_key(records: DataFrame) -> DataFrame:
 
 
 def _name_form(c):
-    return F.lower(py_strip(c))
+    s = F.lower(py_strip(c))
+    return F.when(s != "", s)
 
 
 def match_fallback(keyed: DataFrame, cutoff: int = NAME_MATCH_CUTOFF) -> DataFrame:
@@ -54,13 +55,20 @@ def match_fallback(keyed: DataFrame, cutoff: int = NAME_MATCH_CUTOFF) -> DataFra
         .select(F.col("name").alias("probe_name"), F.col("phone").alias("probe_phone"))
         .distinct()
     )
-    # length filter on the token-sorted forms: ratio >= c needs 2*min(la,lb)/(la+lb) >= c/100
+    # exact prefix-filter candidates within each phone block, then the exact ratio
+    from goldrec.operators.simjoin import candidate_pairs
+
+    cand = candidate_pairs(
+        probes.withColumnRenamed("probe_phone", "phone"), known.withColumnRenamed("known_phone", "phone"),
+        ["phone"], "probe_name", "known_name", cutoff,
+    )
     la, lb = F.length(token_sort(F.col("probe_name"))), F.length(token_sort(F.col("known_name")))
-    cond = (F.col("probe_phone") == F.col("known_phone")) & (F.least(la, lb) * 200 >= (la + lb) * cutoff)
-    pairs = probes.join(known, cond).select(
-        "probe_name", "probe_phone", "entity_key",
-        token_sort_ratio(F.col("probe_name"), F.col("known_name")).alias("ratio"),
-    ).where(F.col("ratio") >= cutoff)
+    pairs = (
+        cand.where(F.least(la, lb) * 200 >= (la + lb) * cutoff)
+        .select("probe_name", F.col("phone").alias("probe_phone"), "entity_key",
+                token_sort_ratio(F.col("probe_name"), F.col("known_name")).alias("ratio"))
+        .where(F.col("ratio") >= cutoff)
+    )
     best = pairs.groupBy("probe_name", "probe_phone").agg(
         F.min_by("entity_key", F.struct(-F.col("ratio"), F.col("entity_key"))).alias("match_key"),
         F.max("ratio").alias("match_ratio"),

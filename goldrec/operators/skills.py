@@ -101,23 +101,33 @@ def merge_skills(spark: SparkSession, keyed: DataFrame, items: DataFrame | None
 def skill_sources(items: DataFrame, merged: DataFrame, cutoff: int = SOURCE_ATTRIBUTION_CUTOFF) -> DataFrame:
     """Every raw skill of the entity whose lower-case ratio to the skill is >= cutoff gives its source.
 
-    Pairs are formed from *distinct* (raw key, source) and skill keys of one
-    entity; each distinct (raw key, skill key) ratio is computed once.
+    Candidate (raw key, skill key) pairs of one entity come from exact prefix
+    filtering (``simjoin.candidate_pairs``) plus equal keys, never from all
+    pairs of the entity; each distinct pair's ratio is computed once.
     """
-    raw_keys = items.select("entity_key", F.lower(py_strip(F.col("raw"))).alias("raw_key"), "source").distinct()
+    from goldrec.operators.simjoin import candidate_pairs
+
+    raw_src = items.select("entity_key", F.lower(py_strip(F.col("raw"))).alias("raw_key"), "source").distinct()
+    raw_keys = raw_src.select("entity_key", "raw_key").distinct()
     skill_keys = merged.select("entity_key", "key", "best", "first")
-    pairs = raw_keys.join(skill_keys, "entity_key").where(
-        length_bound(F.length(token_sort(F.col("raw_key"))), F.length(token_sort(F.col("key"))), cutoff)
+    sk = skill_keys.select("entity_key", "key")
+    cand = candidate_pairs(raw_keys, sk, ["entity_key"], "raw_key", "key", cutoff).select("entity_key", "raw_key", "key")
+    same = raw_keys.join(sk, ["entity_key"]).where(F.col("raw_key") == F.col("key")).select("entity_key", "raw_key", "key")
+    pairs = cand.unionByName(same).distinct()
+    scored = (
+        pairs.select("raw_key", "key").distinct()
+        .where(length_bound(F.length(token_sort(F.col("raw_key"))), F.length(token_sort(F.col("key"))), cutoff)
+               | (F.col("raw_key") == F.col("key")))
+        .withColumn("ok", F.when(F.col("raw_key") == F.col("key"), F.lit(True)).otherwise(
+            token_sort_ratio(F.col("raw_key"), F.col("key")) >= cutoff))
+        .where("ok")
+        .drop("ok")
     )
-    distinct_pairs = pairs.select("raw_key", "key").distinct()
-    scored = distinct_pairs.withColumn(
-        "ok",
-        F.when(F.col("raw_key") == F.col("key"), F.lit(True)).otherwise(
-            token_sort_ratio(F.col("raw_key"), F.col("key")) >= cutoff
-        ),
-    ).where("ok")
-    hits = pairs.join(scored, ["raw_key", "key"]).groupBy("entity_key", "key").agg(
-        F.array_sort(F.collect_set("source")).alias("srcs")
+    hits = (
+        pairs.join(scored, ["raw_key", "key"])
+        .join(raw_src, ["entity_key", "raw_key"])
+        .groupBy("entity_key", "key")
+        .agg(F.array_sort(F.collect_set("source")).alias("srcs"))
     )
     return skill_keys.join(hits, ["entity_key", "key"], "left").select(
         "entity_key", "key", "best", "first",

@@ -295,7 +295,7 @@ def oracle_match_fallback() -> str:
     recs = customer_records_sql(orphans=True)
     ts = token_sort_sql
     return f"""WITH recs AS ({recs}),
-base AS (SELECT record_id, lower({strip('emails[1]')}) AS ekey, lower({strip('full_name')}) AS nm,
+base AS (SELECT record_id, lower({strip('emails[1]')}) AS ekey, nullif(lower({strip('full_name')}), '') AS nm,
          {distinct_ordered(f"list_filter(list_transform(phones, lambda p: {phone_sql('p')}), lambda x: x IS NOT NULL)")} AS ph FROM recs),
 known AS (SELECT DISTINCT entity_key, nm, phone FROM (SELECT ekey AS entity_key, nm, unnest(ph) AS phone FROM base
           WHERE ekey IS NOT NULL AND nm IS NOT NULL)),

@@ -338,6 +338,11 @@ def extract_notes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        fields.alias("fields"))
 
 
+def drop_null_records(records: DataFrame) -> DataFrame:
+    """records without a ``fields`` struct carry nothing to merge."""
+    return records.where(F.col("fields").isNotNull())
+
+
 def _read_text(spark: SparkSession, path: str) -> DataFrame | None:
     if not _exists(spark, path):
         return None
@@ -379,6 +384,7 @@ def load_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=Non
     records = parts[0] if parts else _empty(spark)
     for p in parts[1:]:
         records = records.unionByName(p)
+    records = drop_null_records(records)
     status_df = spark.createDataFrame(status or [], "source string, path string, found boolean")
     counts = records.groupBy("source").agg(F.count(F.lit(1)).alias("rows_kept"))
     return records, status_df.join(counts, "source", "left").fillna({"rows_kept": 0})
