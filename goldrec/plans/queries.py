@@ -137,9 +137,12 @@ def _date_raw(o):
 
 def dates_normalized(spark, sf_dir):
     """Order dates written eight ways, normalised to YYYY-MM and year."""
+    from goldrec.operators.history import date_lookup
+
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     o = o.select("o_orderkey", _date_raw(o).alias("raw"))
-    return o.select("o_orderkey", "raw", D.normalize_date(F.col("raw")).alias("month"), D.normalize_year(F.col("raw")).alias("year"))
+    look = date_lookup(o.select("raw")).select("raw", F.col("norm").alias("month"), D.normalize_year(F.col("raw")).alias("year"))
+    return o.join(look, "raw", "left").select("o_orderkey", "raw", "month", "year")
 
 
 LOCATION_EXTRAS = [
