@@ -6,7 +6,7 @@ LCS is at most the multiset overlap of the characters, and the length bound
 gives |y| >= |x| a / (1 - a), so any partner of x shares at least
 t(x) = ceil(|x| a / (1 - a)) character tokens with it (a token is a character
 with its occurrence number, so multisets become sets).  With all tokens in one
-global order (rarest first), two sets that share t tokens must share one of
+fixed global order, two sets that share t tokens must share one of
 their first |x| - t + 1 tokens.  Joining on those prefix tokens therefore
 yields every qualifying pair - and, unlike a join on the block key alone, not
 all pairs of a block.  Candidates are then verified with the exact ratio.
@@ -28,48 +28,56 @@ def _min_overlap(length, cutoff: float):
     return F.ceil(length * F.lit(a / (1.0 - a)) - F.lit(1e-9))
 
 
-def _tokens(s):
-    chars = F.split(s, "")
-    return F.filter(
-        F.transform(chars, lambda ch, i: F.struct(ch.alias("c"), F.size(F.filter(F.slice(chars, 1, i), lambda y: y == ch)).alias("k"))),
-        lambda t: t["c"] != "",
-    )
+def ordered_tokens(s):
+    """Character tokens (c, k) of ``s`` already in the global order.
+
+    Global order: character by descending code point (rare letters such as z,
+    y, x come first in Latin text), then occurrence number k.  Any fixed total
+    order keeps the filter exact; this one needs no statistics pass and no
+    comparator: sort the characters natively, reverse, and number repeats.
+    """
+    chars = F.reverse(F.array_sort(F.filter(F.split(s, ""), lambda ch: ch != "")))
+    return F.transform(chars, lambda ch, i: F.struct(ch.alias("c"), (i + 1 - F.array_position(chars, ch)).cast("int").alias("k")))
 
 
-def prefix_tokens(strings: DataFrame, text: str, freq: DataFrame, cutoff: float) -> DataFrame:
-    """Rows of ``strings`` (distinct) x their prefix tokens (c, k), rarest first."""
-    ts = token_sort(F.col(text))
-    ex = strings.select("*", F.explode(_tokens(ts)).alias("t")).select("*", F.col("t.c").alias("c"), F.col("t.k").alias("k")).drop("t")
-    ranked = ex.join(freq, ["c", "k"])
-    keys = [c for c in strings.columns]
-    grouped = ranked.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("n", "c", "k"))).alias("toks"))
-    n = F.size("toks")
-    p = n - _min_overlap(n, cutoff) + 1
-    return grouped.select(*keys, F.explode(F.slice("toks", 1, F.greatest(p, F.lit(1)).cast("int"))).alias("t")).select(
+def prefix_tokens(strings: DataFrame, text: str, cutoff: float) -> DataFrame:
+    """Rows of ``strings`` x their prefix tokens (c, k) in the global order (narrow, no shuffle)."""
+    toks = ordered_tokens(token_sort(F.col(text)))
+    n = F.size(toks)
+    p = F.greatest(n - _min_overlap(n, cutoff) + 1, F.lit(1)).cast("int")
+    keys = list(strings.columns)
+    return strings.select(*keys, F.explode(F.slice(toks, 1, p)).alias("t")).select(
         *keys, F.col("t.c").alias("c"), F.col("t.k").alias("k")
     )
 
 
-def token_frequencies(*sides: tuple[DataFrame, str]) -> DataFrame:
-    """Global token counts over all given (DataFrame, text column) sides; defines the token order."""
-    out = None
-    for df, col in sides:
-        t = df.select(F.explode(_tokens(token_sort(F.col(col)))).alias("t")).select(F.col("t.c").alias("c"), F.col("t.k").alias("k"))
-        out = t if out is None else out.unionByName(t)
-    return out.groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
+SMALL_BLOCK_PAIRS = 256
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, block: list[str], ltext: str, rtext: str, cutoff: float) -> DataFrame:
+def candidate_pairs(left: DataFrame, right: DataFrame, block: list[str], ltext: str, rtext: str, cutoff: float,
+                    small_block_pairs: int = SMALL_BLOCK_PAIRS) -> DataFrame:
     """Distinct (block..., left cols, right cols) pairs that may reach ``cutoff``; exact (no misses).
 
-    ``left`` and ``right`` must be distinct rows; both carry the ``block`` columns.
+    Blocks whose pair count (left rows x right rows) is at most
+    ``small_block_pairs`` are joined directly - every pair there is a candidate
+    anyway and cheap.  Larger blocks (a hot key) go through prefix filtering,
+    so no large block ever emits all of its pairs.  ``left`` and ``right`` must
+    be distinct rows; both carry the ``block`` columns.
     """
-    freq = token_frequencies((left, ltext), (right, rtext))
-    lp = prefix_tokens(left, ltext, freq, cutoff)
-    rp = prefix_tokens(right, rtext, freq, cutoff)
-    rcols = [c for c in right.columns if c not in block]
-    pairs = lp.join(rp, block + ["c", "k"]).select(*block, *[c for c in left.columns if c not in block], *rcols).distinct()
-    return pairs
+    sizes = (
+        left.groupBy(*block).agg(F.count(F.lit(1)).alias("_nl"))
+        .join(right.groupBy(*block).agg(F.count(F.lit(1)).alias("_nr")), block)
+        .select(*block, (F.col("_nl") * F.col("_nr") > small_block_pairs).alias("_big"))
+    )
+    lt = left.join(sizes, block)
+    rt = right.join(sizes.where(F.col("_big")), block, "left_semi")
+    out_cols = [*block, *[c for c in left.columns if c not in block], *[c for c in right.columns if c not in block]]
+    small = lt.where(~F.col("_big")).drop("_big").join(right, block).select(*out_cols)
+    big_left = lt.where(F.col("_big")).drop("_big")
+    lp = prefix_tokens(big_left, ltext, cutoff)
+    rp = prefix_tokens(rt, rtext, cutoff)
+    big = lp.join(rp, block + ["c", "k"]).select(*out_cols).distinct()
+    return small.unionByName(big)
 
 
 def _check_overlap_bound(cutoff: float) -> None:

@@ -582,3 +582,50 @@ SELECT {k} || '#1', 'Second ' || {k}, NULL, NULL, NULL, NULL, c_mktsegment, NULL
 
 
 ORACLES.update({"csv_mapping": oracle_csv_mapping, "json_mapping": oracle_json_mapping})
+
+
+def _skill_norm_sql(raws: str) -> str:
+    """(raw, name, confidence) for the distinct values of the ``raw`` column of ``raws``."""
+    dict_rows = ", ".join(f"({i}, {q(n)})" for i, n in enumerate(SKILLS))
+    ts = token_sort_sql
+    return f"""(WITH dict AS (SELECT * FROM (VALUES {dict_rows}) t(pos, name)),
+d AS (SELECT DISTINCT raw, {strip('raw')} AS stripped FROM {raws} WHERE raw IS NOT NULL),
+ex AS (SELECT d.raw, d.stripped, dict.name AS exact_name FROM d LEFT JOIN dict ON lower(d.stripped) = lower(dict.name)),
+cand AS (SELECT ex.raw, dict.pos, dict.name, {token_sort_ratio_sql('ex.stripped', 'dict.name')} AS ratio
+         FROM ex JOIN dict ON least(length({ts('ex.stripped')}), length({ts('dict.name')})) * 200
+                              >= (length({ts('ex.stripped')}) + length({ts('dict.name')})) * 80
+         WHERE ex.exact_name IS NULL AND ex.stripped <> ''),
+best AS (SELECT raw, name AS fname, ratio FROM (
+         SELECT *, row_number() OVER (PARTITION BY raw ORDER BY ratio DESC, pos) AS rn FROM cand WHERE ratio >= 80) WHERE rn = 1)
+SELECT ex.raw,
+   CASE WHEN ex.stripped = '' THEN ex.raw ELSE COALESCE(ex.exact_name, best.fname, ex.stripped) END AS name,
+   CASE WHEN ex.stripped = '' THEN 0.0 WHEN ex.exact_name IS NOT NULL THEN 1.0
+        WHEN best.fname IS NOT NULL THEN round(0.5 + (best.ratio - 80) / 20 * 0.49, 4) ELSE 0.5 END AS confidence
+FROM ex LEFT JOIN best ON ex.raw = best.raw)"""
+
+
+def oracle_skills_merged() -> str:
+    return f"""WITH {_keyed_cte()},
+items AS (SELECT * FROM (
+  SELECT entity_key, source, source_rank, record_id, unnest(skills_raw) AS raw, unnest(generate_series(0, len(skills_raw) - 1)) AS pos
+  FROM keyed WHERE skills_raw IS NOT NULL) WHERE raw IS NOT NULL AND raw <> ''),
+norm AS {_skill_norm_sql('items')},
+it AS (SELECT items.*, norm.name, norm.confidence FROM items JOIN norm ON items.raw = norm.raw),
+merged AS (SELECT entity_key, lower(name) AS key,
+                  arg_min(name, (-confidence, source_rank, record_id, pos)) AS bname,
+                  arg_min(confidence, (-confidence, source_rank, record_id, pos)) AS bconf,
+                  min((source_rank, record_id, pos)) AS first
+           FROM it GROUP BY entity_key, lower(name)),
+raw_src AS (SELECT DISTINCT entity_key, lower({strip('raw')}) AS raw_key, source FROM it),
+hits AS (SELECT m.entity_key, m.key, list_sort(list(DISTINCT r.source)) AS srcs
+         FROM merged m JOIN raw_src r ON m.entity_key = r.entity_key
+         WHERE r.raw_key = m.key OR {token_sort_ratio_sql('r.raw_key', 'm.key')} >= 75
+         GROUP BY m.entity_key, m.key),
+sk AS (SELECT m.*, COALESCE(h.srcs, ['merged']) AS sources FROM merged m LEFT JOIN hits h ON m.entity_key = h.entity_key AND m.key = h.key)
+SELECT entity_key, CAST(row_number() OVER (PARTITION BY entity_key ORDER BY first) AS INTEGER) AS ord, bname AS name,
+       round(least(1.0, bconf + least(0.1, 0.05 * greatest(0, len(sources) - 1))), 4) AS confidence,
+       array_to_string(sources, '+') AS sources
+FROM sk"""
+
+
+ORACLES["skills_merged"] = oracle_skills_merged

@@ -111,7 +111,7 @@ def golden_records(spark, sf_dir):
 
 def match_fallback(spark, sf_dir):
     """Entity key of every record, e-mail-less ones matched by phone + name."""
-    k = resolve(customer_records_with_orphans(spark, sf_dir), fallback=True)
+    k = resolve(customer_records_with_orphans(spark, sf_dir), fallback=True, materialize=True)
     return k.select("record_id", "entity_key")
 
 
@@ -485,3 +485,17 @@ def json_mapping(spark, sf_dir):
 
 
 QUERIES.update({"csv_mapping": csv_mapping, "json_mapping": json_mapping})
+
+
+def skills_merged(spark, sf_dir):
+    """Merged skills per entity - order, canonical name, confidence with bonus, sources."""
+    from goldrec.operators.skills import merge_skills
+
+    sk = merge_skills(spark, _keyed(spark, sf_dir))
+    return sk.select("entity_key", F.posexplode("skills").alias("pos", "s")).select(
+        "entity_key", (F.col("pos") + 1).alias("ord"), F.col("s.name").alias("name"),
+        F.col("s.confidence").alias("confidence"), F.array_join("s.sources", "+").alias("sources"),
+    )
+
+
+QUERIES["skills_merged"] = skills_merged

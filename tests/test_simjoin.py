@@ -18,8 +18,15 @@ def test_candidates_cover_all_matches(spark, cutoff):
     right = sorted(set(right))
     L = spark.createDataFrame(left, "blk int, a string")
     R = spark.createDataFrame(right, "blk int, b string")
-    got = {(r["blk"], r["a"], r["b"]) for r in candidate_pairs(L, R, ["blk"], "a", "b", cutoff).collect()}
+    got = {(r["blk"], r["a"], r["b"]) for r in candidate_pairs(L, R, ["blk"], "a", "b", cutoff, small_block_pairs=10).collect()}
     want = {(bl, a, b) for bl, a in left for br, b in right if bl == br and _ratio_py(a, b) >= cutoff}
     assert want <= got
     all_pairs = sum(1 for bl, _ in left for br, _ in right if bl == br)
     assert len(got) < all_pairs  # the filter prunes
+
+
+def test_small_blocks_join_directly(spark):
+    L = spark.createDataFrame([(1, "abc"), (2, "xyz")], "blk int, a string")
+    R = spark.createDataFrame([(1, "abd"), (2, "qqq")], "blk int, b string")
+    got = {(r["blk"], r["a"], r["b"]) for r in candidate_pairs(L, R, ["blk"], "a", "b", 80).collect()}
+    assert got == {(1, "abc", "abd"), (2, "xyz", "qqq")}
