@@ -629,3 +629,48 @@ FROM sk"""
 
 
 ORACLES["skills_merged"] = oracle_skills_merged
+
+
+def oracle_golden_provenance() -> str:
+    from goldrec.operators.claims import LOCATION_FIELDS, PROVENANCE_ORDER, WINNER_FIELDS
+
+    ordv = " ".join(f"WHEN '{f}' THEN {i}" for i, f in enumerate(PROVENANCE_ORDER))
+    loc = location_sql("lr")
+    return f"""WITH {winners_cte()},
+dc AS (SELECT DISTINCT entity_key, field, value, source, score, source_rank FROM claims),
+alts AS (SELECT DISTINCT dc.entity_key, dc.field, dc.source, dc.score, dc.source_rank FROM dc
+         JOIN winners w ON dc.entity_key = w.entity_key AND dc.field = w.field WHERE dc.value <> w.value),
+w AS (SELECT entity_key,
+        max(CASE WHEN field = 'location_raw' THEN value END) AS lr,
+        max(CASE WHEN field = 'city' THEN value END) AS cw,
+        max(CASE WHEN field = 'region' THEN value END) AS rw,
+        max(CASE WHEN field = 'country' THEN value END) AS kw
+      FROM winners GROUP BY entity_key),
+locset AS (SELECT entity_key FROM w WHERE
+      (lr IS NOT NULL AND lr <> '' AND (COALESCE(nullif(cw, ''), {loc['city']}) IS NOT NULL
+                                        OR COALESCE(nullif(rw, ''), {loc['region']}) IS NOT NULL
+                                        OR (CASE WHEN kw <> '' THEN {country_sql('kw')} ELSE {loc['country']} END) IS NOT NULL))
+      OR ((lr IS NULL OR lr = '') AND ((cw <> '') OR (kw <> ''))
+          AND ((cw <> '') OR (rw <> '') OR (kw <> '' AND {country_sql('kw')} IS NOT NULL)))),
+locsrc AS (SELECT entity_key, arg_min(source, (source_rank, record_id)) AS src FROM keyed
+           WHERE location_raw IS NOT NULL AND location_raw <> '' GROUP BY entity_key),
+raw_e AS (SELECT DISTINCT entity_key FROM keyed WHERE len(list_filter(emails, lambda x: x IS NOT NULL AND x <> '')) > 0),
+raw_p AS (SELECT DISTINCT entity_key FROM keyed WHERE len(list_filter(phones, lambda x: x IS NOT NULL AND x <> '')) > 0),
+sk AS (SELECT DISTINCT entity_key FROM keyed WHERE len(list_filter(skills_raw, lambda x: x IS NOT NULL AND x <> '')) > 0),
+entries AS (
+  SELECT entity_key, (CASE field {ordv} END) AS f, 0 AS alt, -score AS s, 0 AS r, source AS src,
+         field AS pfield, source, printf('priority_score=%.3f', score) AS method FROM winners
+  UNION ALL
+  SELECT entity_key, (CASE field {ordv} END), 1, -score, source_rank, source,
+         field || '[alt]', source, printf('priority_score=%.3f', score) FROM alts
+  UNION ALL SELECT entity_key, {PROVENANCE_ORDER.index('emails')}, 0, 0.0, 0, '', 'emails', 'merged', 'union' FROM raw_e
+  UNION ALL SELECT entity_key, {PROVENANCE_ORDER.index('phones')}, 0, 0.0, 0, '', 'phones', 'merged', 'union' FROM raw_p
+  UNION ALL SELECT l.entity_key, {PROVENANCE_ORDER.index('location')}, 0, 0.0, 0, '', 'location', COALESCE(ls.src, 'merged'),
+         'location_normalizer' FROM locset l LEFT JOIN locsrc ls ON l.entity_key = ls.entity_key
+  UNION ALL SELECT entity_key, {PROVENANCE_ORDER.index('skills')}, 0, 0.0, 0, '', 'skills', 'merged', 'skill_normalizer+fuzzy' FROM sk)
+SELECT entity_key, CAST(count(*) AS INTEGER) AS n,
+       string_agg(pfield || ':' || source || ':' || method, '|' ORDER BY f, alt, s, r, src) AS provenance
+FROM entries GROUP BY entity_key"""
+
+
+ORACLES["golden_provenance"] = oracle_golden_provenance

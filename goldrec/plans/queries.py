@@ -499,3 +499,13 @@ def skills_merged(spark, sf_dir):
 
 
 QUERIES["skills_merged"] = skills_merged
+
+
+def golden_provenance(spark, sf_dir):
+    """The ordered provenance list of every golden record, flattened."""
+    g = merge_records(spark, _keyed(spark, sf_dir, materialize=True))
+    prov = F.transform("provenance", lambda p: F.concat_ws(":", p["field"], p["source"], p["method"]))
+    return g.select("entity_key", F.size("provenance").alias("n"), _join(prov).alias("provenance"))
+
+
+QUERIES["golden_provenance"] = golden_provenance

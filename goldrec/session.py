@@ -45,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local one is unsafe on a cluster")
     path = tempfile.mkdtemp(prefix="goldrec-ckpt-")
     sc.setCheckpointDir(path)
     return path
