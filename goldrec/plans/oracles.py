@@ -674,3 +674,17 @@ FROM entries GROUP BY entity_key"""
 
 
 ORACLES["golden_provenance"] = oracle_golden_provenance
+
+
+def oracle_projected_custom() -> str:
+    """Composed from the part oracles: contact fields, canonical skill names, confidence, provenance size."""
+    return f"""SELECT pc.entity_key, pc.full_name, pc.primary_email, pc.phone, sk.skills, pc.headline, pc.years_experience,
+       pc.location, gc.overall_confidence, gp.n AS n_provenance
+FROM ({oracle_projected_contact()}) pc
+LEFT JOIN (SELECT entity_key, string_agg(name, '|' ORDER BY ord) AS skills FROM ({oracle_skills_merged()}) GROUP BY entity_key) sk
+  ON pc.entity_key = sk.entity_key
+LEFT JOIN ({oracle_golden_confidence()}) gc ON pc.entity_key = gc.entity_key
+LEFT JOIN ({oracle_golden_provenance()}) gp ON pc.entity_key = gp.entity_key"""
+
+
+ORACLES["projected_custom"] = oracle_projected_custom
