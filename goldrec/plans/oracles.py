@@ -84,7 +84,12 @@ def customer_records_sql(orphans: bool = False) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+_MODE = {"e6": False}
+
+
 def scored_sql(recs: str) -> str:
+    if _MODE["e6"]:
+        return _scored_e6_sql()
     w = " ".join(f"WHEN '{s}' THEN CAST({v} AS DOUBLE)" for s, v in WEIGHT.items())
     r = " ".join(f"WHEN '{s}' THEN {v}" for s, v in RANK.items())
     key = f"lower({strip('emails[1]')})"
@@ -108,7 +113,7 @@ def claims_sql(keyed: str = "keyed") -> str:
 
 def winners_cte() -> str:
     return f"""
-keyed AS ({scored_sql(customer_records_sql())}),
+keyed AS ({scored_sql(customer_records_sql(_MODE["e6"]))}),
 claims AS ({claims_sql()}),
 pv AS (
   SELECT *, count(*) OVER (PARTITION BY entity_key, field, value) AS agree,
@@ -219,7 +224,7 @@ WHERE v IS NOT NULL AND v <> '' GROUP BY entity_key, v"""
 
 
 def _keyed_cte(orphans: bool = False) -> str:
-    return f"keyed AS ({scored_sql(customer_records_sql(orphans))})"
+    return f"keyed AS ({scored_sql(customer_records_sql(orphans or _MODE['e6']))})"
 
 
 def oracle_union_lists() -> str:
@@ -688,3 +693,74 @@ LEFT JOIN ({oracle_golden_provenance()}) gp ON pc.entity_key = gp.entity_key"""
 
 
 ORACLES["projected_custom"] = oracle_projected_custom
+
+
+
+def _scored_e6_sql() -> str:
+    """Keyed records with orphans, entity keys from the E6 oracle."""
+    w = " ".join(f"WHEN '{s}' THEN CAST({v} AS DOUBLE)" for s, v in WEIGHT.items())
+    r = " ".join(f"WHEN '{s}' THEN {v}" for s, v in RANK.items())
+    _MODE["e6"] = False
+    try:
+        mf = oracle_match_fallback()
+        recs = customer_records_sql(orphans=True)
+    finally:
+        _MODE["e6"] = True
+    return (
+        f"SELECT r.*, (CASE r.source {w} ELSE 0.5 END) * r.cert AS score, "
+        f"(CASE r.source {r} ELSE {len(RANK) + 1} END) AS source_rank, mf.entity_key "
+        f"FROM ({recs}) r JOIN ({mf}) mf ON r.record_id = mf.record_id"
+    )
+
+
+def oracle_golden_records() -> str:
+    """The flagship, composed from the part oracles over E6-keyed records."""
+    _MODE["e6"] = True
+    try:
+        lists = oracle_union_lists()
+        conf = oracle_golden_confidence()
+        prov = oracle_golden_provenance()
+        skills = oracle_skills_merged()
+        wcte = winners_cte()
+    finally:
+        _MODE["e6"] = False
+    loc = location_sql("w.lr")
+    nz = lambda x: f"nullif({x}, '')"
+    has_raw = "w.lr IS NOT NULL AND w.lr <> ''"
+    explicit = "(w.cw <> '') OR (w.kw <> '')"
+    city = f"CASE WHEN {has_raw} THEN COALESCE({nz('w.cw')}, {loc['city']}) WHEN {explicit} THEN {nz('w.cw')} END"
+    region = f"CASE WHEN {has_raw} THEN COALESCE({nz('w.rw')}, {loc['region']}) WHEN {explicit} THEN {nz('w.rw')} END"
+    country = (f"CASE WHEN {has_raw} THEN (CASE WHEN w.kw <> '' THEN {country_sql('w.kw')} ELSE {loc['country']} END) "
+               f"WHEN {explicit} THEN (CASE WHEN w.kw <> '' THEN {country_sql('w.kw')} END) END")
+    seed = "lower(" + strip("COALESCE(split_part(l.emails, '|', 1), w.full_name, e.entity_key)") + ")"
+    return f"""WITH {wcte},
+wide AS (SELECT entity_key,
+        max(CASE WHEN field = 'full_name' THEN value END) AS full_name,
+        max(CASE WHEN field = 'headline' THEN value END) AS headline,
+        max(CASE WHEN field = 'years_experience' THEN value END) AS yv,
+        max(CASE WHEN field = 'linkedin' THEN value END) AS linkedin,
+        max(CASE WHEN field = 'github' THEN value END) AS github,
+        max(CASE WHEN field = 'location_raw' THEN value END) AS lr,
+        max(CASE WHEN field = 'city' THEN value END) AS cw,
+        max(CASE WHEN field = 'region' THEN value END) AS rw,
+        max(CASE WHEN field = 'country' THEN value END) AS kw
+      FROM winners GROUP BY entity_key),
+ents AS (SELECT DISTINCT entity_key FROM keyed)
+SELECT e.entity_key,
+  'cand_' || substr(sha256({seed}), 1, 12) AS candidate_id,
+  w.full_name, COALESCE(l.emails, '') AS emails, COALESCE(l.phones, '') AS phones,
+  {city} AS city,
+  {region} AS region,
+  {country} AS country,
+  w.linkedin, w.github, w.headline, TRY_CAST(w.yv AS DOUBLE) AS years_experience,
+  COALESCE(sk.skills, '') AS skills, 0 AS n_experience, 0 AS n_education, gp.provenance, gc.overall_confidence
+FROM ents e
+LEFT JOIN wide w ON e.entity_key = w.entity_key
+LEFT JOIN ({lists}) l ON e.entity_key = l.entity_key
+LEFT JOIN (SELECT entity_key, string_agg(name || ':' || CAST(confidence AS VARCHAR) || ':' || sources, '|' ORDER BY ord) AS skills
+           FROM ({skills}) GROUP BY entity_key) sk ON e.entity_key = sk.entity_key
+LEFT JOIN ({conf}) gc ON e.entity_key = gc.entity_key
+LEFT JOIN ({prov}) gp ON e.entity_key = gp.entity_key"""
+
+
+ORACLES["golden_records"] = oracle_golden_records
