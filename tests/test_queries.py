@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 FAST = ["field_winners", "field_alternatives", "union_lists", "entity_ids", "dates_normalized", "locations",
         "doc_contacts", "page_links", "notes_extract", "resume_extract", "history_dedup", "education_dedup",
-        "match_fallback", "skills_normalized", "events_winner", "csv_mapping", "json_mapping", "skills_merged", "golden_provenance"]
+        "match_fallback", "skills_normalized", "events_winner", "csv_mapping", "json_mapping", "skills_merged", "golden_provenance", "golden_records", "projected_custom"]
 
 
 @pytest.fixture(scope="module")
