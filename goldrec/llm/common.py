@@ -49,7 +49,7 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

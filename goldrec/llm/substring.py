@@ -14,7 +14,7 @@ task that all text which can match it is sent to.
 2. *Pieces.*  Neighbouring windows of one anchor travel as one piece of text to
    the anchor's shard; the windows of a frequent anchor travel singly, by their
    own hash, so no anchor makes a large shard.  Equal pieces are one row with
-   their smallest doc_id, combined before the shuffle.
+   their smallest doc_id, combined by batches before the shuffle.
 3. *Automata.*  Shards build the suffix automaton of their pieces; a state keeps
    the smallest doc_id of its occurrences.  Streaming the pieces gives the
    matching statistics: at every word, the state of the last ``window`` words
@@ -283,11 +283,13 @@ def _anchors_of(window: int, phrase: int):
     return run
 
 
-PIECE = "route long, key long, doc_id long, tkey long, at int, n int, piece string"
+def _pieces(window: int, phrase: int, with_text: bool):
+    """(doc_id, tkey, text, shared, frequent) -> the pieces of the shared anchors.
 
-
-def _pieces(window: int, phrase: int):
-    """(doc_id, tkey, text, shared, frequent) -> the pieces of the shared anchors, with their places."""
+    With text: (route, key, doc_id, piece), equal pieces of a batch combined to
+    their smallest doc_id.  Else: (route, key, doc_id, tkey, at), their places.
+    """
+    fields = {"route": "int64", "key": "int64", "doc_id": "int64", **({"piece": "string"} if with_text else {"tkey": "int64", "at": "int32"})}
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -295,12 +297,16 @@ def _pieces(window: int, phrase: int):
         import xxhash
 
         hasher = WordHasher()
-        names = ["route", "key", "doc_id", "tkey", "at", "n", "piece"]
-        kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.string()]
+        kind = pa.schema([(k, pa.type_for_alias(v)) for k, v in fields.items()])
+
+        def table(rows: list):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kind.types)], schema=kind)
+
         for b in batches:
             ids, tkeys = b.column(0), b.column(1)
+            firsts: dict[tuple[int, int], tuple] = {}
             for first, texts in slices(b, 2):
-                cols: list[list] = [[] for _ in names]
+                rows = []
                 doc, place, anchor, whole = hasher.anchors(texts, window, phrase)
                 bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
                 for i, text in enumerate(texts):
@@ -321,10 +327,15 @@ def _pieces(window: int, phrase: int):
                     for p, q, r in zip(at[use].tolist(), stop[use].tolist(), routes[use].tolist()):
                         piece = b" ".join(words[p : q + window - 1])
                         key = xxhash.xxh3_64_intdigest(piece) - (1 << 63)
-                        for c, x in zip(cols, (r, key, doc_id, tkey, p, q - p, piece.decode())):
-                            c.append(x)
-                if cols[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+                        if not with_text:
+                            rows.append((r, key, doc_id, tkey, p))
+                        elif (known := firsts.get((r, key))) is None or doc_id < known[0]:
+                            firsts[r, key] = (doc_id, piece)
+                if rows:
+                    yield table(rows)
+            items = [(r, key, doc_id, piece.decode()) for (r, key), (doc_id, piece) in firsts.items()]
+            for at in range(0, len(items), 10_000):
+                yield table(items[at : at + 10_000])
 
     return run
 
@@ -339,6 +350,11 @@ def _judge(window: int, shard_words: int):
         import pyarrow as pa
 
         def judged(rows: list):
+            lowest: dict = {}
+            for r in rows:  # equal pieces of several batches
+                if (known := lowest.get(r[:2])) is None or r[2] < known[2]:
+                    lowest[r[:2]] = r
+            rows = list(lowest.values())
             auto, numbers = Automaton(), {}
             seqs = [[numbers.setdefault(w, len(numbers)) for w in piece.split(" ")] for _, _, _, piece in rows]
             for (_, _, doc, _), seq in zip(rows, seqs):
@@ -412,14 +428,14 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE
     passages = scratch.save(keyed.join(mine, "doc_id"), "passages")
     release(spark)
 
-    placed = scratch.save(passages.mapInArrow(_pieces(window, phrase), PIECE), "placed")
-    pieces = placed.groupBy("route", "key", "piece").agg(F.min("doc_id").alias("doc_id")).select("route", "key", "doc_id", "piece")
+    pieces = passages.mapInArrow(_pieces(window, phrase, True), "route long, key long, doc_id long, piece string")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = pieces.repartition(parts, "route").sortWithinPartitions("route")
     judged = scratch.save(shards.mapInArrow(_judge(window, shard_words), "route long, key long, firsts array<long>"), "judged")
     release(spark)
 
-    places = placed.drop("piece").join(judged.where(F.exists("firsts", lambda f: f.isNotNull())), ["route", "key"])
+    places = passages.mapInArrow(_pieces(window, phrase, False), "route long, key long, doc_id long, tkey long, at int")
+    places = places.join(judged.where(F.exists("firsts", lambda f: f.isNotNull())), ["route", "key"])
     places = places.where(F.exists("firsts", lambda f: f < F.col("doc_id")))
     marks = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.col("at") + i)), lambda x: x.isNotNull())
     places = places.select("doc_id", "tkey", marks.alias("marks")).groupBy("doc_id", "tkey").agg(F.flatten(F.collect_list("marks")).alias("places"))
