@@ -87,14 +87,13 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
 
     rows = docs.select("doc_id", lowered(F.col("text")).alias("lower")).select("doc_id", "lower", words_of(F.col("lower")).alias("words"))
     rows = rows.select("doc_id", "lower", "words", among(F.col("words")).alias("held"))
-    nowhere = F.array().cast("array<struct<start:int,label:string>>")
-    places = [
-        F.when(
-            F.size(F.array_except(F.array(*map(F.lit, p.split(" "))), F.col("held"))) == 0,
-            F.transform(_places(F.col("words"), p), lambda i, label=label: F.struct(i.alias("start"), F.lit(label).alias("label"))),
-        ).otherwise(nowhere)
-        for p, label in PHRASES.items()
-    ]
+
+    def places_of(phrase: str, label: str) -> Column:
+        here = F.transform(_places(F.col("words"), phrase), lambda i: F.struct(i.alias("start"), F.lit(label).alias("label")))
+        possible = F.size(F.array_except(F.array(*map(F.lit, phrase.split(" "))), F.col("held"))) == 0
+        return F.when(possible, here).otherwise(F.array().cast("array<struct<start:int,label:string>>"))
+
+    places = [places_of(p, label) for p, label in PHRASES.items()]
     possible = F.lit(False)
     for k, v in sets.items():
         possible = possible | (F.size(F.array_intersect("held", F.array(*map(F.lit, v)))) >= needs[k])

@@ -51,16 +51,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) for every row."""
+    """(doc_id, tkey, fp) for every row; tkey is a hash of the text."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for b in batches:
-            out = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.int64())], names=["doc_id", "fp"])
+            out = [fingerprint(t.as_py(), shingle) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.int64())], names=["doc_id", "tkey", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, tkey long, fp long")
 
 
 def links(fps: DataFrame, max_bits: int = BITS) -> DataFrame:
@@ -80,7 +81,7 @@ def links(fps: DataFrame, max_bits: int = BITS) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = BITS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row; component_id is the smallest doc_id reachable by links."""
+    """(doc_id, tkey, fp, component_id) for every row; component_id is the smallest doc_id reachable by links."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     prints = scratch.save(fingerprints(docs, shingle), "fingerprints")
@@ -93,7 +94,24 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
     firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
     names = scratch.save(named.join(firsts, "root").select("fp", "component_id"), "names")
     release(spark)
-    return prints.join(names, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(names, "fp").select("doc_id", "tkey", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = BITS) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest doc_id.
+
+    Of rows with one doc_id and text one stays; rows that repeat a doc_id with
+    another text are documents of their own.  Rows without a doc_id stay only
+    if their component has none, one of each text.
+    """
+    found = simhash_components(docs.select("doc_id", "text"), shingle, max_bits)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "tkey").agg(F.count("*").alias("n"))
+    first = Scratch(docs.sparkSession).save(first.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("id"), "tkey", "n"), "first")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("-")).alias("id"), F.xxhash64("text").alias("tkey"))
+    rows = rows.join(first, ["id", "tkey"])
+    repeated = rows.where("n > 1").groupBy("id", "tkey").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return rows.where("n = 1").select("row.*").unionByName(repeated.select("row.*"))
 
 
 ship(__name__)
