@@ -62,7 +62,11 @@ class Scratch:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now, not at some later collection."""
+    """Let Spark delete the shuffle files of finished steps now, not at some later collection.
+
+    Spark still refers to the last query's plan; a query of one row takes its place.
+    """
+    spark.range(1).count()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
