@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from goldrec.llm.common import table
 from goldrec.llm.licenses import scan_licenses
 from goldrec.llm.mixing import mix_sizes
+from goldrec.llm.oracles import ORACLES  # noqa: F401
 from goldrec.llm.quality import classify
 from goldrec.llm.secret_scan import BASE_RULES, scan_documents
 from goldrec.llm.sentencepiece_codec import encode_documents
@@ -100,4 +101,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_url_filter,
     )
 }
-ORACLES: dict[str, str] = {}
+

@@ -65,7 +65,7 @@ def classes(path: Column, depth: int) -> Column:
         F.array_remove(F.split(path, "/"), ""),
         lambda s: F.when(s.rlike("^[0-9]+$"), "{n}")
         .when(s.rlike(r"^[0-9]+\.[A-Za-z]{1,5}$"), F.regexp_replace(s, "^[0-9]+", "{n}"))
-        .when(s.rlike("^(?=.*[0-9])[0-9A-Za-z_-]{12,}$"), "{id}")
+        .when(s.rlike("^[0-9A-Za-z_-]{12,}$") & s.rlike("[0-9]"), "{id}")
         .otherwise(s),
     )
     tail = F.concat_ws("/", F.slice(segments, depth, F.greatest(F.size(segments) - depth + 1, F.lit(1))))
