@@ -18,17 +18,37 @@ from goldrec.sources.dims import numbering_plan_rows
 
 DEFAULT_REGION = "US"
 
+# Assigned E.164 country codes (ITU), as ranges; +1 and +7 have plans of their own.
+ASSIGNED_CODES = (
+    "20 27 211-213 216 218 220-258 260-269 290 291 297-299 "
+    "30-34 36 39 350-359 370-383 385-387 389 40 41 43-49 420 421 423 "
+    "51-58 500-509 590-599 60-66 670 672-683 685-692 "
+    "800 808 81 82 84 86 850 852 853 855 856 870 878 880-883 886 888 "
+    "90-95 98 960-968 970-977 979 992-996 998"
+)
+#: Where no national plan is known: 5 digits at least, 15 with the country code at most, none a trunk zero.
+LEAST_NATIONAL, MOST_DIGITS = 5, 15
+EXTENSION = r"(?i)(?:;ext=|[ ,;]*(?:ext(?:ension|n)?\.?|x|#))[ :.]*[0-9]{1,7}$"
+
+
+def assigned_codes() -> list[str]:
+    out = []
+    for part in ASSIGNED_CODES.split():
+        lo, _, hi = part.partition("-")
+        out += [str(c) for c in range(int(lo), int(hi or lo) + 1)]
+    return out
+
 
 @functools.lru_cache(maxsize=None)
 def plan_regex() -> str:
-    """``^(?:cc(national)|...)$`` over all numbering-plan rows."""
-    rows = numbering_plan_rows()
-    ccs = [r[0] for r in rows]
-    for a in ccs:
-        for b in ccs:
+    """``^(?:cc(national)|...)$`` over the national plans, then the other assigned codes by length."""
+    plans = {r[0]: r[4] for r in numbering_plan_rows()}
+    for cc in assigned_codes():
+        plans.setdefault(cc, f"[1-9][0-9]{{{LEAST_NATIONAL - 1},{MOST_DIGITS - len(cc) - 1}}}")
+    for a in plans:
+        for b in plans:
             assert a == b or not b.startswith(a), f"calling codes not prefix-free: {a} {b}"
-    alts = "|".join(f"{cc}(?:{pat})" for cc, _, _, _, pat in rows)
-    return f"^(?:{alts})$"
+    return "^(?:" + "|".join(f"{cc}(?:{pat})" for cc, pat in plans.items()) + ")$"
 
 
 @functools.lru_cache(maxsize=None)
@@ -42,11 +62,13 @@ def region_code(region: str) -> str:
 def normalize_phone(c: Column, region: str = DEFAULT_REGION) -> Column:
     """D3: raw phone text -> E.164 (``+<digits>``) or null when invalid.
 
-    A leading ``+`` (or ``011`` for the NANP) makes the number international;
+    An extension at the end is dropped.  A ``+`` before the first digit (or ``011`` for the NANP) makes the number international;
     otherwise it is read as a national number of ``region`` (trunk prefix
     ``1`` for the NANP, ``0`` elsewhere).
     """
-    s = py_strip(c.cast("string"))
+    s = F.regexp_replace(py_strip(c.cast("string")), EXTENSION, "")
+    plus = s.rlike(r"^[^0-9+]*\+")
+    s = F.when(plus, F.replace(s, F.lit("(0)"), F.lit(""))).otherwise(s)
     digits = F.regexp_replace(s, "[^0-9]", "")
     cc = region_code(region)
     if cc == "1":
@@ -57,7 +79,7 @@ def normalize_phone(c: Column, region: str = DEFAULT_REGION) -> Column:
         )
     else:
         national = F.concat(F.lit(cc), F.regexp_replace(digits, "^0", ""))
-    full = F.when(s.startswith("+"), digits).otherwise(national)
+    full = F.when(plus, digits).otherwise(national)
     return F.when((digits != "") & full.rlike(plan_regex()), F.concat(F.lit("+"), full))
 
 
@@ -71,7 +93,9 @@ def phone_sql(x: str, region: str = DEFAULT_REGION) -> str:
     """The same normalisation as DuckDB SQL over expression ``x``."""
     from goldrec.functions.patterns import WS_CLASS
 
-    s = f"regexp_replace(regexp_replace(CAST({x} AS VARCHAR), '^{WS_CLASS}+', ''), '{WS_CLASS}+$', '')"
+    s = f"regexp_replace(regexp_replace(regexp_replace(CAST({x} AS VARCHAR), '^{WS_CLASS}+', ''), '{WS_CLASS}+$', ''), '{EXTENSION}', '')"
+    plus = f"regexp_matches({s}, '^[^0-9+]*\\+')"
+    s = f"CASE WHEN {plus} THEN replace({s}, '(0)', '') ELSE {s} END"
     d = f"regexp_replace({s}, '[^0-9]', '', 'g')"
     cc = region_code(region)
     if cc == "1":
@@ -81,5 +105,5 @@ def phone_sql(x: str, region: str = DEFAULT_REGION) -> str:
         )
     else:
         nat = f"'{cc}' || regexp_replace({d}, '^0', '')"
-    full = f"(CASE WHEN starts_with({s}, '+') THEN {d} ELSE {nat} END)"
+    full = f"(CASE WHEN {plus} THEN {d} ELSE {nat} END)"
     return f"(CASE WHEN {d} <> '' AND regexp_full_match({full}, '{plan_regex()}') THEN '+' || {full} END)"

@@ -41,12 +41,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is.  Only when it is unset (local tests) a fresh scratch folder is made.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
     if current:
-        sc.setCheckpointDir(current)
-        return current
-    if not sc.master.startswith("local"):
+        return current  # setting it again would nest a new folder in it
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local one is unsafe on a cluster")
-    path = tempfile.mkdtemp(prefix="goldrec-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="goldrec-ckpt-"))
+    return sc.getCheckpointDir()

@@ -11,7 +11,9 @@ and a ``source_status`` row instead of an error.
 
 from __future__ import annotations
 
-import os
+import csv
+import functools
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,10 +74,12 @@ def _empty(spark: SparkSession) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    if not path:
+        return False
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(p)) and len(fs.globStatus(p)) > 0
+    return bool(fs.globStatus(p))
 
 
 # --- CSV (A1, A2, B1, B2, B8, F1) ----------------------------------------------
@@ -85,15 +89,16 @@ def header_key(h: str) -> str:
     return h.strip().lower().replace(" ", "_")
 
 
-def map_csv_fields(df: DataFrame) -> Column:
-    """B1: the ``fields`` struct from CSV columns; for repeated aliases the last non-blank wins."""
+def map_csv_fields(cells: list[tuple[str, Column]] | DataFrame) -> Column:
+    """B1: the ``fields`` struct from cells by header; for repeated aliases the last non-blank wins."""
+    pairs = [(c, F.col(f"`{c}`")) for c in cells.columns] if isinstance(cells, DataFrame) else list(cells)
     mapping = dict(CSV_FIELD_MAP)
-    by_field: dict[str, list[str]] = {}
-    for c in df.columns:
-        canon = mapping.get(header_key(c))
+    by_field: dict[str, list[Column]] = {}
+    for name, cell in pairs:
+        canon = mapping.get(header_key(name))
         if canon:
-            by_field.setdefault(canon, []).append(c)
-    vals = {f: F.coalesce(*[blank_to_null(F.col(f"`{c}`")) for c in reversed(cols)]) for f, cols in by_field.items()}
+            by_field.setdefault(canon, []).append(cell)
+    vals = {f: F.coalesce(*[blank_to_null(c) for c in reversed(cells_)]) for f, cells_ in by_field.items()}
     out = {}
     for f, v in vals.items():
         if f in ("emails", "phones"):
@@ -113,29 +118,63 @@ def identity_gate(records: DataFrame) -> DataFrame:
     return records.where(f["full_name"].isNotNull() | (F.coalesce(F.size(f["emails"]), F.lit(0)) > 0))
 
 
-def read_csv_source(spark: SparkSession, path: str, first_per_file: bool = False) -> DataFrame:
-    """A1 (+A2 when ``first_per_file``): recruiter CSV exports -> source_records."""
-    if not _exists(spark, path):
-        return _empty(spark)
+def csv_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files under ``path`` by their first line; unreadable files are left out (``source_status`` counts them)."""
+    lines = spark.read.option("lineSep", "\n").option("ignoreCorruptFiles", "true").text(path)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), "value")
+    firsts = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "pos")).alias("header"))
+    shapes = firsts.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    return {r["header"].lstrip("\ufeff").rstrip("\r"): r["files"] for r in shapes.collect()}  # one row a header; paths, as in any file listing
+
+
+def _csv_rows(spark: SparkSession, header: str, files: list[str], multiline: bool) -> DataFrame:
+    """Rows of files with one header: file, place in the file, fields."""
+    names = next(csv.reader([header]), [])
+    schema = ", ".join(f"c{i} string" for i in range(max(1, len(names))))
     raw = (
-        spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
-        .option("mode", "PERMISSIVE").option("encoding", "UTF-8").option("inferSchema", "false")
-        .csv(path)
+        spark.read.schema(schema).option("header", "true").option("enforceSchema", "true").option("multiLine", str(multiline).lower())
+        .option("escape", '"').option("mode", "PERMISSIVE").option("encoding", "UTF-8").option("ignoreCorruptFiles", "true")
+        .csv([unquote(f) for f in files])
+    )
+    return raw.select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+        map_csv_fields([(n, F.col(f"c{i}")) for i, n in enumerate(names)]).alias("fields"),
     )
-    raw = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"))
-    rec = raw.select(
-        F.concat(F.col("_file"), F.lit("#"), F.col("_pos").cast("string")).alias("record_id"),
+
+
+def csv_rows(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """All rows of CSV files, each read by its own header: _file, _pos (block, row in it), fields.
+
+    A row's place does not depend on what other files there are.
+    """
+    if not _exists(spark, path):
+        return spark.createDataFrame([], f"_file string, _pos struct<block:bigint,row:bigint>, fields {SOURCE_RECORDS['fields'].dataType.simpleString()}")
+    parts = [_csv_rows(spark, h, files, multiline) for h, files in sorted(csv_headers(spark, path).items())]
+    if not parts:
+        return csv_rows(spark, "", multiline)
+    rows = functools.reduce(DataFrame.union, parts)
+    starts = rows.groupBy("_file", "_block").agg(F.min("_id").alias("_first"))
+    rows = rows.join(starts, ["_file", "_block"])
+    return rows.select("_file", F.struct(F.col("_block").alias("block"), (F.col("_id") - F.col("_first")).alias("row")).alias("_pos"), "fields")
+
+
+def read_csv_source(spark: SparkSession, path: str, first_per_file: bool = False, multiline: bool = True) -> DataFrame:
+    """A1 (+A2 when ``first_per_file``): recruiter CSV exports -> source_records.
+
+    ``multiline=False`` lets Spark split large files whose cells hold no line breaks.
+    """
+    rec = csv_rows(spark, path, multiline).select(
+        F.concat_ws("#", "_file", F.when(F.col("_pos.block") > 0, F.col("_pos.block").cast("string")), F.col("_pos.row").cast("string")).alias("record_id"),
         F.lit("csv").alias("source"),
         F.lit(CERTAINTY["csv"]).alias("extraction_confidence"),
-        map_csv_fields(raw.drop("_file", "_pos")).alias("fields"),
-        "_file", "_pos",
+        "fields", "_file", "_pos",
     )
     rec = identity_gate(rec)
     if first_per_file:
-        from pyspark.sql import Window
-
-        w = Window.partitionBy("_file").orderBy("_pos")
-        rec = rec.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+        first = rec.groupBy("_file").agg(F.min("_pos").alias("_pos"))
+        rec = rec.join(first, ["_file", "_pos"], "left_semi")
     return rec.drop("_file", "_pos")
 
 
@@ -274,10 +313,7 @@ def read_ats_source(spark: SparkSession, path: str) -> DataFrame:
     """A3: one JSON document per file."""
     if not _exists(spark, path):
         return _empty(spark)
-    docs = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), "value"
-    )
-    return ats_records_from_text(docs, "file", "value")
+    return ats_records_from_text(_read_text(spark, path), "file", "value")
 
 
 # --- resume / notes text (A5, A6, F3, C-operators) --------------------------------
@@ -346,7 +382,8 @@ def drop_null_records(records: DataFrame) -> DataFrame:
 def _read_text(spark: SparkSession, path: str) -> DataFrame | None:
     if not _exists(spark, path):
         return None
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    docs = spark.read.option("ignoreCorruptFiles", "true").text(path, wholetext=True)
+    return docs.select(F.col("_metadata.file_path").alias("file"), "value")
 
 
 def read_resume_source(spark: SparkSession, path: str, as_of_year: int) -> DataFrame:
@@ -362,36 +399,41 @@ def read_notes_source(spark: SparkSession, path: str) -> DataFrame:
 # --- multi-source load (A7, U1) ------------------------------------------------------
 
 
+def _status(spark: SparkSession, name: str, path: str, kept: DataFrame) -> DataFrame:
+    """One row: what was found under ``path``, what could be read, what was kept."""
+    found = _exists(spark, path)
+    nothing = F.lit(None).cast("string")
+
+    def counted(df: DataFrame, one: str, file: Column = nothing) -> DataFrame:
+        return df.select(*[F.lit(int(c == one)).alias(c) for c in ("files", "rows_in", "rows_kept")], file.alias("file"))
+
+    rows = counted(kept, "rows_kept")
+    if found:
+        read = csv_rows(spark, path).withColumnRenamed("_file", "file") if name == "csv" else _read_text(spark, path)
+        rows = rows.union(counted(spark.read.format("binaryFile").load(path), "files")).union(counted(read, "rows_in", F.col("file")))
+    sums = {c: F.coalesce(F.sum(c), F.lit(0)) for c in ("files", "rows_in", "rows_kept")}
+    out = rows.agg(*[v.alias(c) for c, v in sums.items()], F.count_distinct("file").alias("read"))
+    return out.select(
+        F.lit(name).alias("source"), F.lit(path).alias("path"), F.lit(found).alias("found"), "files", (F.col("files") - F.col("read")).alias("files_bad"),
+        "rows_in", "rows_kept", F.greatest(F.col("rows_in") - F.col("rows_kept"), F.lit(0)).alias("rows_bad"),
+    )
+
+
 def load_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026):
     """A7 + U1: all given sources as one ``source_records`` DataFrame, plus ``source_status``.
 
-    A missing path is skipped and reported; malformed rows are dropped and counted.
+    A missing path or an unreadable file is skipped and the rest goes on;
+    ``source_status`` (lazy) counts files found and unreadable or empty, rows
+    read, kept and dropped.
     """
-    parts, status = [], []
     readers = [
         ("csv", csv, lambda p: read_csv_source(spark, p)),
         ("ats", ats, lambda p: read_ats_source(spark, p)),
         ("resume", resume, lambda p: read_resume_source(spark, p, as_of_year)),
         ("notes", notes, lambda p: read_notes_source(spark, p)),
     ]
-    for name, path, read in readers:
-        if not path:
-            continue
-        found = _exists(spark, path)
-        df = read(path) if found else _empty(spark)
-        parts.append(df)
-        status.append((name, path, found))
-    records = parts[0] if parts else _empty(spark)
-    for p in parts[1:]:
-        records = records.unionByName(p)
-    records = drop_null_records(records)
-    status_df = spark.createDataFrame(status or [], "source string, path string, found boolean")
-    counts = records.groupBy("source").agg(F.count(F.lit(1)).alias("rows_kept"))
-    return records, status_df.join(counts, "source", "left").fillna({"rows_kept": 0})
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    return _exists(spark, path) if path else False
-
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["os"]
+    read = [(name, path, drop_null_records(reader(path))) for name, path, reader in readers if path]
+    records = functools.reduce(DataFrame.unionByName, [df for *_, df in read], _empty(spark))
+    kind = "source string, path string, found boolean, files bigint, files_bad bigint, rows_in bigint, rows_kept bigint, rows_bad bigint"
+    status = functools.reduce(DataFrame.unionByName, [_status(spark, n, p, df) for n, p, df in read], spark.createDataFrame([], kind))
+    return records, status

@@ -4,8 +4,8 @@ The reference processes a fixed set of files per run; at scale new source
 files keep arriving.  This job runs the *same* extraction operators (A3, A5,
 A6) on a file stream: each new file becomes ``source_records`` rows appended
 to a parquet table.  Extraction is per document, so the stream holds no state;
-the checkpoint (in the cluster's shared folder) gives exactly-once output
-across restarts and lost executors.  The batch job (J1) then reads the table.
+the checkpoint (beside the table, the same at every start) gives exactly-once
+output across restarts and lost executors.  The batch job (J1) then reads the table.
 """
 
 from __future__ import annotations
@@ -42,12 +42,11 @@ def start_ingest(spark: SparkSession, landing: str, kind: str, table_path: str,
                  available_now: bool = False, as_of_year: int = 2026) -> StreamingQuery:
     """Append extracted records of new files under ``landing`` to parquet at ``table_path``.
 
-    ``checkpoint`` defaults to ``<spark.checkpoint.dir>/ingest-<kind>``.
+    ``checkpoint`` defaults to a folder beside the table.  It must be the same
+    at every start: a new one would begin again at batch 0, which the table's
+    log already holds, and files would be lost.
     """
-    if checkpoint is None:
-        from goldrec.session import ensure_checkpoint_dir
-
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{kind}"
+    checkpoint = checkpoint or f"{table_path.rstrip('/')}-checkpoint-{kind}"
     w = (
         source_record_stream(spark, landing, kind, as_of_year).writeStream.format("parquet")
         .option("path", table_path).option("checkpointLocation", checkpoint).outputMode("append")
