@@ -66,21 +66,29 @@ def normalize_phone(c: Column, region: str = DEFAULT_REGION) -> Column:
     otherwise it is read as a national number of ``region`` (trunk prefix
     ``1`` for the NANP, ``0`` elsewhere).
     """
-    s = F.regexp_replace(py_strip(c.cast("string")), EXTENSION, "")
-    plus = s.rlike(r"^[^0-9+]*\+")
-    s = F.when(plus, F.replace(s, F.lit("(0)"), F.lit(""))).otherwise(s)
-    digits = F.regexp_replace(s, "[^0-9]", "")
     cc = region_code(region)
-    if cc == "1":
-        national = (
+    plan = plan_regex()
+
+    def national(digits: Column) -> Column:
+        if cc != "1":
+            return F.concat(F.lit(cc), F.regexp_replace(digits, "^0", ""))
+        return (
             F.when((F.length(digits) == 11) & digits.startswith("1"), digits)
             .when(digits.startswith("011"), F.substring(digits, 4, 64))
             .otherwise(F.concat(F.lit("1"), digits))
         )
-    else:
-        national = F.concat(F.lit(cc), F.regexp_replace(digits, "^0", ""))
-    full = F.when(plus, digits).otherwise(national)
-    return F.when((digits != "") & full.rlike(plan_regex()), F.concat(F.lit("+"), full))
+
+    def full(s: Column) -> Column:
+        digits = F.regexp_replace(s, "[^0-9]", "")
+        return F.when(s.rlike(r"^[^0-9+]*\+"), digits).otherwise(_let(digits, national))
+
+    s = F.replace(F.regexp_replace(py_strip(c.cast("string")), EXTENSION, ""), F.lit("(0)"), F.lit(""))
+    return _let(_let(s, full), lambda n: F.when(n.rlike(plan), F.concat(F.lit("+"), n)))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value`` with ``value`` worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def normalize_phones(arr: Column, region: str = DEFAULT_REGION) -> Column:
@@ -94,8 +102,8 @@ def phone_sql(x: str, region: str = DEFAULT_REGION) -> str:
     from goldrec.functions.patterns import WS_CLASS
 
     s = f"regexp_replace(regexp_replace(regexp_replace(CAST({x} AS VARCHAR), '^{WS_CLASS}+', ''), '{WS_CLASS}+$', ''), '{EXTENSION}', '')"
+    s = f"replace({s}, '(0)', '')"
     plus = f"regexp_matches({s}, '^[^0-9+]*\\+')"
-    s = f"CASE WHEN {plus} THEN replace({s}, '(0)', '') ELSE {s} END"
     d = f"regexp_replace({s}, '[^0-9]', '', 'g')"
     cc = region_code(region)
     if cc == "1":

@@ -10,7 +10,11 @@ the length bound ``2 * min(la, lb) / (la + lb) >= cutoff / 100``.
 
 from __future__ import annotations
 
+import functools
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -115,19 +119,23 @@ def _ratio_py(a: str | None, b: str | None) -> float | None:
     return 100.0 * (1.0 - (total - 2 * _lcs_bits(ta, tb)) / total)
 
 
+# by value: workers need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+@functools.lru_cache(maxsize=None)
 def _ratio_udf():
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([_ratio_py(x, y) for x, y in zip(a, b)], dtype="float64")
+        known: dict[tuple, float | None] = {}  # a batch repeats pairs
+        for pair in zip(a, b):
+            if pair not in known:
+                known[pair] = _ratio_py(*pair)
+        return pd.Series([known[pair] for pair in zip(a, b)], dtype="float64")
 
     return ratio
 
 
-USE_UDF = True
-
-
 def token_sort_ratio_fast(a: Column, b: Column) -> Column:
     """D8 as an Arrow-batched pandas UDF (bit-parallel LCS); same values as ``token_sort_ratio``."""
-    if not USE_UDF:
-        return token_sort_ratio(a, b)
     return _ratio_udf()(a, b)

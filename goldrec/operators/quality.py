@@ -35,9 +35,9 @@ def _range(c: Column, path) -> list[Column]:
     ]
 
 
-def _items(arr: str, check) -> Column:
+def _items(arr: str | Column, check) -> Column:
     """Violations of every item of array column ``arr``: check(item, index) -> array<V>."""
-    per = F.transform(F.coalesce(F.col(arr), F.array()), lambda x, i: check(x, i))
+    per = F.transform(F.coalesce(arr if isinstance(arr, Column) else F.col(arr), F.array()), lambda x, i: check(x, i))
     return F.flatten(per)
 
 
@@ -47,36 +47,50 @@ def _ip(arr: str, i: Column, sub: str | None = None) -> Column:
 
 
 def canonical_rules(df: DataFrame) -> list[Column]:
-    """V1: the canonical golden schema's constraints as Columns."""
-    rules = [
-        _v(F.col("candidate_id").isNull(), "candidate_id", _NONE_T.format(t="string")),
-        _v(F.col("emails").isNull(), "emails", _NONE_T.format(t="array")),
-        _v(F.col("phones").isNull(), "phones", _NONE_T.format(t="array")),
-        _v(F.col("provenance").isNull(), "provenance", _NONE_T.format(t="array")),
-        _v(F.col("overall_confidence").isNull(), "overall_confidence", _NONE_T.format(t="number")),
-        *_range(F.col("overall_confidence"), "overall_confidence"),
-        _items("emails", lambda x, i: _v(x.isNull(), _ip("emails", i), _NONE_T.format(t="string"))),
-        _items("phones", lambda x, i: _v(x.isNull(), _ip("phones", i), _NONE_T.format(t="string"))),
-        _items("links.other", lambda x, i: _v(x.isNull(), _ip("links.other", i), _NONE_T.format(t="string"))),
-        _v(F.col("links").isNotNull() & F.col("links.other").isNull(), "links.other", _NONE_T.format(t="array")),
-        _v(F.col("skills").isNull(), "skills", _NONE_T.format(t="array")),
-        _v(F.col("experience").isNull(), "experience", _NONE_T.format(t="array")),
-        _v(F.col("education").isNull(), "education", _NONE_T.format(t="array")),
-        _items("skills", lambda x, i: F.concat(
-            _v(x.isNull(), _ip("skills", i), _NONE_T.format(t="object")),
-            _v(x.isNotNull() & x["name"].isNull(), _ip("skills", i, "name"), _NONE_T.format(t="string")),
-            _v(x.isNotNull() & x["confidence"].isNull(), _ip("skills", i, "confidence"), _NONE_T.format(t="number")),
-            _v(x["confidence"] > 1, _ip("skills", i, "confidence"), F.concat(_num(x["confidence"]), F.lit(" is greater than the maximum of 1"))),
-            _v(x["confidence"] < 0, _ip("skills", i, "confidence"), F.concat(_num(x["confidence"]), F.lit(" is less than the minimum of 0"))),
-            _v(x.isNotNull() & x["sources"].isNull(), _ip("skills", i, "sources"), _NONE_T.format(t="array")),
-        )),
-        _items("provenance", lambda x, i: F.concat(
-            _v(x.isNull(), _ip("provenance", i), _NONE_T.format(t="object")),
-            *[_v(x.isNotNull() & x[k].isNull(), _ip("provenance", i, k), _NONE_T.format(t="string"))
-              for k in ("field", "source", "method")],
-        )),
+    """V1: the canonical golden schema's constraints as Columns; those of absent columns are left to the shape check."""
+    rules = {
+        "candidate_id": lambda: [_v(F.col("candidate_id").isNull(), "candidate_id", _NONE_T.format(t="string"))],
+        "emails": lambda: _list_of("emails", "string"),
+        "phones": lambda: _list_of("phones", "string"),
+        "provenance": lambda: [
+            _v(F.col("provenance").isNull(), "provenance", _NONE_T.format(t="array")),
+            _items("provenance", lambda x, i: F.concat(
+                _v(x.isNull(), _ip("provenance", i), _NONE_T.format(t="object")),
+                *[_v(x.isNotNull() & x[k].isNull(), _ip("provenance", i, k), _NONE_T.format(t="string"))
+                  for k in ("field", "source", "method")],
+            )),
+        ],
+        "overall_confidence": lambda: [
+            _v(F.col("overall_confidence").isNull(), "overall_confidence", _NONE_T.format(t="number")),
+            *_range(F.col("overall_confidence"), "overall_confidence"),
+        ],
+        "links": lambda: [
+            _items("links.other", lambda x, i: _v(x.isNull(), _ip("links.other", i), _NONE_T.format(t="string"))),
+            _v(F.col("links").isNotNull() & F.col("links.other").isNull(), "links.other", _NONE_T.format(t="array")),
+        ],
+        "experience": lambda: [_v(F.col("experience").isNull(), "experience", _NONE_T.format(t="array"))],
+        "education": lambda: [_v(F.col("education").isNull(), "education", _NONE_T.format(t="array"))],
+        "skills": lambda: [
+            _v(F.col("skills").isNull(), "skills", _NONE_T.format(t="array")),
+            _items("skills", lambda x, i: F.concat(
+                _v(x.isNull(), _ip("skills", i), _NONE_T.format(t="object")),
+                _v(x.isNotNull() & x["name"].isNull(), _ip("skills", i, "name"), _NONE_T.format(t="string")),
+                _v(x.isNotNull() & x["confidence"].isNull(), _ip("skills", i, "confidence"), _NONE_T.format(t="number")),
+                _v(x["confidence"] > 1, _ip("skills", i, "confidence"), F.concat(_num(x["confidence"]), F.lit(" is greater than the maximum of 1"))),
+                _v(x["confidence"] < 0, _ip("skills", i, "confidence"), F.concat(_num(x["confidence"]), F.lit(" is less than the minimum of 0"))),
+                _v(x.isNotNull() & x["sources"].isNull(), _ip("skills", i, "sources"), _NONE_T.format(t="array")),
+            )),
+        ],
+    }
+    shape = [_v(F.lit(True), path, message) for path, message in schema_violations(df)]
+    return shape + [rule for column, make in rules.items() if column in df.columns for rule in make()]
+
+
+def _list_of(column: str, kind: str) -> list[Column]:
+    return [
+        _v(F.col(column).isNull(), column, _NONE_T.format(t="array")),
+        _items(column, lambda x, i: _v(x.isNull(), _ip(column, i), _NONE_T.format(t=kind))),
     ]
-    return rules
 
 
 def schema_violations(df: DataFrame, schema: T.StructType = GOLDEN) -> list[tuple[str, str]]:
@@ -100,11 +114,12 @@ def config_rules(df: DataFrame, config: dict) -> list[Column]:
         path = spec.get("path")
         if not path or path not in df.columns:
             continue
+        value = F.col(f"`{path}`")
         if spec.get("required") and on_missing == "error":
             t = {"string[]": "array", "number": "number", "boolean": "boolean"}.get(spec.get("type", "string"), "string")
-            rules.append(_v(F.col(path).isNull(), path, _NONE_T.format(t=t)))
+            rules.append(_v(value.isNull(), path, _NONE_T.format(t=t)))
             if t == "array":
-                rules.append(_items(path, lambda x, i, p=path: _v(x.isNull(), _ip(p, i), _NONE_T.format(t="string"))))
+                rules.append(_items(value, lambda x, i: _v(x.isNull(), _ip(path, i), _NONE_T.format(t="string"))))
     if config.get("include_confidence") and "overall_confidence" in df.columns:
         rules.append(_v(F.col("overall_confidence").isNull(), "overall_confidence", _NONE_T.format(t="number")))
     return rules

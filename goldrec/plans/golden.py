@@ -11,6 +11,7 @@ matching.  ``checkpoint=False`` persists in memory/disk instead.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -30,20 +31,32 @@ class GoldenResult:
     golden: DataFrame          # projected golden rows (entity_key kept)
     field_claims: DataFrame    # long form of every scalar value
     violations: DataFrame      # entity_key, path, message
-    source_status: DataFrame   # source, path, found, rows_kept
+    source_status: DataFrame   # a row a source: files and rows found, kept, bad
+
+
+@contextmanager
+def _without_constraints(spark: SparkSession):
+    """Constraint propagation over the large extraction expressions fills the heap before any
+    task runs; it is off while they are planned, and the session's setting comes back after."""
+    key = "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def build_golden_from_records(spark: SparkSession, records: DataFrame, config: dict | None = None,
                               region: str = "US", checkpoint: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    # Large extraction expressions make constraint propagation explode in the
-    # optimizer (heap blow-up before any task runs); the job needs none of it.
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-    keyed = resolve(records, materialize=checkpoint)
-    if checkpoint:
-        ensure_checkpoint_dir(spark)
-        keyed = keyed.checkpoint(eager=True)
-    else:
-        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+    with _without_constraints(spark):
+        keyed = resolve(records, materialize=checkpoint)
+        if checkpoint:
+            ensure_checkpoint_dir(spark)
+            keyed = keyed.checkpoint(eager=True)
+        else:
+            keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+            keyed.count()
     golden = merge_records(spark, keyed, region)
     projected = project(spark, golden, config)
     return projected, C.field_claims(keyed), validate(projected, config)

@@ -517,11 +517,11 @@ w AS (SELECT entity_key,
         max(CASE WHEN field = 'country' THEN value END) AS kw
       FROM winners GROUP BY entity_key),
 ents AS (SELECT DISTINCT entity_key FROM keyed)
-SELECT ents.entity_key, w.full_name, fe.primary_email, {phone_sql('fp.phone')} AS phone, w.headline,
-  TRY_CAST(w.yv AS DOUBLE) AS years_experience,
+SELECT ents.entity_key, w.full_name AS person, fe.primary_email AS mail, {phone_sql('fp.phone')} AS phone_e164, fp.phone IS NOT NULL AS reachable,
+  w.headline AS job, TRY_CAST(w.yv AS DOUBLE) AS years,
   CASE WHEN w.lr IS NOT NULL AND w.lr <> '' THEN (CASE WHEN w.kw IS NOT NULL AND w.kw <> '' THEN {country_sql('w.kw')} ELSE {loc['country']} END)
        WHEN (w.cw IS NOT NULL AND w.cw <> '') OR (w.kw IS NOT NULL AND w.kw <> '') THEN (CASE WHEN w.kw <> '' THEN {country_sql('w.kw')} END)
-  END AS location
+  END AS location_country
 FROM ents LEFT JOIN w USING (entity_key) LEFT JOIN fe USING (entity_key) LEFT JOIN fp USING (entity_key)"""
 
 
@@ -683,9 +683,10 @@ ORACLES["golden_provenance"] = oracle_golden_provenance
 
 def oracle_projected_custom() -> str:
     """Composed from the part oracles: contact fields, canonical skill names, confidence, provenance size."""
-    return f"""SELECT pc.entity_key, pc.full_name, pc.primary_email, pc.phone, sk.skills, pc.headline, pc.years_experience,
-       pc.location, gc.overall_confidence, gp.n AS n_provenance
+    return f"""SELECT pc.entity_key, pc.person, coalesce(ul.emails, '') AS mails, sk.skills AS tools, gc.overall_confidence, pc.location_country AS country,
+       gp.n AS n_provenance, (pc.person IS NOT NULL)::INTEGER + (pc.location_country IS NOT NULL)::INTEGER AS n_fields
 FROM ({oracle_projected_contact()}) pc
+LEFT JOIN ({oracle_union_lists()}) ul ON pc.entity_key = ul.entity_key
 LEFT JOIN (SELECT entity_key, string_agg(name, '|' ORDER BY ord) AS skills FROM ({oracle_skills_merged()}) GROUP BY entity_key) sk
   ON pc.entity_key = sk.entity_key
 LEFT JOIN ({oracle_golden_confidence()}) gc ON pc.entity_key = gc.entity_key
