@@ -77,7 +77,8 @@ def links(fps: DataFrame, max_bits: int = BITS) -> DataFrame:
     probes = fps.select("fp", F.explode(segments).alias("s"))
     probes = probes.select("s.seg", F.explode(F.transform(ball, lambda m: m.bitwiseXOR(F.col("s.key")))).alias("key"), F.col("fp").alias("a"))
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return probes.join(base, ["seg", "key"]).where(near).select("a", "b")
+    # by sort and merge: Spark sizes the exploded sides by the table before and would broadcast them
+    return probes.join(base.hint("merge"), ["seg", "key"]).where(near).select("a", "b")
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = BITS) -> DataFrame:

@@ -187,7 +187,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
 
     sizes = coded.select("grp", F.posexplode("keys").alias("tbl", "key")).groupBy("grp", "tbl", "key").agg(F.count("*").alias("n")).where("n > 1")
     sizes = scratch.save(sizes.select("grp", "tbl", "key", F.ceil(F.col("n") / block).cast("int").alias("chunks")), "sizes")
-    met = coded.select("*", F.posexplode("keys").alias("tbl", "key")).join(sizes, ["grp", "tbl", "key"])
+    met = coded.select("*", F.posexplode("keys").alias("tbl", "key")).join(sizes.hint("merge"), ["grp", "tbl", "key"])
     met = met.withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     met = met.select(
