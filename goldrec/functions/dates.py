@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from goldrec.functions import patterns as P
-from goldrec.functions.strings import py_strip
+from goldrec.functions.strings import let, py_strip
 from goldrec.sources.dims import MONTHS, QUARTERS, literal_map
 
 # Java \b differs from Python's; a non-word character (or an end) on both
@@ -33,7 +33,10 @@ def normalize_date(c: Column) -> Column:
     ISO prefix (month 01-12, no digit after it) -> quarter -> month name and
     year in either order -> ``M/YYYY`` / ``YYYY/M`` -> bare year (``-01``).
     """
-    s = py_strip(c.cast("string"))
+    return let(py_strip(c.cast("string")), _month)
+
+
+def _month(s: Column) -> Column:
     months = literal_map(MONTHS)
     quarters = literal_map(QUARTERS)
 
@@ -50,16 +53,15 @@ def normalize_date(c: Column) -> Column:
 
     num_m = F.concat(F.regexp_extract(s, NUMERIC_RX, 1), F.regexp_extract(s, NUMERIC_RX, 4))
     num_y = F.concat(F.regexp_extract(s, NUMERIC_RX, 2), F.regexp_extract(s, NUMERIC_RX, 3))
-    num_mi = num_m.try_cast("int")
 
     year = F.regexp_extract(s, YEAR_RX, 1)
 
     return (
         F.when(s.isNull() | (s == ""), F.lit(None).cast("string"))
         .when(iso_ok, F.concat_ws("-", iso_y, iso_m))
-        .when(q_y != "", F.concat_ws("-", q_y, F.try_element_at(quarters, q)))
-        .when((mon_y != "") & mon_mm.isNotNull(), F.concat_ws("-", mon_y, mon_mm))
-        .when((num_y != "") & num_mi.between(1, 12), F.concat_ws("-", num_y, F.lpad(num_m, 2, "0")))
+        .when(s.rlike(QUARTER_RX), F.concat_ws("-", q_y, F.try_element_at(quarters, q)))
+        .when(s.rlike(MONTH_YEAR_RX) & mon_mm.isNotNull(), F.concat_ws("-", mon_y, mon_mm))
+        .when(s.rlike(NUMERIC_RX) & num_m.try_cast("int").between(1, 12), F.concat_ws("-", num_y, F.lpad(num_m, 2, "0")))
         .when(year != "", F.concat(year, F.lit("-01")))
     )
 

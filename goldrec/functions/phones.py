@@ -13,7 +13,7 @@ import functools
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from goldrec.functions.strings import py_strip
+from goldrec.functions.strings import let, py_strip
 from goldrec.sources.dims import numbering_plan_rows
 
 DEFAULT_REGION = "US"
@@ -80,15 +80,10 @@ def normalize_phone(c: Column, region: str = DEFAULT_REGION) -> Column:
 
     def full(s: Column) -> Column:
         digits = F.regexp_replace(s, "[^0-9]", "")
-        return F.when(s.rlike(r"^[^0-9+]*\+"), digits).otherwise(_let(digits, national))
+        return F.when(s.rlike(r"^[^0-9+]*\+"), digits).otherwise(let(digits, national))
 
     s = F.replace(F.regexp_replace(py_strip(c.cast("string")), EXTENSION, ""), F.lit("(0)"), F.lit(""))
-    return _let(_let(s, full), lambda n: F.when(n.rlike(plan), F.concat(F.lit("+"), n)))
-
-
-def _let(value: Column, body) -> Column:
-    """``body`` of ``value`` with ``value`` worked out once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), 0)
+    return let(let(s, full), lambda n: F.when(n.rlike(plan), F.concat(F.lit("+"), n)))
 
 
 def normalize_phones(arr: Column, region: str = DEFAULT_REGION) -> Column:

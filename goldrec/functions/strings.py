@@ -10,6 +10,11 @@ from goldrec.functions.patterns import WS_CLASS
 _EDGES = f"^{WS_CLASS}+|{WS_CLASS}+$"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value`` with ``value`` worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def py_strip(c: Column) -> Column:
     """Trim every Unicode whitespace character (``trim`` only removes spaces); one regex pass."""
     return F.regexp_replace(c, _EDGES, "")

@@ -40,34 +40,19 @@ def experience_items(keyed: DataFrame) -> DataFrame:
     return experience_items_from(_items(keyed, "experience_raw"), "item")
 
 
-def date_lookup(raws: DataFrame) -> DataFrame:
-    """raw -> YYYY-MM for the *distinct* raw date strings of ``raws`` (column ``raw``).
-
-    Dates repeat heavily, so the regex cascade runs once per spelling; the join
-    back is broadcast by AQE when the distinct side is small, shuffled when not.
-    """
-    d = raws.where(F.col("raw").isNotNull()).distinct()
-    return d.select("raw", normalize_date(F.col("raw")).alias("norm"))
-
-
 def experience_items_from(it: DataFrame, col: str = "item") -> DataFrame:
     """Same, from any item table (entity_key, source_rank|source, record_id, pos, <col> struct)."""
     it = _ranked(it).withColumnRenamed(col, "item").select(
         "entity_key", "source_rank", "record_id", "pos", "item",
-        F.col("item.start").cast("string").alias("_s"), F.col("item.end").cast("string").alias("_e"),
-    )
-    look = date_lookup(it.select(F.col("_s").alias("raw")).unionByName(it.select(F.col("_e").alias("raw"))))
-    it = (
-        it.join(look.select(F.col("raw").alias("_s"), F.col("norm").alias("_sn")), "_s", "left")
-        .join(look.select(F.col("raw").alias("_e"), F.col("norm").alias("_en")), "_e", "left")
+        normalize_date(F.col("item.start")).alias("_start"), normalize_date(F.col("item.end")).alias("_end"),
     )
     company = py_strip(F.coalesce(F.col("item.company"), F.lit("")))
-    start = F.col("_sn")
+    start = F.col("_start")
     norm = F.struct(
         F.when(company != "", company).alias("company"),
         _nz(F.col("item.title")).alias("title"),
         start.alias("start"),
-        F.col("_en").alias("end"),
+        F.col("_end").alias("end"),
         _nz(F.col("item.summary")).alias("summary"),
     )
     return it.select(
