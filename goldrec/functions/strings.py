@@ -33,8 +33,9 @@ def split_cell(c: Column, seps: str = ";") -> Column:
 
 
 def to_double(c: Column) -> Column:
-    """Tolerant float parse; anything unparsable becomes null."""
-    return py_strip(c.cast("string")).try_cast("double")
+    """Tolerant float parse; anything unparsable becomes null (Java's ``5d`` and ``5f`` too)."""
+    s = py_strip(c.cast("string"))
+    return F.when(~s.rlike("[0-9.][dDfF]$"), s.try_cast("double"))
 
 
 def compose_name(full: Column, first: Column, last: Column) -> Column:

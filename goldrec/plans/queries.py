@@ -505,3 +505,8 @@ def golden_provenance(spark, sf_dir):
 
 
 QUERIES["golden_provenance"] = golden_provenance
+
+
+from goldrec.plans.texts import notes_fields, resume_fields  # noqa: E402
+
+QUERIES.update({"resume_fields": resume_fields, "notes_fields": notes_fields})
