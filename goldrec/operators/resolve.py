@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldrec.functions.phones import normalize_phones
-from goldrec.functions.similarity import token_sort, token_sort_ratio_fast as token_sort_ratio
 from goldrec.functions.strings import canonical_emails, py_strip
+from goldrec.operators.simjoin import similar_pairs
 
 NAME_MATCH_CUTOFF = 80
 
@@ -31,12 +31,10 @@ def _name_form(c):
 def match_fallback(keyed: DataFrame, cutoff: int = NAME_MATCH_CUTOFF) -> DataFrame:
     """Give every record without an e-mail key an ``entity_key``.
 
-    One pass explodes (record, key, name, E.164 phone).  Candidates come from
-    an equi-join on phone between the e-mail-less (name, phone) values and the
-    (entity, name, phone) values of keyed records - both reduced to distinct
-    values first, so repeated rows never multiply pairs - with the length bound
-    as join predicate; a pair is accepted at token-sort ratio >= ``cutoff`` and
-    the best (ratio, then key) wins.  Unmatched records group by (first phone,
+    One pass explodes (record, key, name, E.164 phone).  The distinct names of
+    e-mail-less records meet the distinct names of keyed records at the same
+    phone (``similar_pairs``); a pair is accepted at token-sort ratio >=
+    ``cutoff`` and the best (ratio, then key) wins.  Unmatched records group by (first phone,
     name), else stand alone.  Keyed rows pass through without a shuffle; only
     e-mail-less rows are joined to their new key.
     """
@@ -44,33 +42,16 @@ def match_fallback(keyed: DataFrame, cutoff: int = NAME_MATCH_CUTOFF) -> DataFra
         "record_id", "entity_key", _name_form(F.col("fields.full_name")).alias("name"),
         F.posexplode_outer(normalize_phones(F.col("fields.phones"))).alias("pos", "phone"),
     )
+    # of the entities with one name at one phone the smallest key is the only one that can win
     known = (
         pn.where(F.col("entity_key").isNotNull() & F.col("name").isNotNull() & F.col("phone").isNotNull())
-        .select("entity_key", F.col("name").alias("known_name"), F.col("phone").alias("known_phone"))
-        .distinct()
+        .groupBy("phone", F.col("name").alias("known_name")).agg(F.min("entity_key").alias("known_key"))
     )
     unkeyed = pn.where(F.col("entity_key").isNull())
-    probes = (
-        unkeyed.where(F.col("name").isNotNull() & F.col("phone").isNotNull())
-        .select(F.col("name").alias("probe_name"), F.col("phone").alias("probe_phone"))
-        .distinct()
-    )
-    # exact prefix-filter candidates within each phone block, then the exact ratio
-    from goldrec.operators.simjoin import candidate_pairs
-
-    cand = candidate_pairs(
-        probes.withColumnRenamed("probe_phone", "phone"), known.withColumnRenamed("known_phone", "phone"),
-        ["phone"], "probe_name", "known_name", cutoff,
-    )
-    la, lb = F.length(token_sort(F.col("probe_name"))), F.length(token_sort(F.col("known_name")))
-    pairs = (
-        cand.where(F.least(la, lb) * 200 >= (la + lb) * cutoff)
-        .select("probe_name", F.col("phone").alias("probe_phone"), "entity_key",
-                token_sort_ratio(F.col("probe_name"), F.col("known_name")).alias("ratio"))
-        .where(F.col("ratio") >= cutoff)
-    )
-    best = pairs.groupBy("probe_name", "probe_phone").agg(
-        F.min_by("entity_key", F.struct(-F.col("ratio"), F.col("entity_key"))).alias("match_key"),
+    probes = unkeyed.where(F.col("name").isNotNull() & F.col("phone").isNotNull()).select("phone", F.col("name").alias("probe_name"))
+    pairs = similar_pairs(probes, known, ["phone"], "probe_name", "known_name", cutoff).join(known, ["phone", "known_name"])
+    best = pairs.groupBy("probe_name", F.col("phone").alias("probe_phone")).agg(
+        F.min_by("known_key", F.struct(-F.col("ratio"), F.col("known_key"))).alias("match_key"),
         F.max("ratio").alias("match_ratio"),
     )
     matched = (

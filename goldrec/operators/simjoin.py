@@ -1,86 +1,107 @@
-"""Exact candidate generation for Indel-ratio joins (prefix filtering).
-
-ratio(x, y) >= c  <=>  LCS(x, y) >= a (|x| + |y|)  with  a = c / 200.
-
-LCS is at most the multiset overlap of the characters, and the length bound
-gives |y| >= |x| a / (1 - a), so any partner of x shares at least
-t(x) = ceil(|x| a / (1 - a)) character tokens with it (a token is a character
-with its occurrence number, so multisets become sets).  With all tokens in one
-fixed global order, two sets that share t tokens must share one of
-their first |x| - t + 1 tokens.  Joining on those prefix tokens therefore
-yields every qualifying pair - and, unlike a join on the block key alone, not
-all pairs of a block.  Candidates are then verified with the exact ratio.
+"""Exact Indel-ratio joins inside blocks, without emitting a block's pairs.
+
+Both sides hold distinct strings per block.  A side of a block is cut to
+chunks of CHUNK strings; every pair of chunks is a unit of work of its own, so
+a block of any size spreads over tasks and nothing is capped.  Inside a unit
+the bound that follows from lengths and common characters rejects most pairs
+in one matrix operation, the rest are measured exactly, and only pairs that
+reach the cutoff leave the task.
 """
 
 from __future__ import annotations
 
-import math
+import sys
+from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldrec.functions.similarity import token_sort
-
-
-def _min_overlap(length, cutoff: float):
-    a = cutoff / 200.0
-    # ceil with a small tolerance so float error never shrinks the bound upwards
-    return F.ceil(length * F.lit(a / (1.0 - a)) - F.lit(1e-9))
-
-
-def ordered_tokens(s):
-    """Character tokens (c, k) of ``s`` already in the global order.
-
-    Global order: character by descending code point (rare letters such as z,
-    y, x come first in Latin text), then occurrence number k.  Any fixed total
-    order keeps the filter exact; this one needs no statistics pass and no
-    comparator: sort the characters natively, reverse, and number repeats.
-    """
-    chars = F.reverse(F.array_sort(F.filter(F.split(s, ""), lambda ch: ch != "")))
-    return F.transform(chars, lambda ch, i: F.struct(ch.alias("c"), (i + 1 - F.array_position(chars, ch)).cast("int").alias("k")))
-
-
-def prefix_tokens(strings: DataFrame, text: str, cutoff: float) -> DataFrame:
-    """Rows of ``strings`` x their prefix tokens (c, k) in the global order (narrow, no shuffle)."""
-    toks = ordered_tokens(token_sort(F.col(text)))
-    n = F.size(toks)
-    p = F.greatest(n - _min_overlap(n, cutoff) + 1, F.lit(1)).cast("int")
-    keys = list(strings.columns)
-    return strings.select(*keys, F.explode(F.slice(toks, 1, p)).alias("t")).select(
-        *keys, F.col("t.c").alias("c"), F.col("t.k").alias("k")
-    )
-
-
-SMALL_BLOCK_PAIRS = 256
-
-
-def candidate_pairs(left: DataFrame, right: DataFrame, block: list[str], ltext: str, rtext: str, cutoff: float,
-                    small_block_pairs: int = SMALL_BLOCK_PAIRS) -> DataFrame:
-    """Distinct (block..., left cols, right cols) pairs that may reach ``cutoff``; exact (no misses).
-
-    Blocks whose pair count (left rows x right rows) is at most
-    ``small_block_pairs`` are joined directly - every pair there is a candidate
-    anyway and cheap.  Larger blocks (a hot key) go through prefix filtering,
-    so no large block ever emits all of its pairs.  ``left`` and ``right`` must
-    be distinct rows; both carry the ``block`` columns.
+from goldrec.functions.similarity import _lcs_bits
+
+CHUNK = 1024
+
+
+def _measure(left: list[str], right: list[str], cutoff: float) -> list[tuple[str, str, float]]:
+    """Pairs whose token-sort Indel ratio reaches ``cutoff``."""
+    import numpy as np
+
+    if not left or not right:
+        return []
+    a = [" ".join(sorted(s.split())) for s in left]
+    b = [" ".join(sorted(s.split())) for s in right]
+    letters = {c: i for i, c in enumerate(sorted(set("".join(a)) | set("".join(b))))}
+
+    def counts(texts: list[str]):
+        out = np.zeros((len(texts), len(letters)), np.int32)
+        for i, t in enumerate(texts):
+            for c in t:
+                out[i, letters[c]] += 1
+        return out
+
+    ca, cb = counts(a), counts(b)
+    total = ca.sum(axis=1)[:, None] + cb.sum(axis=1)[None, :]
+    common = np.zeros(total.shape, np.int32)
+    for k in range(len(letters)):  # letter by letter: memory stays at a unit's pairs
+        common += np.minimum(ca[:, k][:, None], cb[:, k][None, :])
+    out = []
+    for i, j in zip(*np.nonzero(200 * common >= cutoff * total - 1e-9)):
+        n = len(a[i]) + len(b[j])
+        # the same operations as the ratio of functions.similarity
+        ratio = 100.0 if not n else 100.0 * (1.0 - (n - 2 * _lcs_bits(a[i], b[j])) / n)
+        if ratio >= cutoff:
+            out.append((left[i], right[j], ratio))
+    return out
+
+
+def _units(block: list[str], cutoff: float):
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        names = [*block, "l", "r", "ratio"]
+
+        def measured(key: tuple, rows: list) -> list:
+            found = _measure([t for side, t in rows if not side], [t for side, t in rows if side], cutoff)
+            return [(*key[: len(block)], *f) for f in found]
+
+        key, rows = None, []
+        for pdf in batches:
+            out = []
+            for *unit, side, text in zip(*(pdf[c] for c in [*block, "i", "j", "side", "text"])):
+                if tuple(unit) != key:
+                    if rows:
+                        out += measured(key, rows)
+                    key, rows = tuple(unit), []
+                rows.append((side, text))
+            yield pd.DataFrame(out, columns=names)
+        if rows:
+            yield pd.DataFrame(measured(key, rows), columns=names)
+
+    return run
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, block: list[str], ltext: str, rtext: str, cutoff: float, chunk: int = CHUNK) -> DataFrame:
+    """(block..., ltext, rtext, ratio) of all pairs of a block that reach ``cutoff``.
+
+    ``block`` columns are strings without nulls; rows are made distinct here.
     """
-    sizes = (
-        left.groupBy(*block).agg(F.count(F.lit(1)).alias("_nl"))
-        .join(right.groupBy(*block).agg(F.count(F.lit(1)).alias("_nr")), block)
-        .select(*block, (F.col("_nl") * F.col("_nr") > small_block_pairs).alias("_big"))
-    )
-    lt = left.join(sizes, block)
-    rt = right.join(sizes.where(F.col("_big")), block, "left_semi")
-    out_cols = [*block, *[c for c in left.columns if c not in block], *[c for c in right.columns if c not in block]]
-    small = lt.where(~F.col("_big")).drop("_big").join(right, block).select(*out_cols)
-    big_left = lt.where(F.col("_big")).drop("_big")
-    lp = prefix_tokens(big_left, ltext, cutoff)
-    rp = prefix_tokens(rt, rtext, cutoff)
-    big = lp.join(rp, block + ["c", "k"]).select(*out_cols).distinct()
-    return small.unionByName(big)
-
-
-def _check_overlap_bound(cutoff: float) -> None:
-    a = cutoff / 200.0
-    assert 0 < a < 0.5, cutoff
-    assert math.isfinite(a / (1 - a))
+    left = left.select(*block, F.col(ltext).alias("text")).distinct()
+    right = right.select(*block, F.col(rtext).alias("text")).distinct()
+    sizes = left.select(*block, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(right.select(*block, F.lit(0).alias("l"), F.lit(1).alias("r")))
+    sizes = sizes.groupBy(*block).agg(F.ceil(F.sum("l") / chunk).cast("int").alias("nl"), F.ceil(F.sum("r") / chunk).cast("int").alias("nr"))
+    sizes = sizes.where("nl > 0 and nr > 0")
+
+    def dealt(df: DataFrame, mine: str, other: str, own: str, theirs: str, side: int) -> DataFrame:
+        df = df.join(sizes, block).withColumn(own, F.pmod(F.xxhash64("text"), F.col(mine)).cast("int"))
+        df = df.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        return df.select(*block, "i", "j", F.lit(side).alias("side"), "text")
+
+    unit = [*block, "i", "j"]
+    rows = dealt(left, "nl", "nr", "i", "j", 0).unionByName(dealt(right, "nr", "nl", "j", "i", 1))
+    rows = rows.repartition(*unit).sortWithinPartitions(*unit)
+    schema = ", ".join(f"{c} string" for c in block) + ", l string, r string, ratio double"
+    return rows.mapInPandas(_units(block, cutoff), schema).withColumnsRenamed({"l": ltext, "r": rtext})
+
+
+# by value: workers need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,77 +1,77 @@
 """Skill canonicalisation and merge.
 
-Normalisation runs once per *distinct* raw value: exact lookup against the
-broadcast dictionary (87 rows, fixed), fuzzy search only on the residue (with a
-length bound as join predicate), then a join back to the claims.  Attribution
-of sources (E3) computes each distinct (raw key, skill key) ratio once.
+Canonicalisation is a projection: a literal map for exact names and, for what
+is left, one Arrow-batched function that works out each spelling of a batch
+once.  Attribution of sources (E3) compares distinct strings per entity.
 """
 
 from __future__ import annotations
 
+import functools
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldrec.functions.similarity import length_bound, token_sort, token_sort_ratio_fast as token_sort_ratio
+from goldrec.functions.similarity import _lcs_bits
 from goldrec.functions.strings import py_strip
 from goldrec.operators.lists import exploded
-from goldrec.sources.dims import FUZZY_CUTOFF, SOURCE_ATTRIBUTION_CUTOFF, skills_dim
+from goldrec.operators.simjoin import similar_pairs
+from goldrec.sources.dims import FUZZY_CUTOFF, SKILLS, SOURCE_ATTRIBUTION_CUTOFF, literal_map
 
 
 def fuzzy_confidence(score):
     return F.round(F.lit(0.5) + (score - FUZZY_CUTOFF) / (100 - FUZZY_CUTOFF) * 0.49, 4)
 
 
-def normalize_skill_values(spark: SparkSession, raws: DataFrame, col: str = "raw", cutoff: int = FUZZY_CUTOFF) -> DataFrame:
-    """Distinct ``col`` values -> (raw, name, confidence, method).
-
-    exact (case-insensitive) -> 1.0; best token-sort ratio >= cutoff (first
-    dictionary entry on ties) -> 0.5 + (s - 80) / 20 * 0.49; else the stripped
-    value itself at 0.5; blank -> itself at 0.0.
+@functools.lru_cache(maxsize=None)
+def _fuzzy_udf(cutoff: int):
+    """Best dictionary entry of a skill that is not in the dictionary: its name and ratio, or null."""
+    entries = [(name, " ".join(sorted(name.split()))) for name in SKILLS]
+
+    @F.pandas_udf("struct<name:string,ratio:double>")
+    def best(texts: pd.Series) -> pd.DataFrame:
+        known: dict[str, tuple] = {None: (None, None)}  # a batch repeats spellings
+        for text in texts:
+            if text in known:
+                continue
+            mine, found = " ".join(sorted(text.split())), (None, None)
+            for name, other in entries:
+                total = len(mine) + len(other)
+                if 200 * min(len(mine), len(other)) < cutoff * total:
+                    continue
+                ratio = 100.0 * (1.0 - (total - 2 * _lcs_bits(mine, other)) / total)
+                if ratio >= cutoff and (found[1] is None or ratio > found[1]):
+                    found = (name, ratio)
+            known[text] = found
+        return pd.DataFrame([known[t] for t in texts], columns=["name", "ratio"])
+
+    return best
+
+
+def canonical_skills(df: DataFrame, col: str = "raw", cutoff: int = FUZZY_CUTOFF) -> DataFrame:
+    """``df`` with name, confidence and method of the skill in ``col``; no join, no shuffle.
+
+    exact (case-insensitive, a literal map) -> 1.0; best token-sort ratio >=
+    cutoff (first dictionary entry on ties) -> 0.5 + (s - 80) / 20 * 0.49; else
+    the stripped value itself at 0.5; blank -> itself at 0.0.
     """
-    dim = skills_dim(spark)
-    d = raws.select(F.col(col).alias("raw")).where(F.col("raw").isNotNull()).distinct()
-    d = d.withColumn("stripped", py_strip(F.col("raw")))
-    exact = d.join(dim.select(F.col("name_lower").alias("k"), F.col("name").alias("exact_name")),
-                   F.lower(d.stripped) == F.col("k"), "left").drop("k")
-    residue = exact.where(F.col("exact_name").isNull() & (F.col("stripped") != "")).select(
-        "raw", "stripped", token_sort(F.col("stripped")).alias("ts")
-    )
-    dict_ts = dim.select("pos", "name", token_sort(F.col("name")).alias("dts"))
-    cand = residue.join(
-        F.broadcast(dict_ts), length_bound(F.length("ts"), F.length("dts"), cutoff)
-    ).withColumn("ratio", token_sort_ratio(F.col("stripped"), F.col("name")))
-    best = (
-        cand.where(F.col("ratio") >= cutoff)
-        .groupBy("raw")
-        .agg(F.min_by(F.struct("name", "ratio"), F.struct(-F.col("ratio"), F.col("pos"))).alias("b"))
-    )
-    out = exact.join(best, "raw", "left")
-    name = F.coalesce(F.col("exact_name"), F.col("b.name"), F.col("stripped"))
-    conf = (
-        F.when(F.col("stripped") == "", F.lit(0.0))
-        .when(F.col("exact_name").isNotNull(), F.lit(1.0))
-        .when(F.col("b.name").isNotNull(), fuzzy_confidence(F.col("b.ratio")))
-        .otherwise(F.lit(0.5))
-    )
-    method = (
-        F.when(F.col("stripped") == "", F.lit("blank"))
-        .when(F.col("exact_name").isNotNull(), F.lit("exact"))
-        .when(F.col("b.name").isNotNull(), F.lit("fuzzy"))
-        .otherwise(F.lit("passthrough"))
-    )
-    return out.select(
-        "raw",
-        F.when(F.col("stripped") == "", F.col("raw")).otherwise(name).alias("name"),
-        conf.alias("confidence"),
-        method.alias("method"),
-    )
+    exact = literal_map({s.lower(): s for s in reversed(SKILLS)}.items())  # of entries alike but for case the first counts
+    df = df.withColumn("_s", py_strip(F.col(col))).withColumn("_e", F.try_element_at(exact, F.lower("_s")))
+    df = df.withColumn("_f", _fuzzy_udf(cutoff)(F.when(F.col("_e").isNull() & (F.col("_s") != ""), F.col("_s"))))
+    blank, hit, fuzzy = F.col("_s") == "", F.col("_e").isNotNull(), F.col("_f.name").isNotNull()
+    return df.withColumns({
+        "name": F.when(blank, F.col(col)).otherwise(F.coalesce("_e", "_f.name", "_s")),
+        "confidence": F.when(blank, 0.0).when(hit, 1.0).when(fuzzy, fuzzy_confidence(F.col("_f.ratio"))).when(F.col("_s").isNotNull(), 0.5),
+        "method": F.when(blank, "blank").when(hit, "exact").when(fuzzy, "fuzzy").when(F.col("_s").isNotNull(), "passthrough"),
+    }).drop("_s", "_e", "_f")
 
 
 def skill_items(spark: SparkSession, keyed: DataFrame) -> DataFrame:
     """entity_key, source, source_rank, record_id, pos, raw, name, confidence (one row per raw skill)."""
-    raw = exploded(keyed, "skills_raw")
-    norm = normalize_skill_values(spark, raw)
-    return raw.join(norm, "raw")
+    return canonical_skills(exploded(keyed, "skills_raw").where(F.col("raw").isNotNull()))
 
 
 def merge_skills(spark: SparkSession, keyed: DataFrame, items: DataFrame | None = None) -> DataFrame:
@@ -99,37 +99,16 @@ def merge_skills(spark: SparkSession, keyed: DataFrame, items: DataFrame | None
 
 
 def skill_sources(items: DataFrame, merged: DataFrame, cutoff: int = SOURCE_ATTRIBUTION_CUTOFF) -> DataFrame:
-    """Every raw skill of the entity whose lower-case ratio to the skill is >= cutoff gives its source.
-
-    Candidate (raw key, skill key) pairs of one entity come from exact prefix
-    filtering (``simjoin.candidate_pairs``) plus equal keys, never from all
-    pairs of the entity; each distinct pair's ratio is computed once.
-    """
-    from goldrec.operators.simjoin import candidate_pairs
-
+    """Every raw skill of the entity whose lower-case ratio to the skill is >= cutoff gives its source."""
     raw_src = items.select("entity_key", F.lower(py_strip(F.col("raw"))).alias("raw_key"), "source").distinct()
-    raw_keys = raw_src.select("entity_key", "raw_key").distinct()
     skill_keys = merged.select("entity_key", "key", "best", "first")
-    sk = skill_keys.select("entity_key", "key")
-    cand = candidate_pairs(raw_keys, sk, ["entity_key"], "raw_key", "key", cutoff).select("entity_key", "raw_key", "key")
-    same = raw_keys.join(sk, ["entity_key"]).where(F.col("raw_key") == F.col("key")).select("entity_key", "raw_key", "key")
-    pairs = cand.unionByName(same).distinct()
-    scored = (
-        pairs.select("raw_key", "key").distinct()
-        .where(length_bound(F.length(token_sort(F.col("raw_key"))), F.length(token_sort(F.col("key"))), cutoff)
-               | (F.col("raw_key") == F.col("key")))
-        .withColumn("ok", F.when(F.col("raw_key") == F.col("key"), F.lit(True)).otherwise(
-            token_sort_ratio(F.col("raw_key"), F.col("key")) >= cutoff))
-        .where("ok")
-        .drop("ok")
-    )
-    hits = (
-        pairs.join(scored, ["raw_key", "key"])
-        .join(raw_src, ["entity_key", "raw_key"])
-        .groupBy("entity_key", "key")
-        .agg(F.array_sort(F.collect_set("source")).alias("srcs"))
-    )
+    pairs = similar_pairs(raw_src, skill_keys, ["entity_key"], "raw_key", "key", cutoff)
+    hits = pairs.join(raw_src, ["entity_key", "raw_key"]).groupBy("entity_key", "key").agg(F.array_sort(F.collect_set("source")).alias("srcs"))
     return skill_keys.join(hits, ["entity_key", "key"], "left").select(
         "entity_key", "key", "best", "first",
         F.coalesce(F.col("srcs"), F.array(F.lit("merged"))).alias("sources"),
     )
+
+
+# by value: workers need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -25,7 +25,7 @@ from goldrec.operators.history import dedup_items, education_items_from, experie
 from goldrec.operators.lists import union_emails, union_phones
 from goldrec.operators.merge import merge_records
 from goldrec.operators.resolve import resolve
-from goldrec.operators.skills import normalize_skill_values
+from goldrec.operators.skills import canonical_skills
 from goldrec.plans import oracles as O
 from goldrec.plans.derive import customer_records, customer_records_with_orphans
 from goldrec.sources.dims import MONTHS, QUARTERS, SKILLS, US_STATES, literal_array
@@ -183,8 +183,7 @@ def _skill_raw():
 def skills_normalized(spark, sf_dir):
     """Part-derived raw skills -> canonical name and confidence."""
     p = _t(spark, sf_dir, "part").select("p_partkey", _skill_raw().alias("raw"))
-    norm = normalize_skill_values(spark, p)
-    return p.join(norm, "raw").select("p_partkey", "raw", "name", "confidence")
+    return canonical_skills(p).select("p_partkey", "raw", "name", "confidence")
 
 
 def doc_contacts(spark, sf_dir):

@@ -205,13 +205,6 @@ def source_weight_expr(source_col) -> "F.Column":
     return expr.otherwise(F.lit(DEFAULT_WEIGHT))
 
 
-def source_certainty_expr(source_col) -> "F.Column":
-    expr = F.when(F.lit(False), F.lit(0.0))
-    for name, _, c in SOURCE_CONSTANTS:
-        expr = expr.when(source_col == name, F.lit(c))
-    return expr.otherwise(F.lit(DEFAULT_CERTAINTY))
-
-
 def _read_rows(name: str) -> list[list[str]]:
     with open(os.path.join(_DATA, name), encoding="utf-8") as fh:
         return [ln.rstrip("\n").split("|") for ln in fh if ln.strip() and not ln.startswith("#")]
@@ -229,60 +222,6 @@ def numbering_plan_rows() -> tuple[tuple[str, str, int, int, str], ...]:
     return tuple((r[0], r[1], int(r[2]), int(r[3]), r[4]) for r in _read_rows("numbering_plan.psv"))
 
 
-def _bounded(df: DataFrame, rows: int, limit: int = 5000) -> DataFrame:
-    assert rows <= limit, f"dimension of {rows} rows exceeds the broadcast bound {limit}"
-    return F.broadcast(df)
-
-
-def skills_dim(spark: SparkSession) -> DataFrame:
-    """pos int, name string, name_lower string (87 rows)."""
-    rows = [(i, s, s.lower()) for i, s in enumerate(SKILLS)]
-    df = spark.createDataFrame(rows, "pos int, name string, name_lower string")
-    return _bounded(df, len(rows))
-
-
-def countries_dim(spark: SparkSession) -> DataFrame:
-    """key string (lower-case alias / code / name), alpha2 string."""
-    seen: dict[str, str] = {}
-    for alias, code in COUNTRY_ALIASES:
-        seen.setdefault(alias, code)
-    for code, name in country_rows():
-        seen.setdefault(code.lower(), code)
-    for code, name in country_rows():
-        seen.setdefault(name.lower(), code)
-    rows = sorted(seen.items())
-    df = spark.createDataFrame(rows, "key string, alpha2 string")
-    return _bounded(df, len(rows))
-
-
-def numbering_plan_dim(spark: SparkSession) -> DataFrame:
-    rows = list(numbering_plan_rows())
-    df = spark.createDataFrame(rows, "cc string, region string, min_len int, max_len int, pattern string")
-    return _bounded(df, len(rows))
-
-
-def source_weights_dim(spark: SparkSession) -> DataFrame:
-    rows = [(s, w, c, round(w * c, 6)) for s, w, c in SOURCE_CONSTANTS]
-    df = spark.createDataFrame(rows, "source string, weight double, certainty double, score double")
-    return _bounded(df, len(rows))
-
-
-def field_importance_dim(spark: SparkSession) -> DataFrame:
-    df = spark.createDataFrame(FIELD_IMPORTANCE, "field string, importance double")
-    return _bounded(df, len(FIELD_IMPORTANCE))
-
-
-def dims(spark: SparkSession) -> dict[str, DataFrame]:
-    """All dimensions by name."""
-    return {
-        "skills": skills_dim(spark),
-        "countries": countries_dim(spark),
-        "numbering_plan": numbering_plan_dim(spark),
-        "source_weights": source_weights_dim(spark),
-        "field_importance": field_importance_dim(spark),
-    }
-
-
 def _sql_str(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

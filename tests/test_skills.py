@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldrec.functions.similarity import token_sort_ratio
-from goldrec.operators.skills import normalize_skill_values
+from goldrec.operators.skills import canonical_skills
 
 
 def _ratio(spark, a, b):
@@ -23,7 +23,7 @@ def test_ratio(spark, a, b, expected):
 def test_normalize(spark):
     raws = ["Python", "python", "machine learning", "Pythn", "Quantum Basketweaving", "  Docker ", ""]
     df = spark.createDataFrame([(r,) for r in raws], "raw string")
-    got = {r["raw"]: (r["name"], r["confidence"]) for r in normalize_skill_values(spark, df).collect()}
+    got = {r["raw"]: (r["name"], r["confidence"]) for r in canonical_skills(df).collect()}
     assert got["Python"] == ("Python", 1.0)
     assert got["python"] == ("Python", 1.0)
     assert got["machine learning"] == ("Machine Learning", 1.0)
