@@ -155,8 +155,8 @@ def op10() -> str:
 child{i} AS (SELECT host, template, segs[{i}] AS seg, sum(n) AS n, sum(labelled) AS labelled, sum(blocked) AS blocked
   FROM {last} WHERE len(segs) >= {i} GROUP BY host, template, segs[{i}]),
 parent{i} AS (SELECT host, template, count(*) AS k, sum(n) AS pn, sum(labelled) AS pl, (sum(blocked) + 1) / (sum(labelled) + 2) AS share FROM child{i} GROUP BY host, template),
-named{i} AS (SELECT host, template, seg, CASE WHEN (k >= {MANY} AND k >= {NEW} * pn)
-    OR ((labelled = 0 OR abs(blocked / labelled - share) <= {SIGMAS} * sqrt(share * (1 - share) / greatest(labelled, 1))) AND k > 1 AND NOT starts_with(seg, '{{'))
+named{i} AS (SELECT host, template, seg, CASE WHEN NOT starts_with(seg, '{{') AND ((k >= {MANY} AND k >= {NEW} * pn)
+    OR ((labelled = 0 OR abs(blocked / labelled - share) <= {SIGMAS} * sqrt(share * (1 - share) / greatest(labelled, 1))) AND k > 1))
     THEN '*' ELSE seg END AS name FROM child{i} JOIN parent{i} USING (host, template)),
 shape{i} AS (SELECT t.host, t.segs, t.n, t.labelled, t.blocked, CASE WHEN name IS NULL THEN t.template ELSE t.template || '/' || name END AS template
   FROM {last} t LEFT JOIN named{i} m ON t.host = m.host AND t.template = m.template AND t.segs[{i}] = m.seg),"""

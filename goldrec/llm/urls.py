@@ -92,9 +92,10 @@ def path_templates(shapes: DataFrame, depth: int, scratch: Scratch) -> DataFrame
         chance = SIGMAS * F.sqrt(share * (1 - share) / F.greatest("labelled", F.lit(1)))
         variable = (F.col("p_children") >= MANY) & (F.col("p_children") >= NEW * F.col("p_n"))
         alike = (F.col("labelled") == 0) | (F.abs((F.col("blocked") / F.col("labelled")) - share) <= chance)
-        alike = alike & (F.col("p_children") > 1) & ~F.col("seg").startswith("{")
+        alike = alike & (F.col("p_children") > 1)
+        literal = ~F.col("seg").startswith("{")  # classes are general already
         named = children.join(parents, ["host", "template"])
-        named = named.select("host", "template", "seg", F.when(variable | alike, "*").otherwise(F.col("seg")).alias("name"))
+        named = named.select("host", "template", "seg", F.when((variable | alike) & literal, "*").otherwise(F.col("seg")).alias("name"))
         tree = tree.join(scratch.save(named, "named"), ["host", "template", "seg"], "left")
         step = F.when(F.col("name").isNotNull(), F.concat("template", F.lit("/"), F.col("name"))).otherwise(F.col("template"))
         tree = scratch.save(tree.withColumn("template", step).drop("seg", "name"), "tree")
