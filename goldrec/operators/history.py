@@ -7,7 +7,7 @@ partial ``min_by`` aggregation, then the survivors are collected per entity.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldrec.functions.dates import normalize_date, normalize_year
@@ -40,46 +40,52 @@ def experience_items(keyed: DataFrame) -> DataFrame:
     return experience_items_from(_items(keyed, "experience_raw"), "item")
 
 
-def experience_items_from(it: DataFrame, col: str = "item") -> DataFrame:
-    """Same, from any item table (entity_key, source_rank|source, record_id, pos, <col> struct)."""
-    it = _ranked(it).withColumnRenamed(col, "item").select(
-        "entity_key", "source_rank", "record_id", "pos", "item",
-        normalize_date(F.col("item.start")).alias("_start"), normalize_date(F.col("item.end")).alias("_end"),
-    )
-    company = py_strip(F.coalesce(F.col("item.company"), F.lit("")))
-    start = F.col("_start")
-    norm = F.struct(
-        F.when(company != "", company).alias("company"),
-        _nz(F.col("item.title")).alias("title"),
-        start.alias("start"),
-        F.col("_end").alias("end"),
-        _nz(F.col("item.summary")).alias("summary"),
+def experience_norm(item: Column) -> Column:
+    """One raw experience item, normalised."""
+    return F.struct(
+        _nz(item["company"]).alias("company"),
+        _nz(item["title"]).alias("title"),
+        normalize_date(item["start"]).alias("start"),
+        normalize_date(item["end"]).alias("end"),
+        _nz(item["summary"]).alias("summary"),
     )
-    return it.select(
-        "entity_key", F.lower(company).alias("k1"), start.alias("k2"),
-        F.struct("source_rank", "record_id", "pos").alias("o"), norm.alias("item"),
+
+
+def education_norm(item: Column) -> Column:
+    """One raw education item, normalised."""
+    return F.struct(
+        _nz(item["institution"]).alias("institution"),
+        _nz(item["degree"]).alias("degree"),
+        _nz(item["field"]).alias("field"),
+        F.coalesce(normalize_year(item["end_year"]), py_strip(item["end_year"]).try_cast("int")).alias("end_year"),
     )
 
 
+def experience_key(norm: Column) -> tuple[Column, Column]:
+    return F.lower(F.coalesce(norm["company"], F.lit(""))), norm["start"]
+
+
+def education_key(norm: Column) -> tuple[Column, Column]:
+    return F.lower(F.coalesce(norm["institution"], F.lit(""))), F.lower(F.coalesce(norm["degree"], F.lit("")))
+
+
+def _items_from(it: DataFrame, col: str, norm, key) -> DataFrame:
+    it = _ranked(it).select("entity_key", F.struct("source_rank", "record_id", "pos").alias("o"), norm(F.col(col)).alias("item"))
+    k1, k2 = key(F.col("item"))
+    return it.select("entity_key", k1.alias("k1"), k2.alias("k2"), "o", "item")
+
+
+def experience_items_from(it: DataFrame, col: str = "item") -> DataFrame:
+    """Same, from any item table (entity_key, source_rank|source, record_id, pos, <col> struct)."""
+    return _items_from(it, col, experience_norm, experience_key)
+
+
 def education_items(keyed: DataFrame) -> DataFrame:
     return education_items_from(_items(keyed, "education_raw"), "item")
 
 
 def education_items_from(it: DataFrame, col: str = "item") -> DataFrame:
-    it = _ranked(it).withColumnRenamed(col, "item")
-    inst = py_strip(F.coalesce(F.col("item.institution"), F.lit("")))
-    degree = py_strip(F.coalesce(F.col("item.degree"), F.lit("")))
-    year_raw = F.col("item.end_year")
-    norm = F.struct(
-        F.when(inst != "", inst).alias("institution"),
-        F.when(degree != "", degree).alias("degree"),
-        _nz(F.col("item.field")).alias("field"),
-        F.coalesce(normalize_year(year_raw), py_strip(year_raw).try_cast("int")).alias("end_year"),
-    )
-    return it.select(
-        "entity_key", F.lower(inst).alias("k1"), F.lower(degree).alias("k2"),
-        F.struct("source_rank", "record_id", "pos").alias("o"), norm.alias("item"),
-    )
+    return _items_from(it, col, education_norm, education_key)
 
 
 def dedup_items(items: DataFrame) -> DataFrame:
@@ -90,21 +96,3 @@ def dedup_items(items: DataFrame) -> DataFrame:
     return items.groupBy("entity_key", "k1", "k2").agg(
         F.min_by("item", F.struct("o", "item")).alias("item"), F.min("o").alias("o")
     )
-
-
-def dedup_collect(items: DataFrame, name: str) -> DataFrame:
-    """W2 + collect: the surviving items per entity, in order."""
-    firsts = dedup_items(items)
-    return firsts.groupBy("entity_key").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("o", "item"))), lambda x: x["item"]).alias(name)
-    )
-
-
-def merge_experience(keyed: DataFrame) -> DataFrame:
-    """entity_key, experience."""
-    return dedup_collect(experience_items(keyed), "experience")
-
-
-def merge_education(keyed: DataFrame) -> DataFrame:
-    """entity_key, education."""
-    return dedup_collect(education_items(keyed), "education")

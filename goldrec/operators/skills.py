@@ -12,7 +12,7 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.functions.similarity import _lcs_bits
@@ -74,39 +74,38 @@ def skill_items(spark: SparkSession, keyed: DataFrame) -> DataFrame:
     return canonical_skills(exploded(keyed, "skills_raw").where(F.col("raw").isNotNull()))
 
 
-def merge_skills(spark: SparkSession, keyed: DataFrame, items: DataFrame | None = None) -> DataFrame:
+def skill_bonus(sources: Column) -> Column:
+    """0.05 for every source after the first, 0.1 at most."""
+    return F.least(F.lit(0.1), F.lit(0.05) * F.greatest(F.lit(0), F.size(sources) - 1))
+
+
+def merge_skills(spark: SparkSession, keyed: DataFrame) -> DataFrame:
     """G7 + E3 + G14: entity_key, skills array<struct<name, confidence, sources>> in first-seen order."""
-    items = items if items is not None else skill_items(spark, keyed)
+    items = skill_items(spark, keyed).withColumn("key", F.lower("name"))
     order = F.struct("source_rank", "record_id", "pos")
-    merged = items.withColumn("key", F.lower(F.col("name"))).groupBy("entity_key", "key").agg(
+    merged = items.groupBy("entity_key", "key").agg(
         F.min_by(F.struct("name", "confidence"), F.struct(-F.col("confidence"), order)).alias("best"),
         F.min(order).alias("first"),
     )
-    attributed = skill_sources(items, merged)
-    bonus = F.least(F.lit(0.1), F.lit(0.05) * F.greatest(F.lit(0), F.size("sources") - 1))
-    skills = attributed.select(
-        "entity_key",
-        "first",
-        F.struct(
-            F.col("best.name").alias("name"),
-            F.round(F.least(F.lit(1.0), F.col("best.confidence") + bonus), 4).alias("confidence"),
-            F.col("sources"),
-        ).alias("skill"),
-    )
-    return skills.groupBy("entity_key").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("first", "skill"))), lambda x: x["skill"]).alias("skills")
+    merged = merged.join(skill_sources(items), ["entity_key", "key"], "left")
+    sources = F.coalesce("srcs", F.array(F.lit("merged")))
+    confidence = F.round(F.least(F.lit(1.0), F.col("best.confidence") + skill_bonus(sources)), 4)
+    skill = F.struct(F.col("best.name").alias("name"), confidence.alias("confidence"), sources.alias("sources"))
+    return merged.select("entity_key", F.struct("first", skill.alias("skill")).alias("s")).groupBy("entity_key").agg(
+        F.transform(F.array_sort(F.collect_list("s")), lambda x: x["skill"]).alias("skills")
     )
 
 
-def skill_sources(items: DataFrame, merged: DataFrame, cutoff: int = SOURCE_ATTRIBUTION_CUTOFF) -> DataFrame:
-    """Every raw skill of the entity whose lower-case ratio to the skill is >= cutoff gives its source."""
-    raw_src = items.select("entity_key", F.lower(py_strip(F.col("raw"))).alias("raw_key"), "source").distinct()
-    skill_keys = merged.select("entity_key", "key", "best", "first")
-    pairs = similar_pairs(raw_src, skill_keys, ["entity_key"], "raw_key", "key", cutoff)
-    hits = pairs.join(raw_src, ["entity_key", "raw_key"]).groupBy("entity_key", "key").agg(F.array_sort(F.collect_set("source")).alias("srcs"))
-    return skill_keys.join(hits, ["entity_key", "key"], "left").select(
-        "entity_key", "key", "best", "first",
-        F.coalesce(F.col("srcs"), F.array(F.lit("merged"))).alias("sources"),
+def skill_sources(items: DataFrame, cutoff: int = SOURCE_ATTRIBUTION_CUTOFF) -> DataFrame:
+    """entity_key, key, srcs: the sources of the entity's raw skills whose lower-case ratio to the skill is >= cutoff.
+
+    ``items``: entity_key, raw, key (the canonical skill, lower-case), source.
+    """
+    known = items.groupBy("entity_key", F.lower(py_strip(F.col("raw"))).alias("raw_key"), "key").agg(F.collect_set("source").alias("s"))
+    raws = known.groupBy("entity_key", "raw_key").agg(F.flatten(F.collect_list("s")).alias("s"))
+    pairs = similar_pairs(raws, known, ["entity_key"], "raw_key", "key", cutoff)
+    return pairs.join(raws, ["entity_key", "raw_key"]).groupBy("entity_key", "key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("s")))).alias("srcs")
     )
 
 
