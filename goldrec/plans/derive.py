@@ -6,9 +6,10 @@ four overlapping "sources" per customer by fixed rules that grow with the
 describe a customer and which spelling they use):
 
 * csv    - every customer
-* ats    - customers with an even key (upper-cased e-mail, name variant)
-* resume - keys divisible by 3 (second e-mail, different headline)
-* notes  - keys divisible by 5 (padded mixed-case e-mail, lower-case name)
+* ats    - customers with an even key (upper-cased e-mail, name variant, history)
+* resume - keys divisible by 3 (second e-mail, different headline, history
+  that repeats the ats one in another spelling)
+* notes  - keys divisible by 5 (padded mixed-case e-mail, lower-case name, a region)
 * notes without e-mail - keys divisible by 7 (phone + name only, for E6)
 
 The same rules are written as SQL in :mod:`goldrec.plans.oracles`.
@@ -16,7 +17,7 @@ The same rules are written as SQL in :mod:`goldrec.plans.oracles`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.schemas import fields_struct
@@ -33,9 +34,6 @@ PLACES = [
     "Atlantis, Nowhere Land",
 ]
 
-# Invented history items: supplier is the company, order month the start.
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,6 +46,12 @@ def _skill(idx):
     return F.element_at(_lit_array(SKILLS), (idx % len(SKILLS)).cast("int") + 1)
 
 
+def _item(**values):
+    """A history item: names and Columns or strings, plus the fields it does not name."""
+    names = list(values) + (["summary"] if "company" in values else [])
+    return F.struct(*[(v if isinstance(v := values.get(n), Column) else F.lit(v)).cast("string").alias(n) for n in names])
+
+
 def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """source_records (record_id, source, extraction_confidence, fields) from ``customer``."""
     from goldrec.sources.dims import SOURCE_CONSTANTS
@@ -80,7 +84,10 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         linkedin=F.concat(F.lit("https://linkedin.com/in/customer-"), ks),
         skills_raw=F.array(_skill(k), _skill(k * 7)),
         education_text=F.concat(F.lit("B.Tech "), (2000 + k % 20).cast("string")),
+        portfolio=F.when(k % 10 == 0, F.concat(F.lit("https://p"), ks, F.lit(".example.org"))),
     )
+    firm = F.concat(F.lit("Company "), (k % 97).cast("string"))
+    school = F.concat(F.lit("Univ "), (k % 13).cast("string"))
     ats = rec(
         "ats", k % 2 == 0,
         full_name=F.when(k % 4 == 0, F.col("c_name")).otherwise(F.upper(F.col("c_name"))),
@@ -91,6 +98,12 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         city=F.concat(F.lit("City"), F.col("c_nationkey").cast("string")),
         github=F.concat(F.lit("https://github.com/cust"), ks),
         skills_raw=F.array(F.lower(_skill(k)), _skill(k + 3)),
+        country=F.when(k % 8 == 0, F.lit("usa")),
+        experience_raw=F.array(
+            _item(company=firm, title=F.col("c_mktsegment"), start="Jan 2015", end="06/2018"),
+            _item(company=F.concat(F.lit(" "), F.upper(firm)), title="again", start="2015-01", end=None),
+        ),
+        education_raw=F.when(k % 4 == 0, F.array(_item(institution=school, degree="B.Tech", field="Physics", end_year="2010"))),
     )
     resume = rec(
         "resume", k % 3 == 0,
@@ -100,6 +113,14 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         years_experience=F.when(k % 6 == 0, (k % 25 + 2).cast("double")),
         summary=F.concat(F.lit("Account balance "), F.col("c_acctbal").cast("string")),
         skills_raw=F.array(F.upper(_skill(k * 7)), F.concat(_skill(k + 5), F.lit("s"))),
+        experience_raw=F.array(
+            _item(company=F.lower(firm), title="Copy", start="2015-01-09", end="2018"),
+            _item(company="Startup", title="CTO", start="2019", end="present"),
+        ),
+        education_raw=F.array(
+            _item(institution=F.concat(F.upper(school), F.lit(" ")), degree="b.tech", field=None, end_year="June 2011"),
+            _item(institution="Open School", degree=None, field="Law", end_year="unknown"),
+        ),
     )
     notes = rec(
         "notes", k % 5 == 0,
@@ -107,6 +128,7 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         emails=F.array(F.concat(F.lit("  Customer"), ks, F.lit("@Example.com "))),
         current_company=F.concat(F.lit("Company "), ((k + 1) % 97).cast("string")),
         skills_raw=F.array(_skill(k + 11)),
+        region=F.concat(F.lit("Region "), F.col("c_nationkey").cast("string")),
     )
     return csv.unionByName(ats).unionByName(resume).unionByName(notes)
 

@@ -45,8 +45,8 @@ def customer_records_sql(orphans: bool = False) -> str:
     tail = f"lpad(CAST({k} % 10000 AS VARCHAR), 4, '0')"
     cols = ["full_name", "headline", "current_company", "years_experience", "linkedin", "github",
             "portfolio", "summary", "location_raw", "city", "region", "country", "emails", "phones",
-            "skills_raw", "education_text"]
-    types = {"years_experience": "DOUBLE", "emails": "VARCHAR[]", "phones": "VARCHAR[]", "skills_raw": "VARCHAR[]"}
+            "skills_raw", "education_text", "has_exp", "has_edu"]
+    types = {"has_exp": "BOOLEAN", "has_edu": "BOOLEAN", "years_experience": "DOUBLE", "emails": "VARCHAR[]", "phones": "VARCHAR[]", "skills_raw": "VARCHAR[]"}
 
     def rec(source, where, **f):
         sel = [f"'{source}-' || {k} AS record_id", f"'{source}' AS source", f"CAST({CERT[source]} AS DOUBLE) AS cert"]
@@ -59,23 +59,25 @@ def customer_records_sql(orphans: bool = False) -> str:
             headline="c_mktsegment", current_company=f"'Company ' || ({k} % 97)",
             location_raw=f"{PLACES_L}[c_nationkey % {len(PLACES)} + 1]",
             years_experience=f"{k} % 25", linkedin=f"'https://linkedin.com/in/customer-' || {k}",
-            skills_raw=f"[{_skill(k)}, {_skill(k + ' * 7')}]", education_text=f"'B.Tech ' || (2000 + {k} % 20)"),
+            skills_raw=f"[{_skill(k)}, {_skill(k + ' * 7')}]", education_text=f"'B.Tech ' || (2000 + {k} % 20)",
+            portfolio=f"CASE WHEN {k} % 10 = 0 THEN 'https://p' || {k} || '.example.org' END"),
         rec("ats", f"{k} % 2 = 0",
             full_name=f"CASE WHEN {k} % 4 = 0 THEN c_name ELSE upper(c_name) END",
             emails=f"[upper({email})]", phones=f"['+1-415-555-' || {tail}]",
             headline="c_mktsegment || ' Lead'", years_experience=f"{k} % 25 + 1",
             city="'City' || c_nationkey", github=f"'https://github.com/cust' || {k}",
-            skills_raw=f"[lower({_skill(k)}), {_skill(k + ' + 3')}]"),
+            skills_raw=f"[lower({_skill(k)}), {_skill(k + ' + 3')}]",
+            country=f"CASE WHEN {k} % 8 = 0 THEN 'usa' END", has_exp="TRUE", has_edu=f"{k} % 4 = 0"),
         rec("resume", f"{k} % 3 = 0", full_name="c_name",
             emails=f"[{email}, 'c' || {k} || '@mail.example.org']",
             headline=f"'Engineer at Company ' || ({k} % 97)",
             years_experience=f"CASE WHEN {k} % 6 = 0 THEN {k} % 25 + 2 END",
             summary="'Account balance ' || CAST(c_acctbal AS VARCHAR)",
-            skills_raw=f"[upper({_skill(k + ' * 7')}), {_skill(k + ' + 5')} || 's']"),
+            skills_raw=f"[upper({_skill(k + ' * 7')}), {_skill(k + ' + 5')} || 's']", has_exp="TRUE", has_edu="TRUE"),
         rec("notes", f"{k} % 5 = 0", full_name="lower(c_name)",
             emails=f"['  Customer' || {k} || '@Example.com ']",
             current_company=f"'Company ' || (({k} + 1) % 97)",
-            skills_raw=f"[{_skill(k + ' + 11')}]"),
+            skills_raw=f"[{_skill(k + ' + 11')}]", region="'Region ' || c_nationkey"),
     ]
     if orphans:
         phone = f"CASE WHEN {k} % 2 = 0 THEN '(415) 555-' || {tail} ELSE '(212) 555-' || {tail} END"
@@ -252,8 +254,8 @@ def oracle_golden_confidence() -> str:
         "location": "(location_raw <> '') OR (city <> '') OR (country <> '')",
         "years_experience": "years_experience IS NOT NULL AND years_experience <> 0",
         "skills": "len(skills_raw) > 0",
-        "experience": "FALSE",
-        "education": "education_text IS NOT NULL AND education_text <> ''",
+        "experience": "has_exp",
+        "education": "has_edu OR (education_text IS NOT NULL AND education_text <> '')",
         "links": "(linkedin <> '') OR (github <> '') OR (portfolio <> '')",
     }
     valid_phones = f"len(list_filter(list_transform(phones, lambda p: {phone_sql('p')}), lambda x: x IS NOT NULL)) > 0"
@@ -265,8 +267,8 @@ def oracle_golden_confidence() -> str:
         "location": "bool_or(location_raw IS NOT NULL OR city IS NOT NULL OR country IS NOT NULL)",
         "years_experience": "bool_or(years_experience IS NOT NULL)",
         "skills": f"bool_or(len(list_filter(skills_raw, lambda s: s IS NOT NULL AND s <> '')) > 0)",
-        "experience": "FALSE",
-        "education": "FALSE",
+        "experience": "bool_or(has_exp)",
+        "education": "bool_or(has_edu)",
         "links": "TRUE",
     }
     aggs = ["count(*) AS n_records"]
@@ -672,7 +674,9 @@ entries AS (
   UNION ALL SELECT entity_key, {PROVENANCE_ORDER.index('phones')}, 0, 0.0, 0, '', 'phones', 'merged', 'union' FROM raw_p
   UNION ALL SELECT l.entity_key, {PROVENANCE_ORDER.index('location')}, 0, 0.0, 0, '', 'location', COALESCE(ls.src, 'merged'),
          'location_normalizer' FROM locset l LEFT JOIN locsrc ls ON l.entity_key = ls.entity_key
-  UNION ALL SELECT entity_key, {PROVENANCE_ORDER.index('skills')}, 0, 0.0, 0, '', 'skills', 'merged', 'skill_normalizer+fuzzy' FROM sk)
+  UNION ALL SELECT entity_key, {PROVENANCE_ORDER.index('skills')}, 0, 0.0, 0, '', 'skills', 'merged', 'skill_normalizer+fuzzy' FROM sk
+  UNION ALL SELECT DISTINCT entity_key, {PROVENANCE_ORDER.index('experience')}, 0, 0.0, 0, '', 'experience', 'merged', 'union+dedup' FROM keyed WHERE has_exp
+  UNION ALL SELECT DISTINCT entity_key, {PROVENANCE_ORDER.index('education')}, 0, 0.0, 0, '', 'education', 'merged', 'union+dedup' FROM keyed WHERE has_edu)
 SELECT entity_key, CAST(count(*) AS INTEGER) AS n,
        string_agg(pfield || ':' || source || ':' || method, '|' ORDER BY f, alt, s, r, src) AS provenance
 FROM entries GROUP BY entity_key"""
@@ -714,6 +718,18 @@ def _scored_e6_sql() -> str:
     )
 
 
+def _expected_histories() -> str:
+    """Histories as the rules of ``customer_records`` imply them: first spelling by source order, repeats dropped."""
+    k = "c_custkey"
+    firm, school = f"('Company ' || ({k} % 97))", f"('Univ ' || ({k} % 13))"
+    return f"""SELECT 'customer' || {k} || '@example.com' AS entity_key,
+  concat_ws('|', CASE WHEN {k} % 2 = 0 THEN {firm} || ';' || c_mktsegment || ';2015-01;2018-06' WHEN {k} % 3 = 0 THEN lower({firm}) || ';Copy;2015-01;2018-01' END,
+    CASE WHEN {k} % 3 = 0 THEN 'Startup;CTO;2019-01;' END) AS experience,
+  concat_ws('|', CASE WHEN {k} % 4 = 0 THEN {school} || ';B.Tech;Physics;2010' WHEN {k} % 3 = 0 THEN upper({school}) || ';b.tech;;2011' END,
+    CASE WHEN {k} % 3 = 0 THEN 'Open School;;Law;' END) AS education
+FROM customer"""
+
+
 def oracle_golden_records() -> str:
     """The flagship, composed from the part oracles over E6-keyed records."""
     _MODE["e6"] = True
@@ -741,6 +757,7 @@ wide AS (SELECT entity_key,
         max(CASE WHEN field = 'years_experience' THEN value END) AS yv,
         max(CASE WHEN field = 'linkedin' THEN value END) AS linkedin,
         max(CASE WHEN field = 'github' THEN value END) AS github,
+        max(CASE WHEN field = 'portfolio' THEN value END) AS portfolio,
         max(CASE WHEN field = 'location_raw' THEN value END) AS lr,
         max(CASE WHEN field = 'city' THEN value END) AS cw,
         max(CASE WHEN field = 'region' THEN value END) AS rw,
@@ -753,9 +770,10 @@ SELECT e.entity_key,
   {city} AS city,
   {region} AS region,
   {country} AS country,
-  w.linkedin, w.github, w.headline, TRY_CAST(w.yv AS DOUBLE) AS years_experience,
-  COALESCE(sk.skills, '') AS skills, 0 AS n_experience, 0 AS n_education, gp.provenance, gc.overall_confidence
+  w.linkedin, w.github, w.portfolio, w.headline, TRY_CAST(w.yv AS DOUBLE) AS years_experience,
+  COALESCE(sk.skills, '') AS skills, COALESCE(h.experience, '') AS experience, COALESCE(h.education, '') AS education, gp.provenance, gc.overall_confidence
 FROM ents e
+LEFT JOIN ({_expected_histories()}) h ON e.entity_key = h.entity_key
 LEFT JOIN wide w ON e.entity_key = w.entity_key
 LEFT JOIN ({lists}) l ON e.entity_key = l.entity_key
 LEFT JOIN (SELECT entity_key, string_agg(name || ':' || CAST(confidence AS VARCHAR) || ':' || sources, '|' ORDER BY ord) AS skills

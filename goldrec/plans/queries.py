@@ -56,6 +56,10 @@ def _join(c):
     return F.array_join(c, "|")
 
 
+def _items(column, fields):
+    return _join(F.transform(column, lambda x: F.array_join(F.array(*[F.coalesce(x[f].cast("string"), F.lit("")) for f in fields]), ";")))
+
+
 # --- survivorship ----------------------------------------------------------
 
 
@@ -103,9 +107,10 @@ def golden_records(spark, sf_dir):
         "entity_key", "candidate_id", "full_name", _join("emails").alias("emails"), _join("phones").alias("phones"),
         F.col("location.city").alias("city"), F.col("location.region").alias("region"),
         F.col("location.country").alias("country"), F.col("links.linkedin").alias("linkedin"),
-        F.col("links.github").alias("github"), "headline", "years_experience",
-        _join(skills).alias("skills"), F.size("experience").alias("n_experience"),
-        F.size("education").alias("n_education"), _join(prov).alias("provenance"), "overall_confidence",
+        F.col("links.github").alias("github"), F.col("links.portfolio").alias("portfolio"), "headline", "years_experience",
+        _join(skills).alias("skills"), _items("experience", ["company", "title", "start", "end"]).alias("experience"),
+        _items("education", ["institution", "degree", "field", "end_year"]).alias("education"),
+        _join(prov).alias("provenance"), "overall_confidence",
     )
 
 
