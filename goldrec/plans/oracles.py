@@ -784,6 +784,7 @@ LEFT JOIN ({prov}) gp ON e.entity_key = gp.entity_key"""
 
 ORACLES["golden_records"] = oracle_golden_records
 
+from goldrec.plans.exports import ORACLES as _EXPORTS  # noqa: E402
 from goldrec.plans.texts import oracle_notes_fields, oracle_resume_fields  # noqa: E402
 
-ORACLES.update({"resume_fields": oracle_resume_fields, "notes_fields": oracle_notes_fields})
+ORACLES.update({"resume_fields": oracle_resume_fields, "notes_fields": oracle_notes_fields, **_EXPORTS})

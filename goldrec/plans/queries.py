@@ -511,6 +511,7 @@ def golden_provenance(spark, sf_dir):
 QUERIES["golden_provenance"] = golden_provenance
 
 
+from goldrec.plans.exports import QUERIES as _EXPORTS  # noqa: E402
 from goldrec.plans.texts import notes_fields, resume_fields  # noqa: E402
 
-QUERIES.update({"resume_fields": resume_fields, "notes_fields": notes_fields})
+QUERIES.update({"resume_fields": resume_fields, "notes_fields": notes_fields, **_EXPORTS})
