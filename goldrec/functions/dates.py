@@ -69,6 +69,3 @@ def _month(s: Column) -> Column:
 def normalize_year(c: Column) -> Column:
     """First 19xx/20xx year standing alone as a word, as int."""
     return _nz(F.regexp_extract(c.cast("string"), YEAR_RX, 1)).try_cast("int")
-
-
-__all__ = ["normalize_date", "normalize_year", "ISO_RX", "QUARTER_RX", "MONTH_YEAR_RX", "NUMERIC_RX", "YEAR_RX"]

@@ -68,5 +68,4 @@ ISO_DATE = r"^((?:19|20)\d{2})-(\d{2})"
 QUARTER_DATE = r"(Q[1-4])\s*((?:19|20)\d{2})"  # case-insensitive
 MONTH_YEAR = r"([A-Za-z]+)['\s,.-]+((?:19|20)\d{2})|((?:19|20)\d{2})['\s,.-]+([A-Za-z]+)"
 NUMERIC_MONTH_YEAR = r"(\d{1,2})[/\-]((?:19|20)\d{2})|((?:19|20)\d{2})[/\-](\d{1,2})"
-BARE_YEAR = r"\b((?:19|20)\d{2})\b"
 # ---------------------------------------------------------------------------

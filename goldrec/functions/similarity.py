@@ -10,10 +10,8 @@ the length bound ``2 * min(la, lb) / (la + lb) >= cutoff / 100``.
 
 from __future__ import annotations
 
-import functools
 import sys
 
-import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,11 +58,6 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
     return indel_ratio(token_sort(a), token_sort(b))
 
 
-def length_bound(la: Column, lb: Column, cutoff: float) -> Column:
-    """Necessary condition for ratio >= cutoff; use it as a join predicate."""
-    return F.least(la, lb) * 200 >= (la + lb) * F.lit(cutoff)
-
-
 def token_sort_sql(x: str) -> str:
     return f"array_to_string(list_sort(list_filter(regexp_split_to_array({x}, '{WS_CLASS}+'), lambda t: t <> '')), ' ')"
 
@@ -88,11 +81,11 @@ def token_sort_ratio_sql(a: str, b: str) -> str:
     )
 
 
-# --- vectorised path ---------------------------------------------------------
+# --- in tasks ------------------------------------------------------------------
 #
-# The fold above is exact but interpreted and copies the DP row per cell.  The
-# same ratio via the bit-parallel LCS recurrence (one big-integer step per
-# character) in an Arrow-batched pandas UDF is far cheaper; it is the default.
+# The fold above is exact but interpreted and copies the DP row per cell.  Inside
+# Arrow-batched functions the bit-parallel LCS recurrence (one big-integer step
+# per character) gives the same ratio far cheaper.
 
 
 def _lcs_bits(a: str, b: str) -> int:
@@ -121,21 +114,3 @@ def _ratio_py(a: str | None, b: str | None) -> float | None:
 
 # by value: workers need not have the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-@functools.lru_cache(maxsize=None)
-def _ratio_udf():
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        known: dict[tuple, float | None] = {}  # a batch repeats pairs
-        for pair in zip(a, b):
-            if pair not in known:
-                known[pair] = _ratio_py(*pair)
-        return pd.Series([known[pair] for pair in zip(a, b)], dtype="float64")
-
-    return ratio
-
-
-def token_sort_ratio_fast(a: Column, b: Column) -> Column:
-    """D8 as an Arrow-batched pandas UDF (bit-parallel LCS); same values as ``token_sort_ratio``."""
-    return _ratio_udf()(a, b)

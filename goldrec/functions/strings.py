@@ -52,26 +52,3 @@ def canonical_emails(arr: Column) -> Column:
 def entity_id(seed: Column) -> Column:
     """D9: 'cand_' + first 12 hex digits of SHA-256 of the lower-cased seed."""
     return F.concat(F.lit("cand_"), F.substring(F.sha2(F.lower(py_strip(seed)), 256), 1, 12))
-
-
-def round4(c: Column) -> Column:
-    """4-digit rounding."""
-    return F.round(c, 4)
-
-
-def cap(c: Column, hi: float = 1.0) -> Column:
-    """Upper cap."""
-    return F.least(c, F.lit(hi))
-
-
-def is_populated(c: Column, kind: str) -> Column:
-    """not null, not an empty list, not an all-null location."""
-    if kind == "array":
-        return c.isNotNull() & (F.size(c) > 0)
-    if kind == "location":
-        return c.isNotNull() & (c["city"].isNotNull() | c["region"].isNotNull() | c["country"].isNotNull())
-    if kind == "struct":
-        return c.isNotNull()
-    if kind == "double":
-        return c.isNotNull()
-    return c.isNotNull()

@@ -28,18 +28,17 @@ NAME_LABEL_RX = "(?iud)" + P.portable(P.NAME_LABEL)
 SKILLS_SECTION_RX = "(?ius)" + P.portable(P.SKILLS_SECTION).replace(r"\Z", r"\z")
 EDUCATION_SECTION_RX = "(?ius)" + P.portable(P.EDUCATION_SECTION).replace(r"\Z", r"\z")
 EXPERIENCE_SECTION_RX = "(?ius)" + P.portable(P.EXPERIENCE_SECTION).replace(r"\Z", r"\z")
-DEGREE_RX = "(?iu)" + P.portable(P.DEGREE)
-EDU_YEAR_RX = P.portable(r"\b((?:19|20)\d{2})\b")
+# Java's \b knows ASCII words only; this edge knows all letters and digits.
+_W = r"[\p{L}\p{N}_]"
+WORD_EDGE = rf"(?:(?<={_W})(?!{_W})|(?<!{_W})(?={_W}))"
+DEGREE_RX = "(?iu)" + P.portable(P.DEGREE).replace(r"\b", WORD_EDGE)
+EDU_YEAR_RX = P.portable(r"\b((?:19|20)\d{2})\b").replace(r"\b", WORD_EDGE)
 
 
 def _nz(c: Column) -> Column:
     return F.when(c != "", c)
 
 
-def _distinct_nonempty(arr: Column) -> Column:
-    return F.array_distinct(F.filter(arr, lambda x: x != ""))
-
-
 def lines_of(text: Column) -> Column:
     """Stripped non-blank lines, like ``[l.strip() for l in splitlines() if l.strip()]``."""
     return F.filter(F.transform(F.split(text, LINE_BREAK), py_strip), lambda x: x != "")

@@ -38,13 +38,6 @@ PROVENANCE_ORDER = WINNER_FIELDS + ["emails", "phones"] + LOCATION_FIELDS + [
 ]
 
 
-def field_ordinal(field_col) -> "F.Column":
-    expr = F.when(F.lit(False), F.lit(0))
-    for i, f in enumerate(PROVENANCE_ORDER):
-        expr = expr.when(field_col == f, F.lit(i))
-    return expr.otherwise(F.lit(len(PROVENANCE_ORDER)))
-
-
 def with_score(records: DataFrame) -> DataFrame:
     """score = source weight x extraction certainty; source_rank orders sources by weight."""
     cert = F.coalesce(F.col("extraction_confidence"), F.lit(DEFAULT_CERTAINTY))
@@ -109,36 +102,3 @@ def alternatives(claims: DataFrame, winners: DataFrame) -> DataFrame:
 
 def method_text(score_col) -> "F.Column":
     return F.format_string("priority_score=%.3f", score_col)
-
-
-def winner_provenance(winners: DataFrame, alts: DataFrame) -> DataFrame:
-    """G11 part: entity_key, ord struct, field, source, method for winners and alternatives."""
-    win = winners.select(
-        "entity_key",
-        F.struct(field_ordinal(F.col("field")).alias("f"), F.lit(0).alias("alt"),
-                 (-F.col("score")).alias("s"), F.lit(0).alias("r"), F.col("source").alias("src")).alias("ord"),
-        F.col("field"),
-        F.col("source"),
-        method_text(F.col("score")).alias("method"),
-    )
-    alt = alts.select(
-        "entity_key",
-        F.struct(field_ordinal(F.col("field")).alias("f"), F.lit(1).alias("alt"),
-                 (-F.col("score")).alias("s"), F.col("source_rank").alias("r"), F.col("source").alias("src")).alias("ord"),
-        F.concat(F.col("field"), F.lit("[alt]")).alias("field"),
-        F.col("source"),
-        method_text(F.col("score")).alias("method"),
-    )
-    return win.unionByName(alt)
-
-
-def best_source(keyed: DataFrame, field: str) -> DataFrame:
-    """Per entity, the source of highest weight whose record has ``field`` (truthy)."""
-    scored = with_score(keyed)
-    v = F.col(f"fields.{field}")
-    truthy = v.isNotNull() & (v.cast("string") != "")
-    return (
-        scored.where(truthy)
-        .groupBy("entity_key")
-        .agg(F.min_by("source", F.struct("source_rank", "record_id")).alias(f"{field}_best_source"))
-    )

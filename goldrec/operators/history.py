@@ -12,14 +12,6 @@ from pyspark.sql import functions as F
 
 from goldrec.functions.dates import normalize_date, normalize_year
 from goldrec.functions.strings import py_strip
-from goldrec.operators.claims import with_score
-
-
-def _items(keyed: DataFrame, field: str) -> DataFrame:
-    return with_score(keyed).select(
-        "entity_key", "source_rank", "record_id",
-        F.posexplode(F.col(f"fields.{field}")).alias("pos", "item"),
-    ).where(F.col("item").isNotNull())
 
 
 def _ranked(it: DataFrame) -> DataFrame:
@@ -35,11 +27,6 @@ def _nz(c):
     return F.when(s != "", s)
 
 
-def experience_items(keyed: DataFrame) -> DataFrame:
-    """entity_key, k1, k2, o, item: normalised experience items with their de-dup key."""
-    return experience_items_from(_items(keyed, "experience_raw"), "item")
-
-
 def experience_norm(item: Column) -> Column:
     """One raw experience item, normalised."""
     return F.struct(
@@ -80,10 +67,6 @@ def experience_items_from(it: DataFrame, col: str = "item") -> DataFrame:
     return _items_from(it, col, experience_norm, experience_key)
 
 
-def education_items(keyed: DataFrame) -> DataFrame:
-    return education_items_from(_items(keyed, "education_raw"), "item")
-
-
 def education_items_from(it: DataFrame, col: str = "item") -> DataFrame:
     return _items_from(it, col, education_norm, education_key)
 

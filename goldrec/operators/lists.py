@@ -52,8 +52,3 @@ def union_phones(keyed: DataFrame, region: str = "US") -> DataFrame:
     """G4 + D4: entity_key, phones (E.164, invalid dropped, distinct, ordered)."""
     items = exploded(keyed, "phones")
     return ordered_union(items, normalize_phone(F.col("raw"), region), "phones")
-
-
-def has_raw_values(keyed: DataFrame, field: str) -> DataFrame:
-    """entity_key of entities with at least one non-empty raw item (for 'union' provenance)."""
-    return exploded(keyed, field).select("entity_key").distinct()

@@ -14,21 +14,19 @@ from pyspark.sql import functions as F
 
 from goldrec.functions import dates as D
 from goldrec.functions import text as X
-from goldrec.functions.locations import PART_SPLIT, country_keys, normalize_location
-from goldrec.functions.patterns import WS_CLASS
-from goldrec.functions.phones import normalize_phones, phone_sql
-from goldrec.functions.similarity import token_sort_ratio_sql
+from goldrec.functions.locations import normalize_location
+from goldrec.functions.phones import normalize_phones
 from goldrec.functions.strings import entity_id
 from goldrec.operators import claims as C
-from goldrec.operators.confidence import confidence_columns, record_stats
 from goldrec.operators.history import dedup_items, education_items_from, experience_items_from
 from goldrec.operators.lists import union_emails, union_phones
 from goldrec.operators.merge import merge_records
 from goldrec.operators.resolve import resolve
 from goldrec.operators.skills import canonical_skills
-from goldrec.plans import oracles as O
 from goldrec.plans.derive import customer_records, customer_records_with_orphans
-from goldrec.sources.dims import MONTHS, QUARTERS, SKILLS, US_STATES, literal_array
+from goldrec.plans.exports import QUERIES as _EXPORTS
+from goldrec.plans.texts import notes_fields, resume_fields
+from goldrec.sources.dims import SKILLS, literal_array
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -356,8 +354,8 @@ def projected_custom(spark, sf_dir):
 
 
 def violations_report(spark, sf_dir):
-    """V1/V3: golden rows with injected faults -> violation rows."""
-    from goldrec.operators.quality import validate
+    """V1/V3/S3: golden rows with injected faults -> violation rows in report order."""
+    from goldrec.operators.quality import sort_violations, validate
 
     g = merge_records(spark, _keyed(spark, sf_dir, materialize=True))
     k = F.regexp_extract("entity_key", r"^customer([0-9]+)@", 1).try_cast("long")
@@ -368,7 +366,7 @@ def violations_report(spark, sf_dir):
         .withColumn("emails", F.when(k % 17 == 0, F.concat(F.array(F.lit(None).cast("string")), F.col("emails"))).otherwise(F.col("emails")))
         .withColumn("provenance", F.when(k % 19 == 0, F.concat(bad_prov, F.col("provenance"))).otherwise(F.col("provenance")))
     )
-    return validate(g)
+    return sort_violations(validate(g))
 
 
 QUERIES.update({
@@ -511,7 +509,4 @@ def golden_provenance(spark, sf_dir):
 QUERIES["golden_provenance"] = golden_provenance
 
 
-from goldrec.plans.exports import QUERIES as _EXPORTS  # noqa: E402
-from goldrec.plans.texts import notes_fields, resume_fields  # noqa: E402
-
 QUERIES.update({"resume_fields": resume_fields, "notes_fields": notes_fields, **_EXPORTS})

@@ -74,13 +74,6 @@ GOLDEN = T.StructType(
 )
 
 
-def empty_fields_struct():
-    """A ``fields`` struct of all nulls, used to build records column by column."""
-    from pyspark.sql import functions as F
-
-    return F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in FIELDS.fields])
-
-
 def fields_struct(**cols):
     """Build the ``fields`` struct from keyword Columns; absent keys are null."""
     from pyspark.sql import functions as F

@@ -9,9 +9,7 @@ from __future__ import annotations
 import functools
 import os
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _DATA = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data")
 

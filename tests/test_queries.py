@@ -4,12 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from goldrec.plans import oracles, queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-FAST = ["field_winners", "field_alternatives", "union_lists", "entity_ids", "dates_normalized", "locations",
-        "doc_contacts", "page_links", "notes_extract", "resume_extract", "history_dedup", "education_dedup",
-        "match_fallback", "skills_normalized", "events_winner", "csv_mapping", "json_mapping", "skills_merged", "golden_provenance", "golden_records", "projected_custom"]
+NAMES = sorted(set(oracles.ORACLES) & set(queries.QUERIES))
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +25,7 @@ def _norm(v):
     return v
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     cols = sorted(df.columns)
