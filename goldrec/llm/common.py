@@ -7,6 +7,7 @@ import gc
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,6 +72,27 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def lean(run: Callable) -> Callable:
+    """``run`` over batches; when it ends, the worker gives its free memory back, as later stages reuse it."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z to a-z, all else unchanged."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -78,3 +100,6 @@ def lower_ascii(c: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+ship(__name__)

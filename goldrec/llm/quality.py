@@ -24,8 +24,9 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import PandasUDFType
 
-from goldrec.llm.common import Scratch, ship
+from goldrec.llm.common import Scratch, lean, ship
 
 MAX_FIT = 20_000
 RIDGE = 1.0
@@ -170,7 +171,7 @@ def judge(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> tuple[D
     scratch = Scratch(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("source").alias("host"), F.col("lang").alias("path"), F.col("text").cast("string"))
-    rows = scratch.save(rows.mapInArrow(_feature_rows, f"doc_id {kind}, host string, path string, x array<double>"), "features")
+    rows = scratch.save(rows.mapInArrow(lean(_feature_rows), f"doc_id {kind}, host string, path string, x array<double>"), "features")
     weights = train(rows, labels, max_fit)
     scored = rows.select("doc_id", "host", "path", log_odds(F.col("x"), weights).alias("odds"))
     sites, k_path, share = site_posteriors(scored.withColumn("p", _sigmoid(F.col("odds"))), scratch)
@@ -200,14 +201,16 @@ def keep_good(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Dat
         return docs
     w = weights
 
-    @F.pandas_udf("double")
-    def odds_of(texts):
+    def scored(batches: Iterator) -> Iterator:
         import numpy as np
+        import pandas as pd
 
         kinds = _classes()
-        x = np.array([features(t, kinds) for t in texts]).reshape(-1, FEATURES)
-        return type(texts)(np.clip(x @ np.array(w[:-1]) + w[-1], -MOST_ODDS, MOST_ODDS))
+        for texts in batches:
+            x = np.array([features(t, kinds) for t in texts]).reshape(-1, FEATURES)
+            yield pd.Series(np.clip(x @ np.array(w[:-1]) + w[-1], -MOST_ODDS, MOST_ODDS))
 
+    odds_of = F.pandas_udf(lean(scored), "double", PandasUDFType.SCALAR_ITER)
     sites = sites.select(_site("host", "path").alias("site"), "good", "n", "h_share")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _site("source", "lang").alias("site"), odds_of(F.col("text").cast("string")).alias("odds"))
     rows = rows.join(sites, "site").where(posterior(F.col("odds"), _sigmoid(F.col("odds")), k_path, share) >= 0.5)

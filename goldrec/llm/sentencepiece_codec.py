@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldrec.llm.common import ship
+from goldrec.llm.common import lean, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 32 << 20
@@ -158,8 +158,8 @@ class Codec:
         import sentencepiece
 
         self.model = read_model(data)
-        self.whole = build_tokenizer(self.model)
-        self.parts = build_tokenizer(self.model, whole_texts=False)
+        # one pipeline is enough: the decoder is the same for segments and whole texts
+        self.backend = build_tokenizer(self.model, whole_texts=not self.model.segmented)
         self.other = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.segments = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.mark = self.other.piece_to_id(MARK)
@@ -169,7 +169,7 @@ class Codec:
     def _learn(self, segments: list[str]) -> None:
         if len(self.known) + len(segments) > CACHE:
             self.known.clear()
-        for s, got in zip(segments, self.parts.encode_batch(segments, add_special_tokens=False)):
+        for s, got in zip(segments, self.backend.encode_batch(segments, add_special_tokens=False)):
             self.known[s] = got.ids
         # the other library puts the first marker itself, where the model says so
         texts = [s.replace(MARK, " ")[1:] if self.model.dummy_prefix and s[0] == MARK else s.replace(MARK, " ") for s in segments]
@@ -181,7 +181,7 @@ class Codec:
         """ids and parity of every text."""
         if not self.model.segmented:
             filled = [t or "" for t in texts]
-            got = [e.ids if t else [] for t, e in zip(filled, self.whole.encode_batch(filled, add_special_tokens=False))]
+            got = [e.ids if t else [] for t, e in zip(filled, self.backend.encode_batch(filled, add_special_tokens=False))]
             other = self.other.encode(filled, num_threads=1)
             return [None if t is None else g for t, g in zip(texts, got)], [g == o for g, o in zip(got, other)]
         lead = MARK if self.model.dummy_prefix else ""
@@ -202,7 +202,7 @@ class Codec:
         return ids, parity
 
     def decode(self, ids: list) -> list[str | None]:
-        out = self.whole.decode_batch([i or [] for i in ids], skip_special_tokens=False)
+        out = self.backend.decode_batch([i or [] for i in ids], skip_special_tokens=False)
         return [None if i is None else t for i, t in zip(ids, out)]
 
 
@@ -215,7 +215,7 @@ def model_bytes(path: str = MODEL) -> bytes:
     return data
 
 
-def _rows(batch, at: int, size: int = 2 << 20) -> Iterator[tuple[int, list]]:
+def _rows(batch, at: int, size: int = 1 << 19) -> Iterator[tuple[int, list]]:
     """Runs of rows with about ``size`` characters or ids: (first row, values)."""
     first, held, total = 0, [], 0
     for i, v in enumerate(batch.column(at)):
@@ -254,7 +254,7 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, ids array<int>, n_tokens long, parity boolean, roundtrip boolean")
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(lean(run), f"doc_id {kind}, ids array<int>, n_tokens long, parity boolean, roundtrip boolean")
 
 
 def decode_documents(tokens: DataFrame, path: str = MODEL) -> DataFrame:
@@ -271,7 +271,7 @@ def decode_documents(tokens: DataFrame, path: str = MODEL) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(ids)), pa.array(codec.decode(ids), pa.string())], names=["doc_id", "text"])
 
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    return tokens.select("doc_id", F.col("ids").cast("array<int>")).mapInArrow(run, f"doc_id {kind}, text string")
+    return tokens.select("doc_id", F.col("ids").cast("array<int>")).mapInArrow(lean(run), f"doc_id {kind}, text string")
 
 
 ship(__name__)

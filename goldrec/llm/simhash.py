@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldrec.llm.common import Scratch, release, ship
+from goldrec.llm.common import Scratch, lean, release, ship
 from goldrec.llm.components import connected_components
 
 SHINGLE = 3
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.int64())], names=["doc_id", "tkey", "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, tkey long, fp long")
+    return rows.mapInArrow(lean(run), "doc_id long, tkey long, fp long")
 
 
 def links(fps: DataFrame, max_bits: int = BITS) -> DataFrame:

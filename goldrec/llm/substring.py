@@ -42,7 +42,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldrec.llm.common import Scratch, release, ship
+from goldrec.llm.common import Scratch, lean, release, ship
 
 WINDOW = 13
 PHRASE = 6  # words of an anchor phrase
@@ -417,34 +417,34 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = docs.where("doc_id is not null and text is not null")
 
-    anchors = known.mapInArrow(_anchor_rows(window, phrase), "h long, low long, high long, n long")
+    anchors = known.mapInArrow(lean(_anchor_rows(window, phrase)), "h long, low long, high long, n long")
     anchors = anchors.groupBy("h").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
     shared = scratch.save(anchors.where("low < high").select("h", (F.col("n") > frequent).alias("often")), "anchors")
     release(spark)
 
-    mine = known.mapInArrow(_anchors_of(window, phrase), "h long, doc_id long").join(shared, "h")
+    mine = known.mapInArrow(lean(_anchors_of(window, phrase)), "h long, doc_id long").join(shared, "h")
     mine = mine.groupBy("doc_id").agg(F.collect_set("h").alias("shared"), F.collect_set(F.when(F.col("often"), F.col("h"))).alias("frequent"))
     keyed = known.select("doc_id", F.xxhash64("text").alias("tkey"), "text")
     passages = scratch.save(keyed.join(mine, "doc_id"), "passages")
     release(spark)
 
-    pieces = passages.mapInArrow(_pieces(window, phrase, True), "route long, key long, doc_id long, piece string")
+    pieces = passages.mapInArrow(lean(_pieces(window, phrase, True)), "route long, key long, doc_id long, piece string")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = pieces.repartition(parts, "route").sortWithinPartitions("route")
-    judged = scratch.save(shards.mapInArrow(_judge(window, shard_words), "route long, key long, firsts array<long>"), "judged")
+    judged = scratch.save(shards.mapInArrow(lean(_judge(window, shard_words)), "route long, key long, firsts array<long>"), "judged")
     release(spark)
 
-    places = passages.mapInArrow(_pieces(window, phrase, False), "route long, key long, doc_id long, tkey long, at int")
+    places = passages.mapInArrow(lean(_pieces(window, phrase, False)), "route long, key long, doc_id long, tkey long, at int")
     places = places.join(judged.where(F.exists("firsts", lambda f: f.isNotNull())), ["route", "key"])
     places = places.where(F.exists("firsts", lambda f: f < F.col("doc_id")))
     marks = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.col("at") + i)), lambda x: x.isNotNull())
     places = places.select("doc_id", "tkey", marks.alias("marks")).groupBy("doc_id", "tkey").agg(F.flatten(F.collect_list("marks")).alias("places"))
     cut = passages.select("doc_id", "tkey", "text").join(places, ["doc_id", "tkey"])
-    cut = cut.mapInPandas(_cut(window), f"doc_id long, tkey long, cut long, cut_sha256 string, cut_spans {SPANS}")
+    cut = cut.mapInPandas(lean(_cut(window)), f"doc_id long, tkey long, cut long, cut_sha256 string, cut_spans {SPANS}")
     cut = scratch.save(cut.dropDuplicates(["doc_id", "tkey"]), "cut")
     release(spark)
 
-    whole = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").mapInArrow(_whole, "doc_id long, tkey long, n_words long, whole_sha256 string")
+    whole = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").mapInArrow(lean(_whole), "doc_id long, tkey long, n_words long, whole_sha256 string")
     return whole.join(cut, ["doc_id", "tkey"], "left").select(
         "doc_id",
         "n_words",

@@ -21,7 +21,6 @@ gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldrec.llm.common import Scratch, release, ship
+from goldrec.llm.common import Scratch, lean, release, ship
 from goldrec.llm.components import connected_components
 
 THRESHOLD = 0.93
@@ -182,7 +182,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     classes = classes.select(F.monotonically_increasing_id().alias("cid"), "k1", "k2", "first", "copies", "v", F.xxhash64("label", F.size("v")).alias("grp"))
     classes = scratch.save(classes, "classes")
     bits, tables = plan_tables(classes.count(), threshold)
-    codes = classes.select("cid", "v").mapInPandas(_encode(bits, tables), "cid long, keys array<int>, code binary, factor double")
+    codes = classes.select("cid", "v").mapInPandas(lean(_encode(bits, tables)), "cid long, keys array<int>, code binary, factor double")
     coded = scratch.save(classes.select("cid", "grp", "copies", "v").join(codes, "cid"), "coded")
 
     sizes = coded.select("grp", F.posexplode("keys").alias("tbl", "key")).groupBy("grp", "tbl", "key").agg(F.count("*").alias("n")).where("n > 1")
@@ -196,7 +196,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     unit = ["grp", "tbl", "key", "i", "j"]
     met = met.repartition(parts, *unit).sortWithinPartitions(*unit)
-    found = scratch.save(met.mapInPandas(_link(threshold, bits, tables), "cid long, links long, to long"), "found")
+    found = scratch.save(met.mapInPandas(lean(_link(threshold, bits, tables)), "cid long, links long, to long"), "found")
     release(spark)
 
     roots = connected_components(found.where("cid <> to").select(F.col("cid").alias("a"), F.col("to").alias("b")), scratch)
