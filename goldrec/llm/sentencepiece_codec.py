@@ -5,14 +5,14 @@ trainer settings) and rebuilt as a ``tokenizers`` pipeline: the normaliser, the
 metaspace marker, the unigram scores or, for a BPE model, the merges that its
 scores imply, and byte fallback.
 
-No piece of the usual models runs on over a marker into the next word; where
-that holds (it is checked when the model is read), a text's segments - markers
-and what follows up to the next marker - are encoded one by one, so each
-distinct segment is encoded once per worker and batches of new segments go to
-the library's threads together.  Models with pieces that cross segments are
-encoded by whole texts.  Every segment or text that the library encodes is also
-encoded by the ``sentencepiece`` library; ``parity`` says whether all parts of
-a row agreed.
+No piece of the usual models joins letters and other characters, or runs on
+over a marker into the next word.  Where that holds (it is checked when the
+model is read), a text's segments - markers and the run of letters or of other
+characters behind them - are encoded apart, so a worker encodes each distinct
+segment once and new segments go to the library's threads together.  Models
+with pieces that cross segments are encoded by whole texts.  Whatever the
+library encodes is decoded again, and encoded by the ``sentencepiece`` library:
+``roundtrip`` and ``parity`` say whether all parts of a row agreed.
 
 Defined results: a null text has null ids, 0 tokens, parity and round trip
 true; an empty text has no ids; repeated rows each return; other columns do not
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,7 +35,13 @@ from goldrec.llm.common import lean, ship
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 32 << 20
 MARK = "▁"
-CACHE = 200_000  # segments a worker remembers; the cache starts anew beyond
+CACHE = 400_000  # segments a worker remembers; the cache starts anew beyond
+
+def _kinds(moved: str) -> tuple[str, str]:
+    """Patterns of a letter and of another character but the marker; ``moved`` are letters that count as others."""
+    more = re.escape(moved)
+    return rf"[^\W\d_{more}]", rf"(?:[\d_{more}]|[^\w{MARK}])"
+
 
 # Field numbers and codes of the SentencePiece model format.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -56,10 +63,25 @@ class Model:
     remove_spaces: bool = True
     escape_spaces: bool = True
 
-    @property
-    def segmented(self) -> bool:
-        """Whether no piece holds a marker behind another character."""
-        return self.escape_spaces and not self.charsmap and not self.remove_spaces and not any(re.search(f"[^{MARK}]{MARK}", p) for p, _, _ in self.pieces)
+    def segments(self) -> re.Pattern | None:
+        """Pattern of the segments: no piece holds a marker behind another character, or letters beside others.
+
+        A few letters that pieces hold beside others (say, superscript digits)
+        are counted as others; None if that does not settle it.
+        """
+        if not self.escape_spaces or self.charsmap or self.remove_spaces:
+            return None
+        pieces, moved = [p for p, _, t in self.pieces if t in (NORMAL, USER_DEFINED)], ""
+        for _ in range(8):
+            letter, other = _kinds(moved)
+            crossing = re.compile(f"({letter}){other}|{other}({letter})|[^{MARK}]{MARK}")
+            found = [m for m in map(crossing.search, pieces) if m]
+            if not found:
+                return re.compile(f"{MARK}*(?:{letter}+|{other}+)|{MARK}+")
+            if any(m[0].endswith(MARK) for m in found) or len(moved) > 100:
+                return None
+            moved = "".join(sorted(set(moved) | {m[1] or m[2] for m in found}))
+        return None
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -146,7 +168,7 @@ def build_tokenizer(model: Model, whole_texts: bool = True):
             steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
         steps += [normalizers.Prepend(MARK)] if model.dummy_prefix else []
         out.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
-    parts = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
+    parts = [decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARK, " ")]
     out.decoder = decoders.Sequence(parts + ([decoders.Strip(" ", 1, 0)] if model.dummy_prefix else []))
     return out
 
@@ -159,47 +181,65 @@ class Codec:
 
         self.model = read_model(data)
         # one pipeline is enough: the decoder is the same for segments and whole texts
-        self.backend = build_tokenizer(self.model, whole_texts=not self.model.segmented)
+        self.segments = self.model.segments()
+        self.backend = build_tokenizer(self.model, whole_texts=self.segments is None)
         self.other = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.segments = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.mark = self.other.piece_to_id(MARK)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as int32
         self.odd: set[str] = set()  # segments on which the libraries differ
+        self.lossy: set[str] = set()  # segments that do not decode to themselves
+
+    def _fast(self, texts: list[str]) -> list[list[int]]:
+        encode = getattr(self.backend, "encode_batch_fast", self.backend.encode_batch)  # the fast one leaves out offsets
+        return [e.ids for e in encode(texts, add_special_tokens=False)]
 
     def _learn(self, segments: list[str]) -> None:
-        if len(self.known) + len(segments) > CACHE:
-            self.known.clear()
-        for s, got in zip(segments, self.backend.encode_batch(segments, add_special_tokens=False)):
-            self.known[s] = got.ids
-        # the other library puts the first marker itself, where the model says so
-        texts = [s.replace(MARK, " ")[1:] if self.model.dummy_prefix and s[0] == MARK else s.replace(MARK, " ") for s in segments]
-        for s, text, ids in zip(segments, texts, self.other.encode(texts, num_threads=1)):
-            if self.known[s] != (ids if text or s != MARK else [self.mark]):
+        # the other library puts the first marker itself, where the model says so, and a lone marker is then no text
+        cut = 1 if self.model.dummy_prefix else 0
+        texts = [s.replace(MARK, " ")[cut if s[0] == MARK else 0 :] for s in segments]
+        inner = [i for i, s in enumerate(segments) if cut and s[0] != MARK]
+        ids = self._fast(segments)
+        others = self.other.encode(texts, num_threads=1)
+        if inner:  # inside a text no marker comes before them: a character of the other kind takes it
+            before = ["." if self.segments.match("x" + texts[i]).end() > 1 else "x" for i in inner]
+            size = {c: len(self.other.encode(c)) for c in ".x"}
+            for i, c, got in zip(inner, before, self.other.encode([c + texts[i] for i, c in zip(inner, before)], num_threads=1)):
+                others[i] = got[size[c] :]
+        for s, text, got, other, back in zip(segments, texts, ids, others, self.decode(ids)):
+            self.known[s] = array("i", got).tobytes()
+            if got != (other if text else [self.mark]):
                 self.odd.add(s)
+            if back != text:
+                self.lossy.add(s)
 
-    def encode(self, texts: list[str | None]) -> tuple[list, list[bool]]:
-        """ids and parity of every text."""
-        if not self.model.segmented:
+    def encode_rows(self, texts: list[str | None]) -> tuple[list[bytes | None], list[bool], list[bool]]:
+        """ids (int32 bytes), parity and round trip of every text."""
+        if self.segments is None:
             filled = [t or "" for t in texts]
-            got = [e.ids if t else [] for t, e in zip(filled, self.backend.encode_batch(filled, add_special_tokens=False))]
+            got = [g if t else [] for t, g in zip(filled, self._fast(filled))]
             other = self.other.encode(filled, num_threads=1)
-            return [None if t is None else g for t, g in zip(texts, got)], [g == o for g, o in zip(got, other)]
+            rows = [None if t is None else array("i", g).tobytes() for t, g in zip(texts, got)]
+            return rows, [g == o for g, o in zip(got, other)], [(t or "") == u for t, u in zip(texts, self.decode(got))]
         lead = MARK if self.model.dummy_prefix else ""
         cut = [self.segments.findall((lead + t).replace(" ", MARK)) if t else [] for t in texts]
-        self.odd.clear()
-        new = list({s for c in cut for s in c if s not in self.known})
+        wanted = {s for c in cut for s in c}
+        new = [s for s in wanted if s not in self.known]
         if len(self.known) + len(new) > CACHE:
-            new = list({s for c in cut for s in c})
+            self.known.clear()
+            self.odd.clear()
+            self.lossy.clear()
+            new = list(wanted)
         if new:
             self._learn(new)
-        known, ids, parity = self.known, [], []
-        for t, c in zip(texts, cut):
-            row: list[int] = []
-            for s in c:
-                row += known[s]
-            ids.append(None if t is None else row)
-            parity.append(not self.odd or self.odd.isdisjoint(c))
-        return ids, parity
+        known = self.known
+        rows = [None if t is None else b"".join([known[s] for s in c]) for t, c in zip(texts, cut)]
+        parity = [not self.odd or self.odd.isdisjoint(c) for c in cut]
+        return rows, parity, [MARK not in (t or "") and (not self.lossy or self.lossy.isdisjoint(c)) for t, c in zip(texts, cut)]
+
+    def encode(self, texts: list[str | None]) -> tuple[list, list[bool]]:
+        """ids and parity of every text."""
+        rows, parity, _ = self.encode_rows(texts)
+        return [None if r is None else list(array("i", r)) for r in rows], parity
 
     def decode(self, ids: list) -> list[str | None]:
         out = self.backend.decode_batch([i or [] for i in ids], skip_special_tokens=False)
@@ -235,21 +275,19 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
     data = spark.sparkContext.broadcast(model_bytes(path))
 
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
         codec = Codec(data.value)
         for b in batches:
             for first, texts in _rows(b, 1):
-                ids, parity = codec.encode(texts)
-                back = codec.decode(ids)
+                rows, parity, roundtrip = codec.encode_rows(texts)
+                sizes = np.array([len(r or b"") // 4 for r in rows], np.int64)
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                offsets = pa.array(ends.astype(np.int32), mask=np.array([*(r is None for r in rows), False]))
+                flat = pa.array(np.frombuffer(b"".join(r or b"" for r in rows), np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0).slice(first, len(texts)),
-                        pa.array(ids, pa.list_(pa.int32())),
-                        pa.array([len(i or []) for i in ids], pa.int64()),
-                        pa.array(parity),
-                        pa.array([t == u for t, u in zip(texts, back)]),
-                    ],
+                    [b.column(0).slice(first, len(texts)), pa.ListArray.from_arrays(offsets, flat), pa.array(sizes), pa.array(parity), pa.array(roundtrip)],
                     names=["doc_id", "ids", "n_tokens", "parity", "roundtrip"],
                 )
 

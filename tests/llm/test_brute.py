@@ -261,7 +261,7 @@ def test_model_is_read(codec):
     model = read_model(model_bytes())
     other = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     assert [(p, round(s, 3)) for p, s, _ in model.pieces] == [(other.id_to_piece(i), round(other.get_score(i), 3)) for i in range(len(other))]
-    assert model.segmented and model.byte_fallback and len(merges_of(model)) > 30_000
+    assert model.segments() and model.byte_fallback and len(merges_of(model)) > 30_000
 
 
 def test_unigram_models_are_rebuilt():
