@@ -19,38 +19,38 @@ def _records(spark, rows):
 
 def test_higher_priority_wins_and_alt_recorded(spark):
     recs = _records(spark, [
-        ("csv", 0.95, {"full_name": "Alice Smith", "headline": "Engineer", "emails": ["alice@ex.com"]}),
-        ("notes", 0.55, {"full_name": "Alice S.", "headline": "Senior Eng", "emails": ["ALICE@ex.com "]}),
+        ("csv", 0.95, {"full_name": "Mara Quinn", "headline": "Cartographer", "emails": ["mara@quinn.example"]}),
+        ("notes", 0.55, {"full_name": "Mara Q.", "headline": "Maps and surveys", "emails": ["MARA@quinn.example "]}),
     ])
     keyed = resolve(recs, fallback=False)
     cl = field_claims(keyed)
     w = {r["field"]: r for r in pick_winners(cl).collect()}
-    assert w["full_name"]["value"] == "Alice Smith" and w["full_name"]["source"] == "csv"
+    assert w["full_name"]["value"] == "Mara Quinn" and w["full_name"]["source"] == "csv"
     alts = {(r["field"], r["source"]) for r in alternatives(cl, pick_winners(cl)).collect()}
     assert ("headline", "notes") in alts and ("full_name", "notes") in alts
 
 
 def test_missing_field_skipped(spark):
-    recs = _records(spark, [("csv", 0.95, {"emails": ["b@x.com"]}), ("notes", 0.55, {"full_name": "Bob", "emails": ["b@x.com"]})])
+    recs = _records(spark, [("csv", 0.95, {"emails": ["tobi@y.example"]}), ("notes", 0.55, {"full_name": "Tobi", "emails": ["tobi@y.example"]})])
     w = {r["field"]: r["value"] for r in pick_winners(field_claims(resolve(recs, fallback=False))).collect()}
-    assert w["full_name"] == "Bob" and "headline" not in w
+    assert w["full_name"] == "Tobi" and "headline" not in w
 
 
 def test_emails_unioned_in_priority_order(spark):
     recs = _records(spark, [
-        ("notes", 0.55, {"emails": ["a@x.com", "z@x.com"]}),
-        ("csv", 0.95, {"emails": ["A@x.com", "b@x.com"]}),
+        ("notes", 0.55, {"emails": ["uma@y.example", "zoe@y.example"]}),
+        ("csv", 0.95, {"emails": ["UMA@y.example", "tobi@y.example"]}),
     ])
     keyed = resolve(recs, fallback=False)
     got = {r["entity_key"]: r["emails"] for r in union_emails(keyed).collect()}
-    assert got["a@x.com"] == ["a@x.com", "b@x.com", "z@x.com"]
+    assert got["uma@y.example"] == ["uma@y.example", "tobi@y.example", "zoe@y.example"]
 
 
 def test_majority_breaks_equal_scores(spark):
     recs = _records(spark, [
-        ("csv", 0.95, {"full_name": "Ann Lee", "emails": ["ann@x.com"]}),
-        ("csv", 0.95, {"full_name": "Anne Lee", "emails": ["ann@x.com"]}),
-        ("csv", 0.95, {"full_name": "Anne Lee", "emails": ["ann@x.com"]}),
+        ("csv", 0.95, {"full_name": "Nel Voss", "emails": ["nel@v.example"]}),
+        ("csv", 0.95, {"full_name": "Nele Voss", "emails": ["nel@v.example"]}),
+        ("csv", 0.95, {"full_name": "Nele Voss", "emails": ["nel@v.example"]}),
     ])
     w = pick_winners(field_claims(resolve(recs, fallback=False))).where(F.col("field") == "full_name").first()
-    assert w["value"] == "Anne Lee" and w["agree"] == 2
+    assert w["value"] == "Nele Voss" and w["agree"] == 2
