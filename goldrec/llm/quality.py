@@ -115,6 +115,9 @@ def train(feature_rows: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) ->
     import numpy as np
 
     labelled = feature_rows.select("doc_id", "x").join(labels.where("quality in (0, 1)").select("doc_id", "quality"), "doc_id")
+    n, steps = labelled.count(), 1 << 30
+    if n > max_fit:  # thinned by hash first: a sorted limit alone would send max_fit rows from every task to the driver
+        labelled = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(steps)) < int(steps * 0.9 * max_fit / n))
     rows = labelled.select(F.xxhash64("doc_id").alias("h"), "doc_id", "x", "quality").orderBy("h", "doc_id", "quality", "x").limit(max_fit).collect()
     y = np.array([r["quality"] for r in rows], float)
     if not len(y) or y.min() == y.max():
