@@ -35,7 +35,8 @@ from goldrec.llm.common import lean, ship
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 32 << 20
 MARK = "▁"
-CACHE = 400_000  # segments a worker remembers; the cache starts anew beyond
+CACHE = 200_000  # segments a worker remembers; the cache starts anew beyondLEARN = 4096  # segments encoded at a time: the library's own results are many times their ids
+
 
 def _kinds(moved: str) -> tuple[str, str]:
     """Patterns of a letter and of another character but the marker; ``moved`` are letters that count as others."""
@@ -229,8 +230,8 @@ class Codec:
             self.odd.clear()
             self.lossy.clear()
             new = list(wanted)
-        if new:
-            self._learn(new)
+        for at in range(0, len(new), LEARN):
+            self._learn(new[at : at + LEARN])
         known = self.known
         rows = [None if t is None else b"".join([known[s] for s in c]) for t, c in zip(texts, cut)]
         parity = [not self.odd or self.odd.isdisjoint(c) for c in cut]
