@@ -35,7 +35,8 @@ from goldrec.llm.common import lean, ship
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_MODEL_BYTES = 32 << 20
 MARK = "▁"
-CACHE = 200_000  # segments a worker remembers; the cache starts anew beyondLEARN = 4096  # segments encoded at a time: the library's own results are many times their ids
+CACHE = 200_000  # segments a worker remembers; the cache starts anew beyond
+LEARN = 4096  # segments encoded at a time: the library's own results are many times their ids
 
 
 def _kinds(moved: str) -> tuple[str, str]:
