@@ -1,7 +1,8 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with templates.
 
-A block is a line.  It matches a template when it holds at least ``threshold``
-of the template's distinct words.  The join is the usual exact one: words are
+A block is a line, or a window: as many consecutive words of the text, over line
+ends too, as the template has.  It matches a template when it holds at least
+``threshold`` of the template's distinct words.  The join is the usual exact one: words are
 ordered by how many documents hold them, rarest first; a block can reach the
 overlap only if a word of its own prefix is in the template's prefix (prefix
 filter), if it has words enough (length filter), and if the words left after
@@ -9,6 +10,11 @@ the first common one suffice (positional filter).  Survivors are counted in
 full.  Words that no template has cannot add to an overlap, so blocks keep only
 the others.  Templates are a short fixed list; only they are broadcast.
 
+Windows that start at a word of the template suffice: any other holds no more
+than the one that starts at its first such word.  A text is cut into cells of a
+window's length, each word is in its cell and the one before, so that all
+windows that start in a cell are counted there and no group outgrows two cells.
+
 Defined results: a null text counts as empty (no words, no labels, score 0);
 repeated rows each return; an empty table gives an empty result; other columns
 do not matter.
@@ -74,10 +80,46 @@ def _places(words: Column, phrase: str) -> Column:
     return F.when(last >= 0, F.filter(F.sequence(F.lit(0), last), here)).otherwise(F.array().cast("array<int>"))
 
 
+def _windows(rows: DataFrame, sets: dict[str, list[str]], needs: dict[str, int], lengths: dict[str, int], ranks: dict[str, int]) -> DataFrame:
+    """(row, block, label, containment): for every cell of a text the best window that starts in it and reaches the overlap."""
+    side = [
+        (k, len(v), needs[k], lengths[k], w, ranks[w], i <= len(v) - needs[k])
+        for k, v in sets.items()
+        for i, w in enumerate(sorted(v, key=ranks.__getitem__))
+    ]
+    kind = "label string, total int, need int, length int, word string, rank int, prefix boolean"
+    side = rows.sparkSession.createDataFrame(side, kind)
+    words = rows.where("spots is not null").select("row", "able", F.explode("spots").alias("s")).select("row", "able", "s.*")
+    words = words.join(F.broadcast(side), "word").where(F.array_contains("able", F.col("label")))
+    cell = F.floor(F.col("at") / F.col("length"))
+    words = words.select("row", "label", "total", "need", "length", F.explode(F.array(cell, cell - 1)).alias("cell"), "at", "line", "rank", "prefix")
+    cells = words.groupBy("row", "label", "total", "need", "length", "cell").agg(
+        F.max("prefix").alias("prefix"), F.array_sort(F.collect_list(F.struct("at", "line", "rank"))).alias("near")
+    )
+
+    def distinct(spots: Column) -> Column:
+        return F.size(F.array_distinct(F.transform(spots, lambda x: x["rank"])))
+
+    cells = cells.where(F.col("prefix") & (distinct(F.col("near")) >= F.col("need")))  # prefix and length filters
+
+    def window(s: Column) -> Column:
+        inside = F.filter("near", lambda x: (x["at"] >= s["at"]) & (x["at"] < s["at"] + F.col("length")))
+        return F.struct(distinct(inside).alias("overlap"), (-s["line"]).alias("up"))
+
+    starts = F.filter("near", lambda s: s["at"] < (F.col("cell") + 1) * F.col("length"))
+    best = cells.withColumn("best", F.array_max(F.transform(starts, window))).where(F.col("best.overlap") >= F.col("need"))
+    return best.select("row", (-F.col("best.up")).alias("block"), "label", (F.col("best.overlap") / F.col("total")).alias("containment"))
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """For every row: doc_id, n_words, places (phrase label, start), base_labels, labels, score, matches (block, label, containment)."""
+    """For every row: doc_id, n_words, places (phrase label, start), base_labels, labels, score, matches (block, label, containment).
+
+    ``block`` is the line, for a window the one it starts in; ``containment`` the best of the blocks there.
+    """
     scratch = Scratch(docs.sparkSession)
-    sets = template_words(TEMPLATES if templates is None else templates)
+    templates = TEMPLATES if templates is None else templates
+    sets = template_words(templates)
+    lengths = {k: len([w for w in re.split(GAP, t.lower()) if w]) for k, t in templates.items()}
     needs = {k: least_overlap(len(v), threshold) for k, v in sets.items()}
     phrase_words = {w for p in PHRASES for w in p.split(" ")}
     vocabulary = sorted(set().union(phrase_words, *sets.values()))
@@ -94,9 +136,12 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
         return F.when(possible, here).otherwise(F.array().cast("array<struct<start:int,label:string>>"))
 
     places = [places_of(p, label) for p, label in PHRASES.items()]
-    possible = F.lit(False)
-    for k, v in sets.items():
-        possible = possible | (F.size(F.array_intersect("held", F.array(*map(F.lit, v)))) >= needs[k])
+    able = [F.when(F.size(F.array_intersect("held", F.array(*map(F.lit, v)))) >= needs[k], k) for k, v in sets.items()]
+    able = F.array_compact(F.array(*able).cast("array<string>"))
+    possible = F.size(able) > 0
+    by_line = F.transform(F.split("lower", "\n", -1), lambda line, i: F.transform(words_of(line), lambda w: F.struct(i.alias("line"), w.alias("word"))))
+    at = F.transform(F.flatten(by_line), lambda x, i: F.struct(i.alias("at"), x["line"].alias("line"), x["word"].alias("word")))
+    spots = F.filter(at, lambda x: x["word"].isin(vocabulary))
     blocks = F.transform(F.split("lower", "\n", -1), lambda line: among(words_of(line)))
     rows = rows.select(
         F.monotonically_increasing_id().alias("row"),  # kept with the table; it joins the matches back
@@ -105,6 +150,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
         F.array_sort(F.concat(*places)).alias("places"),
         "held",
         F.when(possible, blocks).alias("blocks"),
+        F.when(possible, spots).alias("spots"),
+        able.alias("able"),
     )
     rows = scratch.save(rows, "rows")
 
@@ -126,10 +173,11 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     left = F.lit(1) + F.least(size - F.col("b_at") - 1, F.col("total") - F.col("t_at") - 1)
     pairs = words.join(F.broadcast(side), "word").where((size >= F.col("need")) & (F.col("b_at") <= size - F.col("need")) & (left >= F.col("need")))
     overlap = F.size(F.array_intersect("b_words", "t_words"))
-    pairs = pairs.where(overlap >= F.col("need")).select("row", "block", "label", (overlap / F.col("total")).alias("containment")).distinct()
+    pairs = pairs.where(overlap >= F.col("need")).select("row", "block", "label", (overlap / F.col("total")).alias("containment"))
+    pairs = pairs.unionByName(_windows(rows, sets, needs, lengths, ranks)).groupBy("row", "block", "label").agg(F.max("containment").alias("containment"))
     matches = pairs.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("block", "label", "containment"))).alias("matches"))
 
-    out = rows.drop("blocks", "held").join(matches, "row", "left")
+    out = rows.drop("blocks", "spots", "able", "held").join(matches, "row", "left")
     base = F.array_sort(F.array_distinct(F.transform("places", lambda x: x["label"])))
     found = F.coalesce("matches", F.array().cast("array<struct<block:int,label:string,containment:double>>"))
     out = out.select("doc_id", "n_words", "places", base.alias("base_labels"), found.alias("matches"))

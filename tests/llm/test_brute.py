@@ -18,6 +18,7 @@ import corpus_pipeline
 from goldrec.llm import vectors as V
 from goldrec.llm.common import Scratch
 from goldrec.llm.components import connected_components
+from goldrec.llm.licenses import GAP, TEMPLATES, THRESHOLD, scan_licenses, template_words
 from goldrec.llm.mixing import mix_sizes
 from goldrec.llm.quality import FEATURES, classify, features, fit
 from goldrec.llm.secret_scan import BASE_RULES, RULES, Rule, redact_documents, scan_documents
@@ -305,6 +306,51 @@ def test_fit_separates():
     assert (odds[:40] > 0).all() and (odds[40:] < 0).all() and x.shape[1] == FEATURES and rng is not None
 
 
+# --- licences ---------------------------------------------------------------------
+
+
+def matched(text):
+    """Labels and best containment of lines and of all windows as long as a template, by trying each."""
+    best = defaultdict(float)
+    for k, v in template_words(TEMPLATES).items():
+        words = [w for w in re.split(GAP, text.lower()) if w]
+        n = len([w for w in re.split(GAP, TEMPLATES[k].lower()) if w])
+        blocks = [re.split(GAP, line) for line in text.lower().split("\n")] + [words[i : i + n] for i in range(len(words))]
+        c = max(len(set(v) & set(b)) for b in blocks) / len(v)
+        if c >= THRESHOLD - 1e-9:
+            best[k] = c
+    return dict(best)
+
+
+def test_wrapped_notices(spark):
+    """A notice wrapped over lines is found wherever it starts; words of it that lie apart are not, nor are other names below the threshold."""
+    rng = random.Random(5)
+    texts = {}
+    for k, notice in TEMPLATES.items():
+        words = notice.split(" ")
+        for step in (1, 2, 3, 7):
+            lines = [" ".join(words[i : i + step]) for i in range(0, len(words), step)]
+            texts[f"{k} by {step}"] = "first words\n" * rng.randrange(40) + "\n * ".join(lines) + "\nlast words"
+        texts[f"{k} apart"] = " other words of the text between them and more of these and those\n".join(words)
+    texts["name"] = "Released under the\nApache License"  # 4 of 5 words, with `license` and `apache` for `mit`
+    texts["other"] = "Licensed under the\nFoo License, Version 3"
+    everyday = "released under the license of permission to use copy and modify this work mit law".split()
+    for i in range(60):
+        texts[f"mixed {i}"] = "".join(rng.choice(everyday) + rng.choice([" ", " ", "\n"]) for _ in range(rng.randrange(200)))
+    df = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    got = {r.doc_id: r for r in scan_licenses(df).collect()}
+    for i, (name, text) in enumerate(texts.items()):
+        want = matched(text)
+        found = defaultdict(float)
+        for m in got[i].matches:
+            found[m.label] = max(found[m.label], m.containment)
+        assert dict(found) == pytest.approx(want), name
+        if " by " in name:
+            assert found[name.split(" ")[0]] == 1, name
+        if name == "other" or name.endswith(" apart"):
+            assert not found, name
+
+
 # --- mixing, URLs -----------------------------------------------------------------
 
 
