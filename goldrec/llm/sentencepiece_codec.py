@@ -10,9 +10,9 @@ over a marker into the next word.  Where that holds (it is checked when the
 model is read), a text's segments - markers and the run of letters or of other
 characters behind them - are encoded apart, so a worker encodes each distinct
 segment once and new segments go to the library's threads together.  Models
-with pieces that cross segments are encoded by whole texts.  Whatever the
-library encodes is decoded again, and encoded by the ``sentencepiece`` library:
-``roundtrip`` and ``parity`` say whether all parts of a row agreed.
+with pieces that cross segments are encoded by whole texts.  The joined ids of
+every row are decoded again, and every whole text is encoded by the
+``sentencepiece`` library: ``roundtrip`` and ``parity`` say whether they agreed.
 
 Defined results: a null text has null ids, 0 tokens, parity and round trip
 true; an empty text has no ids; repeated rows each return; other columns do not
@@ -186,57 +186,39 @@ class Codec:
         self.segments = self.model.segments()
         self.backend = build_tokenizer(self.model, whole_texts=self.segments is None)
         self.other = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.mark = self.other.piece_to_id(MARK)
         self.known: dict[str, bytes] = {}  # ids as int32
-        self.odd: set[str] = set()  # segments on which the libraries differ
-        self.lossy: set[str] = set()  # segments that do not decode to themselves
 
     def _fast(self, texts: list[str]) -> list[list[int]]:
         encode = getattr(self.backend, "encode_batch_fast", self.backend.encode_batch)  # the fast one leaves out offsets
         return [e.ids for e in encode(texts, add_special_tokens=False)]
 
-    def _learn(self, segments: list[str]) -> None:
-        # the other library puts the first marker itself, where the model says so, and a lone marker is then no text
-        cut = 1 if self.model.dummy_prefix else 0
-        texts = [s.replace(MARK, " ")[cut if s[0] == MARK else 0 :] for s in segments]
-        inner = [i for i, s in enumerate(segments) if cut and s[0] != MARK]
-        ids = self._fast(segments)
-        others = self.other.encode(texts, num_threads=1)
-        if inner:  # inside a text no marker comes before them: a character of the other kind takes it
-            before = ["." if self.segments.match("x" + texts[i]).end() > 1 else "x" for i in inner]
-            size = {c: len(self.other.encode(c)) for c in ".x"}
-            for i, c, got in zip(inner, before, self.other.encode([c + texts[i] for i, c in zip(inner, before)], num_threads=1)):
-                others[i] = got[size[c] :]
-        for s, text, got, other, back in zip(segments, texts, ids, others, self.decode(ids)):
-            self.known[s] = array("i", got).tobytes()
-            if got != (other if text else [self.mark]):
-                self.odd.add(s)
-            if back != text:
-                self.lossy.add(s)
+    def _by_segments(self, texts: list[str]) -> list[bytes]:
+        """ids of every text, joined from those of its segments."""
+        lead = MARK if self.model.dummy_prefix else ""
+        cut = [self.segments.findall((lead + t).replace(" ", MARK)) if t else [] for t in texts]
+        known = self.known
+        wanted = set().union(*cut)
+        new = list(wanted.difference(known))
+        if len(known) + len(new) > CACHE:
+            known.clear()
+            new = list(wanted)
+        for at in range(0, len(new), LEARN):
+            part = new[at : at + LEARN]
+            known.update((s, array("i", got).tobytes()) for s, got in zip(part, self._fast(part)))
+        return [b"".join(map(known.__getitem__, c)) for c in cut]
 
     def encode_rows(self, texts: list[str | None]) -> tuple[list[bytes | None], list[bool], list[bool]]:
         """ids (int32 bytes), parity and round trip of every text."""
+        filled = [t or "" for t in texts]
         if self.segments is None:
-            filled = [t or "" for t in texts]
             got = [g if t else [] for t, g in zip(filled, self._fast(filled))]
-            other = self.other.encode(filled, num_threads=1)
-            rows = [None if t is None else array("i", g).tobytes() for t, g in zip(texts, got)]
-            return rows, [g == o for g, o in zip(got, other)], [(t or "") == u for t, u in zip(texts, self.decode(got))]
-        lead = MARK if self.model.dummy_prefix else ""
-        cut = [self.segments.findall((lead + t).replace(" ", MARK)) if t else [] for t in texts]
-        wanted = {s for c in cut for s in c}
-        new = [s for s in wanted if s not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            self.odd.clear()
-            self.lossy.clear()
-            new = list(wanted)
-        for at in range(0, len(new), LEARN):
-            self._learn(new[at : at + LEARN])
-        known = self.known
-        rows = [None if t is None else b"".join([known[s] for s in c]) for t, c in zip(texts, cut)]
-        parity = [not self.odd or self.odd.isdisjoint(c) for c in cut]
-        return rows, parity, [MARK not in (t or "") and (not self.lossy or self.lossy.isdisjoint(c)) for t, c in zip(texts, cut)]
+            rows = [array("i", g).tobytes() for g in got]
+        else:
+            rows = self._by_segments(filled)
+            got = [array("i", r).tolist() for r in rows]
+        parity = [g == o for g, o in zip(got, self.other.encode(filled, num_threads=1))]
+        roundtrip = [t == u for t, u in zip(filled, self.decode(got))]
+        return [None if t is None else r for t, r in zip(texts, rows)], parity, roundtrip
 
     def encode(self, texts: list[str | None]) -> tuple[list, list[bool]]:
         """ids and parity of every text."""

@@ -258,6 +258,18 @@ def test_parity_of_any_text(codec, text):
         assert codec.decode([ids]) == [text]
 
 
+def test_flags_see_faults_between_segments():
+    """Parity and round trip are of the joined ids of whole rows, not of segments alone."""
+    text = "some plain words, then others"
+    codec = Codec(model_bytes())
+    assert codec.encode_rows([text, None, ""])[1:] == ([True] * 3, [True] * 3)
+    codec.known["▁words"] = codec.known["▁plain"]  # a wrong part in the joined ids
+    assert codec.encode_rows([text, "some plain"])[1:] == ([False, True], [False, True])
+    codec = Codec(model_bytes())
+    codec.segments = re.compile("▁*[^▁]{1,2}|▁+")  # parts that agree one by one, borders where pieces cross
+    assert codec.encode_rows([text])[1:] == ([False], [True])
+
+
 def test_model_is_read(codec):
     model = read_model(model_bytes())
     other = sentencepiece.SentencePieceProcessor(model_file=MODEL)
