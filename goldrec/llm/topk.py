@@ -14,8 +14,9 @@ score cannot be lower.
 Defined results: vectors that are null or hold null or non-finite components
 take no part, neither do rows with a null id; vectors of unlike length are not
 compared; a query with fewer than k candidates gets all; rows that repeat an id
-are candidates of their own, but never of a query with their id; an empty table
-gives an empty result.
+are candidates of their own, but never of a query with their id; query rows that
+repeat an id are all searched, and the k best of what they find together are the
+id's; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ def _scores(q, c):
 
 
 def _histogram(width: int, k: int):
-    """Counts by query and bucket of ``width``; with a bucket known (column wide), only inside it."""
+    """Counts by query row and bucket of ``width``; with a bucket known (column wide), only inside it."""
 
     def run(q, c):
         import numpy as np
@@ -74,15 +75,15 @@ def _histogram(width: int, k: int):
 
         scores, out = _scores(q, c), []
         ids = c.id.to_numpy()
-        for i, (qid, lo, hi) in enumerate(zip(q.id, q.lo, q.hi)):
+        for i, (key, qid, lo, hi) in enumerate(zip(q.key, q.id, q.lo, q.hi)):
             mine = scores[i][ids != qid]
             if len(mine) > k:  # no lower than the k-th here
                 kth = np.partition(mine, len(mine) - k)[len(mine) - k]
                 mine = mine[mine >= (kth // width) * width]
             mine = mine[(mine >= lo) & (mine < hi)]
             buckets, counts = np.unique(mine // width, return_counts=True)
-            out += [(qid, int(b), int(n)) for b, n in zip(buckets, counts)]
-        return pd.DataFrame(out, columns=["id", "bucket", "n"])
+            out += [(key, int(b), int(n)) for b, n in zip(buckets, counts)]
+        return pd.DataFrame(out, columns=["key", "bucket", "n"])
 
     return run
 
@@ -108,10 +109,10 @@ def _winners(k: int):
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best candidates of every query row, both as ``scaled`` gives them."""
+    """(query_id, rank, vec_id, score): the k best candidates of every query id, over all its rows; both tables as ``scaled`` gives them."""
     spark = candidates.sparkSession
     scratch = Scratch(spark)
-    queries, candidates = scratch.save(queries, "queries"), scratch.save(candidates, "candidates")
+    queries, candidates = scratch.save(queries.withColumn("key", F.monotonically_increasing_id()), "queries"), scratch.save(candidates, "candidates")
     length = F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     n_q, most_q = queries.agg(F.count("*"), length).first()
     n_c, most_c = candidates.agg(F.count("*"), length).first()
@@ -119,32 +120,31 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, query_block: in
     bound = min(BOUND, int(math.sqrt(most_q or 0) * math.sqrt(most_c or 0) * 1.0001) + 2)  # Cauchy-Schwarz
     levels = max(1, math.ceil(math.log(2 * bound, FANOUT)))
 
-    # equal blocks whatever the ids are: dealt by a hash of id and vector
+    # equal blocks whatever the ids are: dealt by a hash of id and vector, and of a query's row
     spread = F.xxhash64("id", "v")
     c_blocks = candidates.select("id", "len", "v", F.pmod(spread, F.lit(h)).alias("cb"), F.explode(F.sequence(F.lit(0), F.lit(g - 1))).alias("qb"))
     c_blocks = c_blocks.withColumn("qb", F.col("qb").cast("long")).groupBy("len", "qb", "cb")
 
     def meet(with_state: DataFrame, run, schema: str) -> DataFrame:
-        q = with_state.withColumn("qb", F.pmod(spread, F.lit(g))).withColumn("cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(h - 1).cast("long"))))
+        q = with_state.withColumn("qb", F.pmod(F.xxhash64("key"), F.lit(g))).withColumn("cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(h - 1).cast("long"))))
         return q.groupBy("len", "qb", "cb").cogroup(c_blocks).applyInPandas(run, schema)
 
-    asked = queries.groupBy("id").agg(F.min(F.struct("len", "v")).alias("q")).select("id", "q.*")
-    state = asked.withColumns({"lo": F.lit(-BOUND), "hi": F.lit(BOUND + 1), "above": F.lit(0).cast("long"), "kth": F.lit(None).cast("long")})
+    state = queries.select("key", "id", "len", "v").withColumns({"lo": F.lit(-BOUND), "hi": F.lit(BOUND + 1), "above": F.lit(0).cast("long"), "kth": F.lit(None).cast("long")})
     for level in range(levels - 1, -1, -1):
         width = FANOUT**level
-        counts = meet(state, _histogram(width, k), "id long, bucket long, n long").groupBy("id", "bucket").agg(F.sum("n").alias("n"))
-        so_far = F.sum("n").over(Window.partitionBy("id").orderBy(F.desc("bucket")))
-        ranked = counts.withColumn("until", so_far).join(state.select("id", "above"), "id")
-        last = ranked.groupBy("id").agg(
+        counts = meet(state, _histogram(width, k), "key long, bucket long, n long").groupBy("key", "bucket").agg(F.sum("n").alias("n"))
+        so_far = F.sum("n").over(Window.partitionBy("key").orderBy(F.desc("bucket")))
+        ranked = counts.withColumn("until", so_far).join(state.select("key", "above"), "key")
+        last = ranked.groupBy("key").agg(
             F.max(F.when(F.col("above") + F.col("until") >= k, F.col("bucket"))).alias("at"),
             F.min("bucket").alias("least"),
             F.max_by(F.col("until") - F.col("n"), F.when(F.col("above") + F.col("until") >= k, F.col("bucket"))).alias("over"),
         )
         last = scratch.save(last, "last")
         # fewer than k candidates in all: everything from the lowest bucket on is wanted
-        state = state.drop("kth").join(last, "id", "left")
+        state = state.drop("kth").join(last, "key", "left")
         state = state.select(
-            "id", "len", "v",
+            "key", "id", "len", "v",
             F.when(F.col("at").isNotNull(), F.col("at") * width).otherwise(F.col("lo")).alias("lo"),
             F.when(F.col("at").isNotNull(), (F.col("at") + 1) * width).otherwise(F.col("hi")).alias("hi"),
             (F.col("above") + F.coalesce("over", F.lit(0))).alias("above"),

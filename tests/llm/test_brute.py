@@ -144,6 +144,24 @@ def test_top_k(spark):
     assert got == want
 
 
+def test_top_k_of_repeated_queries(spark):
+    """Every row of a query id is searched; the id's best are those of all its rows, as in the SQL."""
+    rng = np.random.default_rng(6)
+    m = np.float32(rng.standard_normal((90, 5)))
+    ids = [20 * (i % 3) if i < 12 else i for i in range(90)]
+    m[9] = m[0]  # a whole row repeated
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, m)], "vec_id long, embedding array<float>").repartition(3)
+    s = np.floor(64 * m.astype(float)).astype(int)
+    scores = s @ s.T
+    want = []
+    for q in sorted({i for i in ids if i % 20 == 0}):
+        found = sorted((-int(scores[a, b]), ids[b]) for a in range(90) if ids[a] == q for b in range(90) if ids[b] != q)
+        want += [(q, r + 1, c, -score) for r, (score, c) in enumerate(found[:20])]
+    v = scaled(df)
+    got = [tuple(r) for r in top_k(v.where("id % 20 = 0"), v, query_block=3, candidate_block=32).orderBy("query_id", "rank").collect()]
+    assert got == want
+
+
 # --- SimHash ----------------------------------------------------------------------
 
 
