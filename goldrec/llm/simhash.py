@@ -81,8 +81,8 @@ def links(fps: DataFrame, max_bits: int = BITS) -> DataFrame:
     return probes.join(base.hint("merge"), ["seg", "key"]).where(near).select("a", "b")
 
 
-def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = BITS) -> DataFrame:
-    """(doc_id, tkey, fp, component_id) for every row; component_id is the smallest doc_id reachable by links."""
+def _rooted(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """(doc_id, tkey, fp, root, component_id) for every row; root is one fingerprint of the component."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     prints = scratch.save(fingerprints(docs, shingle), "fingerprints")
@@ -93,20 +93,21 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int =
     named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = scratch.save(named, "named")
     firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    names = scratch.save(named.join(firsts, "root").select("fp", "component_id"), "names")
+    names = scratch.save(named.join(firsts, "root").select("fp", "root", "component_id"), "names")
     release(spark)
-    return prints.join(names, "fp").select("doc_id", "tkey", "fp", "component_id")
+    return prints.join(names, "fp").select("doc_id", "tkey", "fp", "root", "component_id")
+
+
+def simhash_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = BITS) -> DataFrame:
+    """(doc_id, tkey, fp, component_id) for every row; component_id is the smallest doc_id reachable by links."""
+    return _rooted(docs, shingle, max_bits).drop("root")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = BITS) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest doc_id.
-
-    Of rows with one doc_id and text one stays; rows that repeat a doc_id with
-    another text are documents of their own.  Rows without a doc_id stay only
-    if their component has none, one of each text.
-    """
-    found = simhash_components(docs.select("doc_id", "text"), shingle, max_bits)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "tkey").agg(F.count("*").alias("n"))
+    """``docs`` with one row of each component: the first by doc_id (nulls last), hash of the text and whole row."""
+    found = _rooted(docs.select("doc_id", "text"), shingle, max_bits).groupBy("root", "doc_id", "tkey").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tkey", "n")
+    first = found.groupBy("root").agg(F.min(order).alias("first")).select("first.*")
     first = Scratch(docs.sparkSession).save(first.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias("id"), "tkey", "n"), "first")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("row"), F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("-")).alias("id"), F.xxhash64("text").alias("tkey"))

@@ -195,6 +195,26 @@ def test_links_and_components(spark):
     assert {r.root for r in connected_components(chain, Scratch(spark)).collect()} == {0}
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Linked rows that share a doc_id, or have none, are near-duplicates like any others."""
+    rng = random.Random(8)
+
+    def near(n):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+        base = " ".join(words)
+        other = {f"{base} end{i}" for i in range(200) if (fingerprint(base) ^ fingerprint(f"{base} end{i}")).bit_count() <= 3}
+        return [base, *sorted(other)[: n - 1]]
+
+    shared, unnamed, mixed = near(3), near(3), near(2)
+    assert (len(shared), len(unnamed), len(mixed)) == (3, 3, 2)
+    rows = [(1, t) for t in (*shared, shared[0])] + [(None, t) for t in (*unnamed, *unnamed)] + [(None, mixed[0]), (2, mixed[1]), (2, mixed[1])]
+    rows += [(1, "another text under the same doc_id is a component of its own")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in keep_one(df).collect()), key=repr)
+    assert len(got) == 4 and rows[-1] in got and (2, mixed[1]) in got
+    assert sum(r in [(1, t) for t in shared] for r in got) == sum(r in [(None, t) for t in unnamed] for r in got) == 1
+
+
 def test_simhash_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
