@@ -184,6 +184,26 @@ FROM r JOIN judged USING (host, segs)
 """
 
 
+OP13 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+win AS (SELECT r, doc_id, i, md5(b[i:i + 49]) AS s FROM (SELECT r, doc_id, b, unnest(range(1, octet_length(b) - 48)) AS i FROM d)),
+firsts AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+hit AS (SELECT r, i FROM win JOIN firsts USING (s) WHERE m < doc_id),
+span AS (SELECT r, i, max(i) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last FROM hit),
+run AS (SELECT r, i, sum(CASE WHEN last IS NULL OR i > last + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS k FROM span),
+gone AS (SELECT r, k, min(i) AS a, max(i) + 49 AS z FROM run GROUP BY r, k),
+edge AS (SELECT r, a, z, lag(z, 1, 0) OVER (PARTITION BY r ORDER BY a) AS prev, row_number() OVER (PARTITION BY r ORDER BY a DESC) AS back FROM gone),
+part AS (
+  SELECT r, a AS o, hex(b[prev + 1:a - 1]) AS x FROM edge JOIN d USING (r)
+  UNION ALL SELECT r, z + 1 AS o, hex(b[z + 1:octet_length(b)]) AS x FROM edge JOIN d USING (r) WHERE back = 1),
+kept AS (SELECT r, string_agg(x, '' ORDER BY o) AS x FROM part GROUP BY r),
+n AS (SELECT r, sum(z - a + 1) AS n, count(*) AS k FROM gone GROUP BY r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(k, 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN n IS NULL THEN b ELSE unhex(x) END) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1,
     "op2_mixing": OP2,
@@ -192,4 +212,5 @@ ORACLES: dict[str, str] = {
     "op7_secrets": op7(),
     "op8_top_k": OP8,
     "op10_url_filter": op10(),
+    "op13_suffix_array": OP13,
 }

@@ -16,6 +16,7 @@ from goldrec.llm.secret_scan import BASE_RULES, scan_documents
 from goldrec.llm.sentencepiece_codec import encode_documents
 from goldrec.llm.simhash import simhash_components
 from goldrec.llm.substring import dedup_substrings
+from goldrec.llm.suffix_dedup import dedup_bytes
 from goldrec.llm.topk import scaled, top_k
 from goldrec.llm.urls import filter_urls
 from goldrec.llm.vectors import near_vectors
@@ -86,6 +87,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op13_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_bytes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_top_k,
         op9_quality,
         op10_url_filter,
+        op13_suffix_array,
     )
 }
 
