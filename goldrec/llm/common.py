@@ -53,6 +53,16 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self, name: str) -> None:
+        """Delete the tables saved under ``name``, once all that was derived from them is saved itself."""
+        self._delete(f"{self.root}/{name}-*")
+
+    def _delete(self, pattern: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for found in fs.globStatus(path) or []:
+            fs.delete(found.getPath(), True)
+
     def drop(self) -> None:
         try:
             jvm = self.spark.sparkContext._jvm
