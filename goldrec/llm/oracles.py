@@ -9,6 +9,9 @@ from goldrec.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, template_words
 from goldrec.llm.secret_scan import RULES
 from goldrec.llm.urls import DEPTH, MANY, NEW, PRIOR, REJECT, SIGMAS
 from goldrec.llm.urls import RULES as URL_RULES
+from goldrec.llm.vector_codes import ENTRIES, PARTS
+from goldrec.llm.vector_codes import ROUNDS as CODE_ROUNDS
+from goldrec.llm.vector_codes import SCALE as CODE_SCALE
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -184,6 +187,48 @@ FROM r JOIN judged USING (host, segs)
 """
 
 
+def op11() -> str:
+    """All rounds written out; whole numbers throughout."""
+
+    def nearest(book: str) -> str:
+        distance = "list_sum(list_transform(range(1, len(x) + 1), lambda j: (x[j] - c[j]) * (x[j] - c[j])))"
+        return f"SELECT rid, label, p, x, arg_min(k, d * 16 + k) AS k, min(d) AS d FROM (SELECT rid, label, p, x, k, {distance} AS d FROM part JOIN {book} USING (p)) GROUP BY rid, label, p, x"
+
+    rounds = ""
+    for i in range(CODE_ROUNDS):
+        rounds += f"""
+near{i} AS MATERIALIZED ({nearest(f"book{i}")}),
+mean{i} AS (SELECT p, k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS m FROM (
+  SELECT p, k, j, sum(x[j])::BIGINT AS s, count(*) AS n FROM near{i}, unnest(range(1, len(x) + 1)) AS t(j) GROUP BY p, k, j) GROUP BY p, k),
+book{i + 1} AS MATERIALIZED (SELECT b.p, b.k, coalesce(m, c) AS c FROM book{i} b LEFT JOIN mean{i} USING (p, k)),"""
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, list_transform(embedding::DOUBLE[], lambda x: floor({CODE_SCALE} * x)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (SELECT rid, vec_id, label, p, e[p * len(e) // {PARTS} + 1:(p + 1) * len(e) // {PARTS}] AS x FROM v, unnest(range(0, {PARTS})) AS t(p)),
+book0 AS MATERIALIZED (SELECT p, rid - 1 AS k, x AS c FROM part WHERE rid <= {ENTRIES}),{rounds}
+final AS MATERIALIZED ({nearest(f"book{CODE_ROUNDS}")}),
+row AS (SELECT rid, label, string_agg(format('{{:02x}}', k), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM final GROUP BY rid, label),
+per AS (SELECT label, sum(error)::BIGINT AS label_error FROM row GROUP BY label),
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM book{CODE_ROUNDS})
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM row JOIN v USING (rid) JOIN per ON row.label IS NOT DISTINCT FROM per.label, digest
+"""
+
+
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER w)::INTEGER AS rank, s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) QUALIFY row_number() OVER w <= 10
+"""
+
 OP13 = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
 win AS (SELECT r, doc_id, i, md5(b[i:i + 49]) AS s FROM (SELECT r, doc_id, b, unnest(range(1, octet_length(b) - 48)) AS i FROM d)),
@@ -212,5 +257,7 @@ ORACLES: dict[str, str] = {
     "op7_secrets": op7(),
     "op8_top_k": OP8,
     "op10_url_filter": op10(),
+    "op11_vector_codes": op11(),
+    "op12_hard_negatives": OP12,
     "op13_suffix_array": OP13,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.llm.common import table
+from goldrec.llm.hard_negatives import mine_negatives
 from goldrec.llm.licenses import scan_licenses
 from goldrec.llm.mixing import mix_sizes
 from goldrec.llm.oracles import ORACLES  # noqa: F401
@@ -19,6 +20,7 @@ from goldrec.llm.substring import dedup_substrings
 from goldrec.llm.suffix_dedup import dedup_bytes
 from goldrec.llm.topk import scaled, top_k
 from goldrec.llm.urls import filter_urls
+from goldrec.llm.vector_codes import compress
 from goldrec.llm.vectors import near_vectors
 
 
@@ -87,6 +89,16 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = compress(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op13_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -105,6 +117,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_top_k,
         op9_quality,
         op10_url_filter,
+        op11_vector_codes,
+        op12_hard_negatives,
         op13_suffix_array,
     )
 }
