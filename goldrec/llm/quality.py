@@ -1,14 +1,15 @@
 """Quality classifier with hierarchical empirical Bayes.
 
 1. A logistic regression on a dozen shape features of the whole text is fitted
-   on at most MAX_FIT labelled rows (those with the smallest hash of doc_id);
-   its log-odds are a document's own evidence.
+   on at most MAX_FIT labelled rows, chosen by hashes of doc_id; its log-odds are
+   a document's own evidence.
 2. Over all documents, expected good shares are summed by host (source) and
    path (source and language).  Hosts are drawn towards the global share, paths
-   towards their host; how strongly follows from how much they differ (method
-   of moments), so sparse sites say little.
+   towards their host.  How strongly follows from how much they differ beyond
+   what so many rows differ by chance (method of moments, sites weighing as many
+   as they have rows), so sparse sites say little.
 3. A document is kept when its evidence and the odds of its path, without its
-   own share in them, make good more likely than not.
+   own share in the path's and the host's, make good more likely than not.
 
 Defined results: a null text counts as empty; null hosts and languages are
 sites of their own; repeated rows each return; labels that contradict each
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import PandasUDFType
+from pyspark.sql import types as T
 
 from goldrec.llm.common import Scratch, lean, ship
 
@@ -133,34 +134,53 @@ def log_odds(x: Column, weights: list[float] | None) -> Column:
     return F.greatest(F.least(total, F.lit(MOST_ODDS)), F.lit(-MOST_ODDS))
 
 
-def _strength(mean: float, variance: float | None) -> float:
-    if not variance or variance <= 0:
+def _strength(groups: DataFrame, v: Column) -> float:
+    """Rows that a parent's share weighs against its children's own.
+
+    ``groups``, a row a parent: k children with n rows in all, n2 the sum of their
+    squared rows, s the sum of rows x (child's share - parent's)^2; ``v`` is the
+    variance of a row.  The children's rows are alike to the degree rho, where
+    s is expected at v (k - 1 + rho (n - n2 / n - k + 1)); strength is 1 / rho - 1.
+    """
+    free = F.col("k") - 1
+    found, room = groups.agg(F.sum(F.col("s") - v * free), F.sum(v * (F.col("n") - F.col("n2") / F.col("n") - free))).first()
+    if not room or room <= 1e-9 or found <= 0:
         return STRENGTH[1]
-    return min(max(mean * (1 - mean) / variance - 1, STRENGTH[0]), STRENGTH[1])
+    return min(max(room / found - 1, STRENGTH[0]), STRENGTH[1])
 
 
-def site_posteriors(scored: DataFrame, scratch: Scratch) -> tuple[DataFrame, float, float]:
-    """Sites (host, path, site struct) with good, n and the host's posterior; the paths' strength; the global share.
+def site_posteriors(scored: DataFrame, scratch: Scratch) -> tuple[DataFrame, float, float, float]:
+    """Sites (host, path, good, n, h_good, h_n), the strengths of hosts' and of paths' priors, the global share.
 
     ``scored``: host, path, p (expected good).
     """
     paths = scratch.save(scored.groupBy("host", "path").agg(F.sum("p").alias("good"), F.count("*").alias("n")), "paths")
     hosts = scratch.save(paths.groupBy("host").agg(F.sum("good").alias("h_good"), F.sum("n").alias("h_n")), "hosts")
-    good, n, spread = hosts.agg(F.sum("h_good"), F.sum("h_n"), F.var_pop(F.col("h_good") / F.col("h_n"))).first()
+    good, n = hosts.agg(F.sum("h_good"), F.sum("h_n")).first()
     share = (good / n) if n else 0.5
     share = min(max(share, 1e-6), 1 - 1e-6)
-    k_host = _strength(share, spread)
-    hosts = hosts.select("host", ((k_host * share + F.col("h_good")) / (k_host + F.col("h_n"))).alias("h_share"))
-    sites = scratch.save(paths.join(hosts, paths["host"].eqNullSafe(hosts["host"])).select(paths["host"], "path", "good", "n", "h_share"), "sites")
-    gap = F.col("good") / F.col("n") - F.col("h_share")
-    k_path = _strength(share, sites.agg(F.avg(gap * gap)).first()[0])
-    return sites, k_path, share
-
-
-def posterior(odds: Column, p: Column, k_path: float, share: float) -> Column:
+    gap = F.col("h_good") / F.col("h_n") - share
+    whole = hosts.agg(F.count("*").alias("k"), F.sum("h_n").alias("n"), F.sum(F.col("h_n") * F.col("h_n")).alias("n2"), F.sum(F.col("h_n") * gap * gap).alias("s"))
+    k_host = _strength(whole, F.lit(share * (1 - share)))
+    sites = paths.join(hosts, paths["host"].eqNullSafe(hosts["host"])).select(paths["host"], "path", "good", "n", "h_good", "h_n")
+    sites = scratch.save(sites, "sites")
+    mean = F.col("h_good") / F.col("h_n")
+    gap = F.col("good") / F.col("n") - mean
+    by_host = sites.groupBy("host", "h_good", "h_n").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2"), F.sum(F.col("n") * gap * gap).alias("s"))
+    return sites, k_host, _strength(by_host, mean * (1 - mean)), share
+
+
+def _share(k_host: float, k_path: float, share: float, own: Column) -> Column:
+    """The posterior share of a path, ``own`` taken out of its sums and its host's (a share of one row, or 0 of none)."""
+    rows = F.when(own.isNotNull(), 1).otherwise(0)
+    p = F.coalesce(own, F.lit(0.0))
+    host = (k_host * share + F.col("h_good") - p) / (k_host + F.col("h_n") - rows)
+    return (k_path * host + F.col("good") - p) / (k_path + F.col("n") - rows)
+
+
+def posterior(odds: Column, p: Column, k_host: float, k_path: float, share: float) -> Column:
     """Probability of good from own evidence and the path's share without the row itself."""
-    left = (k_path * F.col("h_share") + F.col("good") - p) / (k_path + F.col("n") - 1)
-    left = F.greatest(F.least(left, F.lit(1 - 1e-6)), F.lit(1e-6))
+    left = F.greatest(F.least(_share(k_host, k_path, share, p), F.lit(1 - 1e-6)), F.lit(1e-6))
     total = odds + F.log(left / (1 - left)) - math.log(share / (1 - share))
     return 1 / (1 + F.exp(-total))
 
@@ -169,16 +189,17 @@ def _sigmoid(odds: Column) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def judge(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> tuple[DataFrame, list[float] | None, DataFrame, float, float]:
-    """Scores of all rows (doc_id, host, path, odds) and the fitted parts: weights, sites, paths' strength, global share."""
+def judge(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT, keep: list[str] | None = None) -> tuple:
+    """(rows with ``keep`` as struct ``row``, host, path, odds; weights; sites; strengths of hosts and paths; global share)."""
     scratch = Scratch(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.col("source").alias("host"), F.col("lang").alias("path"), F.col("text").cast("string"))
-    rows = scratch.save(rows.mapInArrow(lean(_feature_rows), f"doc_id {kind}, host string, path string, x array<double>"), "features")
-    weights = train(rows, labels, max_fit)
-    scored = rows.select("doc_id", "host", "path", log_odds(F.col("x"), weights).alias("odds"))
-    sites, k_path, share = site_posteriors(scored.withColumn("p", _sigmoid(F.col("odds"))), scratch)
-    return scored, weights, sites, k_path, share
+    kept = F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys([*(keep or []), "doc_id"])])
+    rows = docs.select(kept.alias("row"), F.col("source").cast("string").alias("host"), F.col("lang").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
+    kind = T.StructType([*rows.schema.fields[:3], T.StructField("x", T.ArrayType(T.DoubleType()))])
+    rows = scratch.save(rows.mapInArrow(lean(_feature_rows), kind), "features")
+    weights = train(rows.select("row.doc_id", "x"), labels, max_fit)
+    scored = rows.select("row", "host", "path", log_odds(F.col("x"), weights).alias("odds"))
+    sites, k_host, k_path, share = site_posteriors(scored.select("host", "path", _sigmoid(F.col("odds")).alias("p")), scratch)
+    return scored, weights, sites, k_host, k_path, share
 
 
 def _site(host: str, path: str) -> Column:
@@ -186,38 +207,28 @@ def _site(host: str, path: str) -> Column:
     return F.struct(F.coalesce(F.concat(F.lit("="), F.col(host)), F.lit("")).alias("host"), F.coalesce(F.concat(F.lit("="), F.col(path)), F.lit("")).alias("path"))
 
 
+def _placed(scored: DataFrame, sites: DataFrame) -> DataFrame:
+    sites = sites.select(_site("host", "path").alias("site"), "good", "n", "h_good", "h_n")
+    return scored.withColumn("site", _site("host", "path")).join(sites, "site")
+
+
 def classify(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> DataFrame:
     """(doc_id, evidence, site_share, posterior, kept) for every row."""
-    scored, weights, sites, k_path, share = judge(docs, labels, max_fit)
-    sites = sites.select(_site("host", "path").alias("site"), "good", "n", "h_share")
-    rows = scored.withColumn("site", _site("host", "path")).join(sites, "site")
-    p = posterior(F.col("odds"), _sigmoid(F.col("odds")), k_path, share)
-    site_share = (k_path * F.col("h_share") + F.col("good")) / (k_path + F.col("n"))
+    scored, weights, sites, k_host, k_path, share = judge(docs, labels, max_fit)
+    p = posterior(F.col("odds"), _sigmoid(F.col("odds")), k_host, k_path, share)
+    site_share = _share(k_host, k_path, share, F.lit(None).cast("double"))
     kept = F.lit(True) if weights is None else F.col("posterior") >= 0.5
-    return rows.select("doc_id", F.col("odds").alias("evidence"), site_share.alias("site_share"), p.alias("posterior")).withColumn("kept", kept)
+    rows = _placed(scored, sites).select("row.doc_id", F.col("odds").alias("evidence"), site_share.alias("site_share"), p.alias("posterior"))
+    return rows.withColumn("kept", kept)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with their columns."""
-    _, weights, sites, k_path, share = judge(docs.select("doc_id", "source", "lang", "text"), labels, max_fit)
+    """The rows of ``docs`` that the classifier keeps, with their columns; features are computed once."""
+    scored, weights, sites, k_host, k_path, share = judge(docs, labels, max_fit, docs.columns)
     if weights is None:
         return docs
-    w = weights
-
-    def scored(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
-
-        kinds = _classes()
-        for texts in batches:
-            x = np.array([features(t, kinds) for t in texts]).reshape(-1, FEATURES)
-            yield pd.Series(np.clip(x @ np.array(w[:-1]) + w[-1], -MOST_ODDS, MOST_ODDS))
-
-    odds_of = F.pandas_udf(lean(scored), "double", PandasUDFType.SCALAR_ITER)
-    sites = sites.select(_site("host", "path").alias("site"), "good", "n", "h_share")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _site("source", "lang").alias("site"), odds_of(F.col("text").cast("string")).alias("odds"))
-    rows = rows.join(sites, "site").where(posterior(F.col("odds"), _sigmoid(F.col("odds")), k_path, share) >= 0.5)
-    return rows.select("row.*")
+    good = posterior(F.col("odds"), _sigmoid(F.col("odds")), k_host, k_path, share) >= 0.5
+    return _placed(scored, sites).where(good).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 ship(__name__)
