@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from goldrec.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, template_words
 from goldrec.llm.secret_scan import RULES
-from goldrec.llm.urls import DEPTH, MANY, NEW, PRIOR, REJECT, SIGMAS
+from goldrec.llm.urls import BASE, DEPTH, MANY, NEW, PRIOR, REJECT, SIGMAS
 from goldrec.llm.urls import RULES as URL_RULES
 from goldrec.llm.vector_codes import ENTRIES, PARTS
 from goldrec.llm.vector_codes import ROUNDS as CODE_ROUNDS
@@ -157,16 +157,18 @@ def op10() -> str:
         levels += f"""
 child{i} AS (SELECT host, template, segs[{i}] AS seg, sum(n) AS n, sum(labelled) AS labelled, sum(blocked) AS blocked
   FROM {last} WHERE len(segs) >= {i} GROUP BY host, template, segs[{i}]),
-parent{i} AS (SELECT host, template, count(*) AS k, sum(n) AS pn, sum(labelled) AS pl, (sum(blocked) + 1) / (sum(labelled) + 2) AS share FROM child{i} GROUP BY host, template),
+parent{i} AS (SELECT host, template, count(*) AS k, sum(n) AS pn, sum(labelled) AS pl, sum(blocked) AS pb FROM child{i} GROUP BY host, template),
 named{i} AS (SELECT host, template, seg, CASE WHEN NOT starts_with(seg, '{{') AND ((k >= {MANY} AND k >= {NEW} * pn)
-    OR ((labelled = 0 OR abs(blocked / labelled - share) <= {SIGMAS} * sqrt(share * (1 - share) / greatest(labelled, 1))) AND k > 1))
-    THEN '*' ELSE seg END AS name FROM child{i} JOIN parent{i} USING (host, template)),
-shape{i} AS (SELECT t.host, t.segs, t.n, t.labelled, t.blocked, CASE WHEN name IS NULL THEN t.template ELSE t.template || '/' || name END AS template
+    OR (labelled > 0 AND pl > labelled AND abs(blocked / labelled - share) <= {SIGMAS} * sqrt(share * (1 - share) / labelled)))
+    THEN '*' ELSE seg END AS name FROM (SELECT *, (pb - blocked + 1) / (pl - labelled + 2) AS share FROM child{i} JOIN parent{i} USING (host, template))),
+shape{i} AS (SELECT t.host, t.segs, t.n, t.labelled, t.blocked, t.wl, t.wb, CASE WHEN name IS NULL THEN t.template ELSE t.template || '/' || name END AS template
   FROM {last} t LEFT JOIN named{i} m ON t.host = m.host AND t.template = m.template AND t.segs[{i}] = m.seg),"""
         last = f"shape{i}"
 
-    def smooth(up: str) -> str:
-        return f"(sum(blocked) + {PRIOR} * {up}) / (sum(labelled) + {PRIOR})"
+    def smooth(up: str, labelled: str = "wl", blocked: str = "wb") -> str:
+        return f"(sum({blocked}) + {PRIOR} * {up}) / (sum({labelled}) + {PRIOR})"
+
+    wide = " OR ".join(f"rule = '{h}{p}'" for _, h, p in URL_RULES if p == "/")
 
     return f"""
 WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS r FROM pages),
@@ -175,12 +177,12 @@ hp AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJ
 given AS (SELECT *, {rule(lambda v, h, p: h + p)} AS rule, {rule(lambda v, h, p: v)} AS given,
   list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: {segment}) AS c FROM hp),
 r AS (SELECT page_id, host, path, rule, given, CASE WHEN len(c) > {DEPTH} THEN list_concat(c[1:{DEPTH - 1}], [array_to_string(c[{DEPTH}:], '/')]) ELSE c END AS segs FROM given),
-shape0 AS (SELECT host, segs, count(*) AS n, count(given) AS labelled, count(*) FILTER (given = 'block') AS blocked, '' AS template FROM r GROUP BY host, segs),{levels}
+shape0 AS (SELECT host, segs, count(*) AS n, count(given) AS labelled, count(*) FILTER (given = 'block') AS blocked,
+  count(*) FILTER ({wide}) AS wl, count(*) FILTER (given = 'block' AND ({wide})) AS wb, '' AS template FROM r GROUP BY host, segs),{levels}
 tree AS (SELECT *, regexp_extract(host, '([^.]*\\.)?[^.]*$') AS domain FROM {last}),
-total AS (SELECT (coalesce(sum(blocked), 0) + 1) / (coalesce(sum(labelled), 0) + 2) AS p FROM tree),
-d AS (SELECT domain, {smooth('(SELECT p FROM total)')} AS p FROM tree GROUP BY domain),
+d AS (SELECT domain, {smooth(str(BASE))} AS p FROM tree GROUP BY domain),
 h AS (SELECT domain, host, {smooth('any_value(d.p)')} AS p FROM tree JOIN d USING (domain) GROUP BY domain, host),
-t AS (SELECT host, template, {smooth('any_value(h.p)')} AS p FROM tree JOIN h USING (domain, host) GROUP BY host, template),
+t AS (SELECT host, template, {smooth('any_value(h.p)', 'labelled', 'blocked')} AS p FROM tree JOIN h USING (domain, host) GROUP BY host, template),
 judged AS (SELECT host, segs, template, p FROM tree JOIN t USING (host, template))
 SELECT page_id, r.host, path, rule, coalesce(given, CASE WHEN p > {REJECT} THEN 'block' ELSE 'allow' END) AS verdict, template, p::DOUBLE AS purity
 FROM r JOIN judged USING (host, segs)

@@ -7,12 +7,15 @@ which the rest is judged.
    equal shapes are counted together before anything is shuffled.
 2. *Variable segments.*  Level by level, if a parent's children are many and
    nearly all different, they become the wildcard ``*``.
-3. *Similar branches.*  Children whose labelled share does not differ from
-   their parent's by more than chance are merged into ``*``; the others stay
-   branches of their own.
+3. *Similar branches.*  Of the children that have labels, those whose share of
+   blocked labels does not differ from that of their labelled siblings by more
+   than chance are merged into ``*``.  Children without labels show no similarity
+   and stay branches of their own.
 4. *Purity.*  A template's share of blocked labels is smoothed towards its
-   host's, that towards its domain's, that towards the whole; templates above
-   ``reject`` are blocked.
+   host's, that towards its domain's, that towards ``BASE``; templates above
+   ``reject`` are blocked.  A label that a rule gave for a path says nothing of the
+   host's other paths, so only labels of rules for whole hosts count there, and a
+   template without labels goes by these or else by ``BASE``.
 
 Segments beyond ``depth`` levels are one tail, kept whole as a last segment, so
 every path has a template.  Defined results: a null URL, or one without
@@ -39,6 +42,7 @@ MANY = 8  # children from which a parent may have a wildcard
 NEW = 0.3  # children per row from which they count as variable
 SIGMAS = 1.96
 PRIOR = 10.0  # rows that a parent's share weighs
+BASE = 0.25  # share of blocked URLs where nothing is known
 REJECT = 0.5
 
 
@@ -77,7 +81,7 @@ def domain_of(host: Column) -> Column:
 
 
 def path_templates(shapes: DataFrame, depth: int, scratch: Scratch) -> DataFrame:
-    """``shapes`` (host, segs, n, labelled, blocked) with ``template``, level by level."""
+    """``shapes`` (host, segs, n, labelled, blocked, ...) with ``template``, level by level."""
     tree = shapes.withColumn("template", F.lit(""))
     for level in range(1, depth + 1):
         tree = tree.withColumn("seg", F.try_element_at("segs", F.lit(level)))
@@ -88,11 +92,12 @@ def path_templates(shapes: DataFrame, depth: int, scratch: Scratch) -> DataFrame
             F.count("*").alias("p_children"), *[F.sum(c).alias(f"p_{c}") for c in ("n", "labelled", "blocked")]
         )
         parents = scratch.save(parents, "parents")
-        share = (F.col("p_blocked") + 1) / (F.col("p_labelled") + 2)
+        # a labelled child against its labelled siblings
+        others = F.col("p_labelled") - F.col("labelled")
+        share = (F.col("p_blocked") - F.col("blocked") + 1) / (others + 2)
         chance = SIGMAS * F.sqrt(share * (1 - share) / F.greatest("labelled", F.lit(1)))
         variable = (F.col("p_children") >= MANY) & (F.col("p_children") >= NEW * F.col("p_n"))
-        alike = (F.col("labelled") == 0) | (F.abs((F.col("blocked") / F.col("labelled")) - share) <= chance)
-        alike = alike & (F.col("p_children") > 1)
+        alike = (F.col("labelled") > 0) & (others > 0) & (F.abs((F.col("blocked") / F.greatest("labelled", F.lit(1))) - share) <= chance)
         literal = ~F.col("seg").startswith("{")  # classes are general already
         named = children.join(parents, ["host", "template"])
         named = named.select("host", "template", "seg", F.when((variable | alike) & literal, "*").otherwise(F.col("seg")).alias("name"))
@@ -102,10 +107,10 @@ def path_templates(shapes: DataFrame, depth: int, scratch: Scratch) -> DataFrame
     return tree
 
 
-def _smoothed(rows: DataFrame, keys: list[str], prior: DataFrame | float) -> DataFrame:
-    """Share of blocked labels by ``keys`` as p, drawn by PRIOR rows towards ``prior``: a share, or the shares by ``keys`` but the last."""
-    own = rows.groupBy(*keys).agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-    own = own.withColumn("up", F.lit(prior)) if isinstance(prior, float) else own.join(prior.withColumnRenamed("p", "up"), keys[:-1])
+def _smoothed(rows: DataFrame, keys: list[str], labelled: str, blocked: str, prior: DataFrame | None) -> DataFrame:
+    """Share of blocked labels by ``keys`` as p, drawn by PRIOR rows towards the share ``prior`` by ``keys`` but the last, or BASE."""
+    own = rows.groupBy(*keys).agg(F.sum(labelled).alias("labelled"), F.sum(blocked).alias("blocked"))
+    own = own.withColumn("up", F.lit(BASE)) if prior is None else own.join(prior.withColumnRenamed("p", "up"), keys[:-1])
     return own.select(*keys, ((F.col("blocked") + PRIOR * F.col("up")) / (F.col("labelled") + PRIOR)).alias("p"))
 
 
@@ -116,15 +121,15 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULE
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("given", rule_of(F.col("host"), F.col("path"), rules)).withColumn("segs", classes(F.col("path"), depth))
     rows = scratch.save(rows, "urls")
-    label = F.when(F.col("given").isNotNull(), 1).otherwise(0)
+    blocks, wide = F.col("given.verdict") == "block", F.col("given.rule").endswith("/") & ~F.col("given.rule").rlike("/.")
     shapes = rows.groupBy("host", "segs").agg(
-        F.count("*").alias("n"), F.sum(label).alias("labelled"), F.sum(F.when(F.col("given.verdict") == "block", 1).otherwise(0)).alias("blocked")
-    )
+        F.count("*").alias("n"), F.count("given").alias("labelled"), F.count_if(blocks).alias("blocked"),
+        F.count_if(wide).alias("w_labelled"), F.count_if(wide & blocks).alias("w_blocked"),
+    )
     tree = path_templates(scratch.save(shapes, "shapes"), depth, scratch).withColumn("domain", domain_of(F.col("host")))
-    labelled, blocked = tree.agg(F.sum("labelled"), F.sum("blocked")).first()
-    domains = scratch.save(_smoothed(tree, ["domain"], ((blocked or 0) + 1) / ((labelled or 0) + 2)), "domains")
-    hosts = scratch.save(_smoothed(tree, ["domain", "host"], domains), "hosts")
-    templates = scratch.save(_smoothed(tree, ["domain", "host", "template"], hosts), "templates")
+    domains = scratch.save(_smoothed(tree, ["domain"], "w_labelled", "w_blocked", None), "domains")
+    hosts = scratch.save(_smoothed(tree, ["domain", "host"], "w_labelled", "w_blocked", domains), "hosts")
+    templates = scratch.save(_smoothed(tree, ["domain", "host", "template"], "labelled", "blocked", hosts), "templates")
     judged = scratch.save(tree.join(templates, ["domain", "host", "template"]).select("host", "segs", "template", F.col("p").alias("purity")), "judged")
     verdict = F.coalesce(F.col("given.verdict"), F.when(F.col("purity") > REJECT, "block").otherwise("allow"))
     return rows.join(judged, ["host", "segs"]).select("page_id", "host", "path", F.col("given.rule").alias("rule"), verdict.alias("verdict"), "template", "purity")

@@ -292,6 +292,8 @@ def test_parity_of_any_text(codec, text):
     (ids,), (same,) = codec.encode([text])
     assert ids == other.encode(text) and same
     assert WHOLE.encode(text, add_special_tokens=False).ids == ids or not text
+    # bytes of pieces and the library's decoder agree
+    assert codec._gives(ids, text) == (codec.decode([ids]) == [text])
     if "▁" not in text:
         assert codec.decode([ids]) == [text]
 
@@ -429,13 +431,41 @@ def test_templates(spark):
     rules = (("block", "bad", "/spam/"), ("allow", "good", "/fine/"))
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     got = {r.page_id: r for r in filter_urls(df, rules).collect()}
-    assert {got[i].template for i in range(30)} == {"/*/{n}"}
-    assert {got[i].template for i in range(30, 90)} == {"/*/*/list"}
+    assert {got[i].template for i in range(30)} == {"/item/{n}"}
+    assert {got[i].template for i in range(30, 90)} == {"/tag/*/list"}
     spam = next(i for i, u in enumerate(urls) if "spam2" in u)
-    assert got[spam].rule is None and got[spam].verdict == "block"
+    # the labels of one path say nothing of the host's others
+    assert got[spam].rule is None and got[spam].verdict == "allow"
     assert got[spam + 1].rule is None and got[spam + 1].verdict == "allow"
 
 
+def test_a_blocked_prefix_leaves_the_others_allowed(spark):
+    urls = [f"http://a.one.com/{p}/{i}" for p in ("de", "en", "fr", "es") for i in range(20)] + [f"http://b.one.com/{p}/x" for p in ("de", "en")]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = filter_urls(df, (("block", "one.com", "/de/"),)).collect()
+    assert {(r.path.split("/")[1], r.verdict) for r in got} == {("de", "block"), ("en", "allow"), ("fr", "allow"), ("es", "allow")}
+    purity = {r.template: r.purity for r in got if r.host == "a.one.com"}
+    assert purity["/de/{n}"] > 0.7 > 0.3 > purity["/en/{n}"] and len(purity) == 4
+
+
+def test_similar_labelled_branches_merge(spark):
+    """Branches that are blocked alike become one template; unlike ones and an unlabelled one stay."""
+    urls = [f"http://{h}.org/{p}/{k}/{i}" for h in ("h", "g") for p in ("p", "q", "s") for k in ("in", "out") for i in range(30)]
+    rules = tuple(("block" if k == "in" else "allow", "h.org", f"/{p}/{k}/") for p in ("p", "q") for k in ("in", "out"))
+    rules += (("block", "g.org", "/p/"), ("allow", "g.org", "/q/"))
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {(r.host[0], r.path.split("/")[1], r.template.split("/")[1]) for r in filter_urls(df, rules).collect()}
+    assert got == {("h", "p", "*"), ("h", "q", "*"), ("h", "s", "s"), ("g", "p", "p"), ("g", "q", "q"), ("g", "s", "s")}
+
+
+def test_rules_for_whole_hosts_speak_for_their_domain(spark):
+    urls = [f"http://w{i}.bad.net/a/{i}" for i in range(60)] + ["http://bad.net/b/1", "http://good.net/b/1"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = tuple(("block", f"w{i}.bad.net", "/") for i in range(60))
+    got = {r.host: (r.rule, r.verdict) for r in filter_urls(df, rules).collect()}
+    assert got["bad.net"] == (None, "block") and got["good.net"] == (None, "allow") and got["w3.bad.net"] == ("w3.bad.net/", "block")
+
+
 # --- pipeline ---------------------------------------------------------------------
 
 
