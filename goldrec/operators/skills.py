@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 
 from goldrec.functions.similarity import _lcs_bits
 from goldrec.functions.strings import py_strip
+from goldrec.operators.dictionary import canonical_names
 from goldrec.operators.lists import exploded
 from goldrec.operators.simjoin import similar_pairs
 from goldrec.sources.dims import FUZZY_CUTOFF, SKILLS, SOURCE_ATTRIBUTION_CUTOFF, literal_map
 
 
-def fuzzy_confidence(score):
-    return F.round(F.lit(0.5) + (score - FUZZY_CUTOFF) / (100 - FUZZY_CUTOFF) * 0.49, 4)
+def fuzzy_confidence(score, cutoff: float = FUZZY_CUTOFF):
+    return F.round(F.lit(0.5) + (score - cutoff) / (100 - cutoff) * 0.49, 4)
 
 
 @functools.lru_cache(maxsize=None)
@@ -51,13 +52,16 @@ def _fuzzy_udf(cutoff: int):
     return best
 
 
-def canonical_skills(df: DataFrame, col: str = "raw", cutoff: int = FUZZY_CUTOFF) -> DataFrame:
+def canonical_skills(df: DataFrame, col: str = "raw", cutoff: int = FUZZY_CUTOFF, dictionary: DataFrame | None = None) -> DataFrame:
     """``df`` with name, confidence and method of the skill in ``col``; no join, no shuffle.
 
+    With ``dictionary`` (pos, name), of any size, the same against that table, by joins (``operators/dictionary.py``).
     exact (case-insensitive, a literal map) -> 1.0; best token-sort ratio >=
     cutoff (first dictionary entry on ties) -> 0.5 + (s - 80) / 20 * 0.49; else
     the stripped value itself at 0.5; blank -> itself at 0.0.
     """
+    if dictionary is not None:
+        return canonical_names(df, dictionary, col, cutoff)
     exact = literal_map({s.lower(): s for s in reversed(SKILLS)}.items())  # of entries alike but for case the first counts
     df = df.withColumn("_s", py_strip(F.col(col))).withColumn("_e", F.try_element_at(exact, F.lower("_s")))
     df = df.withColumn("_f", _fuzzy_udf(cutoff)(F.when(F.col("_e").isNull() & (F.col("_s") != ""), F.col("_s"))))
@@ -69,9 +73,9 @@ def canonical_skills(df: DataFrame, col: str = "raw", cutoff: int = FUZZY_CUTOFF
     }).drop("_s", "_e", "_f")
 
 
-def skill_items(spark: SparkSession, keyed: DataFrame) -> DataFrame:
+def skill_items(spark: SparkSession, keyed: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
     """entity_key, source, source_rank, record_id, pos, raw, name, confidence (one row per raw skill)."""
-    return canonical_skills(exploded(keyed, "skills_raw").where(F.col("raw").isNotNull()))
+    return canonical_skills(exploded(keyed, "skills_raw").where(F.col("raw").isNotNull()), dictionary=dictionary)
 
 
 def skill_bonus(sources: Column) -> Column:
@@ -79,9 +83,9 @@ def skill_bonus(sources: Column) -> Column:
     return F.least(F.lit(0.1), F.lit(0.05) * F.greatest(F.lit(0), F.size(sources) - 1))
 
 
-def merge_skills(spark: SparkSession, keyed: DataFrame) -> DataFrame:
+def merge_skills(spark: SparkSession, keyed: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
     """G7 + E3 + G14: entity_key, skills array<struct<name, confidence, sources>> in first-seen order."""
-    items = skill_items(spark, keyed).withColumn("key", F.lower("name"))
+    items = skill_items(spark, keyed, dictionary).withColumn("key", F.lower("name"))
     order = F.struct("source_rank", "record_id", "pos")
     merged = items.groupBy("entity_key", "key").agg(
         F.min_by(F.struct("name", "confidence"), F.struct(-F.col("confidence"), order)).alias("best"),
