@@ -1,7 +1,8 @@
 """Date Column builders.
 
-Dates are ``YYYY-MM`` strings.  The cascade is one ``CASE`` expression, so it
-stays inside whole-stage codegen and short-circuits per row.
+Dates are ``YYYY-MM`` strings.  The cascade is one ``coalesce``: a pattern is tried
+only where those before it gave nothing, it meets the text once, and its parts
+are cut from the match by their places.
 """
 
 from __future__ import annotations
@@ -36,34 +37,33 @@ def normalize_date(c: Column) -> Column:
     return let(py_strip(c.cast("string")), _month)
 
 
-def _month(s: Column) -> Column:
-    months = literal_map(MONTHS)
-    quarters = literal_map(QUARTERS)
+def _found(s: Column, rx: str, body) -> Column:
+    """``body`` of the first match; an empty match gives null."""
+    return let(F.regexp_extract(s, rx, 0), lambda m: F.when(m != "", body(m)))
+
 
-    iso_y = F.regexp_extract(s, ISO_RX, 1)
-    iso_m = F.regexp_extract(s, ISO_RX, 2)
-    iso_ok = (iso_y != "") & iso_m.try_cast("int").between(1, 12)
+def _month(s: Column) -> Column:
+    def dashed(year: Column, month: Column) -> Column:
+        return F.concat(year, F.lit("-"), month)
 
-    q = F.lower(F.regexp_extract(s, QUARTER_RX, 1))
-    q_y = F.regexp_extract(s, QUARTER_RX, 2)
+    def iso(m: Column) -> Column:
+        return F.when(F.substring(m, 6, 2).try_cast("int").between(1, 12), F.substring(m, 1, 7))
 
-    mon = F.lower(F.concat(F.regexp_extract(s, MONTH_YEAR_RX, 1), F.regexp_extract(s, MONTH_YEAR_RX, 4)))
-    mon_y = F.concat(F.regexp_extract(s, MONTH_YEAR_RX, 2), F.regexp_extract(s, MONTH_YEAR_RX, 3))
-    mon_mm = F.try_element_at(months, mon)
+    def quarter(m: Column) -> Column:
+        return dashed(F.right(m, F.lit(4)), F.try_element_at(literal_map(QUARTERS), F.lower(F.left(m, F.lit(2)))))
 
-    num_m = F.concat(F.regexp_extract(s, NUMERIC_RX, 1), F.regexp_extract(s, NUMERIC_RX, 4))
-    num_y = F.concat(F.regexp_extract(s, NUMERIC_RX, 2), F.regexp_extract(s, NUMERIC_RX, 3))
+    def named(m: Column) -> Column:
+        year = F.when(m.rlike("^[A-Za-z]"), F.right(m, F.lit(4))).otherwise(F.left(m, F.lit(4)))
+        return dashed(year, F.try_element_at(literal_map(MONTHS), F.lower(F.regexp_extract(m, "[A-Za-z]+", 0))))
 
-    year = F.regexp_extract(s, YEAR_RX, 1)
+    def numeric(m: Column) -> Column:
+        first = F.substring(m, 5, 1).isin("/", "-")  # the year stands first
+        month = F.when(first, F.substring(m, 6, 2)).otherwise(F.left(m, F.length(m) - 5))
+        year = F.when(first, F.left(m, F.lit(4))).otherwise(F.right(m, F.lit(4)))
+        return F.when(month.try_cast("int").between(1, 12), dashed(year, F.lpad(month, 2, "0")))
 
-    return (
-        F.when(s.isNull() | (s == ""), F.lit(None).cast("string"))
-        .when(iso_ok, F.concat_ws("-", iso_y, iso_m))
-        .when(s.rlike(QUARTER_RX), F.concat_ws("-", q_y, F.try_element_at(quarters, q)))
-        .when(s.rlike(MONTH_YEAR_RX) & mon_mm.isNotNull(), F.concat_ws("-", mon_y, mon_mm))
-        .when(s.rlike(NUMERIC_RX) & num_m.try_cast("int").between(1, 12), F.concat_ws("-", num_y, F.lpad(num_m, 2, "0")))
-        .when(year != "", F.concat(year, F.lit("-01")))
-    )
+    year = let(F.regexp_extract(s, YEAR_RX, 1), lambda y: F.when(y != "", dashed(y, F.lit("01"))))
+    return F.coalesce(_found(s, ISO_RX, iso), _found(s, QUARTER_RX, quarter), _found(s, MONTH_YEAR_RX, named), _found(s, NUMERIC_RX, numeric), year)
 
 
 def normalize_year(c: Column) -> Column:

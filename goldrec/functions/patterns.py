@@ -44,6 +44,8 @@ def portable(pattern: str) -> str:
 
 
 WS_CLASS = f"[{_WS_RANGES}]"
+#: The same characters, written out.
+WS_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 # ---------------------------------------------------------------------------
 # Extraction patterns (Python syntax, as specified).

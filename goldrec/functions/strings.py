@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from goldrec.functions.patterns import WS_CLASS
-
-_EDGES = f"^{WS_CLASS}+|{WS_CLASS}+$"
+from goldrec.functions.patterns import WS_CHARS
 
 
 def let(value: Column, body) -> Column:
-    """``body`` of ``value`` with ``value`` worked out once, however often the body names it."""
+    """``body`` of ``value`` with ``value`` worked out once, however often the body names it.
+
+    A ``transform`` of a one-item array: its body is interpreted, not compiled, so
+    this is for bodies whose own work (regular expressions) outweighs that.
+    """
     return F.get(F.transform(F.array(value), body), 0)
 
 
 def py_strip(c: Column) -> Column:
-    """Trim every Unicode whitespace character (``trim`` only removes spaces); one regex pass."""
-    return F.regexp_replace(c, _EDGES, "")
+    """Trim every Unicode whitespace character (``trim`` alone only removes spaces)."""
+    return F.trim(c, F.lit(WS_CHARS))
 
 
 def blank_to_null(c: Column) -> Column:

@@ -1,8 +1,12 @@
 """Free-text extraction Column builders.
 
-Every builder maps a text Column to a Column; a job adds them all in one
-``select`` over a partitioned text table, so one scan does all extraction and
-no row ever leaves its task.
+Every builder maps a text Column to a Column; a job adds them all over one scan
+of a partitioned text table, and no row ever leaves its task.
+
+A pattern meets a text once.  What several fields need - the first lines, the
+sections' texts, the ranges of years - is a column of its own (``resume_marks``),
+and what several parts of a block need is a stage of ``transform`` of its own, as
+Spark evaluates an expression inside a lambda wherever it is named.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from goldrec.functions import patterns as P
-from goldrec.functions.strings import py_strip
+from goldrec.functions.strings import let, py_strip
 
 # Python's str.splitlines() boundaries.
 LINE_BREAK = r"\r\n|[\n\r\x{0B}\f\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
@@ -81,17 +85,22 @@ def github(text: Column) -> Column:
 
 def looks_like_name(line: Column) -> Column:
     """2-4 words, no digit, no word starting with a lower-case letter."""
-    w = words_of(line)
-    return (
-        F.size(w).between(2, 4)
-        & ~line.rlike(r"\p{Nd}")
-        & ~F.exists(w, lambda x: x.rlike(r"^\p{Ll}"))
-    )
+    return let(words_of(line), lambda w: F.size(w).between(2, 4) & ~F.exists(w, lambda x: x.rlike(r"^\p{Ll}|\p{Nd}")))
+
+
+def head_lines(text: Column) -> Column:
+    """The first six non-blank lines, stripped."""
+    return F.slice(lines_of(text), 1, 6)
+
+
+def name_in(head: Column) -> Column:
+    """C4 from ``head_lines``."""
+    return F.get(F.filter(F.slice(head, 1, 5), looks_like_name), 0)
 
 
 def name_from_lines(text: Column) -> Column:
     """C4: first of the first five non-blank lines that looks like a name."""
-    return F.get(F.filter(F.slice(lines_of(text), 1, 5), looks_like_name), 0)
+    return name_in(head_lines(text))
 
 
 def name_from_label(text: Column) -> Column:
@@ -99,42 +108,54 @@ def name_from_label(text: Column) -> Column:
     return _nz(py_strip(F.regexp_extract(text, NAME_LABEL_RX, 1)))
 
 
-def headline(text: Column, name: Column) -> Column:
-    """First of lines 2-6 with >= 3 words and no contact data, only when a name was found."""
+def headline_in(head: Column, name: Column) -> Column:
+    """C6 from ``head_lines``."""
     cand = F.filter(
-        F.slice(lines_of(text), 2, 5),
-        lambda ln: ~ln.rlike(EMAIL_RX)
-        & ~ln.rlike(PHONE_RX)
-        & ~ln.rlike(LINKEDIN_RX)
-        & (F.size(words_of(ln)) >= 3)
-        & ~looks_like_name(ln),
+        F.slice(head, 2, 5),
+        lambda ln: (F.size(words_of(ln)) >= 3) & ~ln.rlike(EMAIL_RX) & ~ln.rlike(PHONE_RX) & ~ln.rlike(LINKEDIN_RX) & ~looks_like_name(ln),
     )
     return F.when(name.isNotNull(), F.get(cand, 0))
 
 
+def headline(text: Column, name: Column) -> Column:
+    """First of lines 2-6 with >= 3 words and no contact data, only when a name was found."""
+    return headline_in(head_lines(text), name)
+
+
 # --- skills (C7, C8) -----------------------------------------------------------
 
 
+def section(text: Column, rx: str) -> Column:
+    """The first section's body, null where there is none; one pass over the text."""
+    return F.get(F.regexp_extract_all(text, F.lit(rx), 1), 0)
+
+
+def skills_in(body: Column) -> Column:
+    """C7 from the section's body."""
+    items = F.transform(F.split(F.regexp_replace(body, r"\([^)]*\)", ""), P.SKILL_SPLIT), py_strip)
+    return F.filter(items, lambda x: F.length(x) > 1)
+
+
 def skills_section(text: Column) -> Column:
     """Items of the skills section; parentheses removed; 1-char items dropped."""
-    body = F.regexp_extract(text, SKILLS_SECTION_RX, 1)
-    body = F.regexp_replace(body, r"\([^)]*\)", "")
-    items = F.transform(F.split(body, P.SKILL_SPLIT), py_strip)
-    found = text.rlike(SKILLS_SECTION_RX)
-    return F.when(found, F.filter(items, lambda x: F.length(x) > 1))
+    return skills_in(section(text, SKILLS_SECTION_RX))
 
 
 def skills_labels(text: Column) -> Column:
     """Items after every 'Skills:' / 'Proficient in -' style label."""
     lines = F.regexp_extract_all(text, F.lit(SKILLS_LABEL_RX), 1)
     items = F.flatten(F.transform(lines, lambda ln: F.transform(F.split(ln, P.NOTES_SKILL_SPLIT), py_strip)))
-    items = F.filter(items, lambda x: x != "")
-    return F.when(F.size(items) > 0, items)
+    return let(F.filter(items, lambda x: x != ""), lambda found: F.when(F.size(found) > 0, found))
 
 
 # --- years (C11, C12) ----------------------------------------------------------
 
 
+def _ends(span: Column, part: int) -> Column:
+    """A range's start (1) or end (2), from the range alone."""
+    return F.regexp_extract(span, YEAR_RANGE_RX, part)
+
+
 def sum_year_ranges(text: Column, as_of_year: int | Column) -> Column:
     """C11: sum of 'YYYY - YYYY|present' ranges; open end = ``as_of_year``.
 
@@ -142,18 +163,16 @@ def sum_year_ranges(text: Column, as_of_year: int | Column) -> Column:
     returned only when positive.
     """
     now = as_of_year if isinstance(as_of_year, Column) else F.lit(as_of_year)
-    starts = F.regexp_extract_all(text, F.lit(YEAR_RANGE_RX), 1)
-    ends = F.regexp_extract_all(text, F.lit(YEAR_RANGE_RX), 2)
-    pairs = F.arrays_zip(starts.alias("s"), ends.alias("e"))
+    ranges = F.regexp_extract_all(text, F.lit(YEAR_RANGE_RX), 0)
+    ends = F.transform(ranges, lambda r: F.struct(_ends(r, 1).try_cast("int").alias("s"), F.lower(_ends(r, 2)).alias("e")))
+    ends = F.transform(ends, lambda x: F.struct(x["s"].alias("s"), F.when(x["e"].isin("present", "current"), now).otherwise(x["e"].try_cast("int")).alias("e")))
 
-    def span(p):
-        s = p["s"].try_cast("int")
-        e = F.when(F.lower(p["e"]).isin("present", "current"), now).otherwise(p["e"].try_cast("int"))
-        ok = s.isNotNull() & e.isNotNull() & (s >= 1980) & (s <= now) & (s <= e)
-        return F.when(ok, (e - s).cast("double")).otherwise(F.lit(0.0))
+    def span(x: Column) -> Column:
+        ok = x["s"].isNotNull() & x["e"].isNotNull() & (x["s"] >= 1980) & (x["s"] <= now) & (x["s"] <= x["e"])
+        return F.when(ok, (x["e"] - x["s"]).cast("double")).otherwise(F.lit(0.0))
 
-    total = F.round(F.aggregate(F.transform(pairs, span), F.lit(0.0), lambda a, b: a + b), 1)
-    return F.when(total > 0, total)
+    total = F.aggregate(ends, F.lit(0.0), lambda a, x: a + span(x), lambda a: F.round(a, 1))
+    return F.nullif(total, F.lit(0.0))
 
 
 def stated_years(text: Column) -> Column:
@@ -174,38 +193,68 @@ def snippet(text: Column, n: int) -> Column:
 # --- sections (C9, C10) --------------------------------------------------------
 
 
-def _section(text: Column, rx: str) -> Column:
-    return F.when(text.rlike(rx), F.regexp_extract(text, rx, 1))
+def experience_in(body: Column) -> Column:
+    """C9 from the section's body."""
+    blocks = F.transform(F.split(py_strip(body), P.portable(r"\n\s*\n")), py_strip)
+    blocks = F.transform(blocks, lambda s: F.struct(lines_of(s).alias("lines"), F.regexp_extract(s, YEAR_RANGE_RX, 0).alias("years")))
+    blocks = F.transform(
+        blocks,
+        lambda b: F.struct(
+            F.filter(b["lines"], lambda x: ~x.rlike(r"^[-•*\p{Nd}]")).alias("heads"),
+            F.filter(b["lines"], lambda x: x.rlike(r"^[-•*]")).alias("bullets"),
+            _nz(_ends(b["years"], 1)).alias("start"),
+            _nz(_ends(b["years"], 2)).alias("end"),
+        ),
+    )
+    dated = r"^\p{Nd}{4}"
+    jobs = F.transform(
+        blocks,
+        lambda b: F.struct(
+            F.get(b["heads"], 0).alias("company"),
+            let(F.get(b["heads"], 1), lambda title: F.when(~title.rlike(dated), title)).alias("title"),
+            F.concat(b["start"], F.lit("-01")).alias("start"),
+            F.concat(F.when(~F.lower(b["end"]).isin("present", "current"), b["end"]), F.lit("-01")).alias("end"),
+            F.when(F.size(b["bullets"]) > 0, F.substring(F.array_join(b["bullets"], " "), 1, 500)).alias("summary"),
+        ),
+    )
+    return F.filter(jobs, lambda b: b["company"].isNotNull() & ~b["company"].rlike(dated))
 
 
 def experience_blocks(text: Column) -> Column:
     """Jobs of the experience section as structs (company, title, start, end, summary)."""
-    section = _section(text, EXPERIENCE_SECTION_RX)
-    segs = F.split(py_strip(section), P.portable(r"\n\s*\n"))
-
-    def block(seg):
-        s = py_strip(seg)
-        lines = F.filter(F.transform(F.split(s, LINE_BREAK), py_strip), lambda x: x != "")
-        heads = F.filter(lines, lambda x: ~x.rlike(r"^[-•*\p{Nd}]"))
-        bullets = F.filter(lines, lambda x: x.rlike(r"^[-•*]"))
-        company = F.get(heads, 0)
-        title = F.get(heads, 1)
-        start = _nz(F.regexp_extract(s, YEAR_RANGE_RX, 1))
-        end_raw = _nz(F.regexp_extract(s, YEAR_RANGE_RX, 2))
-        end = F.when(~F.lower(end_raw).isin("present", "current"), end_raw)
-        return F.struct(
-            company.alias("company"),
-            F.when(~title.rlike(r"^\p{Nd}{4}"), title).alias("title"),
-            F.concat(start, F.lit("-01")).alias("start"),
-            F.concat(end, F.lit("-01")).alias("end"),
-            F.when(F.size(bullets) > 0, F.substring(F.array_join(bullets, " "), 1, 500)).alias("summary"),
-        )
-
-    blocks = F.transform(segs, block)
-    return F.when(
-        section.isNotNull(),
-        F.filter(blocks, lambda b: b["company"].isNotNull() & ~b["company"].rlike(r"^\p{Nd}{4}")),
+    return experience_in(section(text, EXPERIENCE_SECTION_RX))
+
+
+DEGREE_AT = "(?su)^.*?" + DEGREE_RX.replace("(?iu)", "(?iu:") + ")"
+
+
+def education_in(body: Column) -> Column:
+    """C10 from the section's body."""
+    blocks = F.transform(F.split(py_strip(body), r"\n(?=[^" + P.WS_CLASS[1:-1] + "])"), py_strip)
+    # all up to the degree, and the degree itself
+    blocks = F.transform(
+        blocks,
+        lambda s: F.struct(
+            s.alias("s"), F.length(F.regexp_extract(s, DEGREE_AT, 0)).alias("at"), _nz(F.regexp_extract(s, DEGREE_RX, 0)).alias("degree"),
+            F.regexp_extract_all(s, F.lit(EDU_YEAR_RX), 1).alias("years"),
+        ),
+    )
+    blocks = F.transform(
+        blocks,
+        lambda b: b.withField(
+            "field", F.when(b["degree"].isNotNull(), F.slice(words_of(F.regexp_replace(py_strip(F.substring(b["s"], b["at"] + 1, 1 << 30)), "^[in]+", "")), 1, 4))
+        ),
+    )
+    schools = F.transform(
+        blocks,
+        lambda b: F.struct(
+            py_strip(F.get(F.split(b["s"], LINE_BREAK, 2), 0)).alias("institution"),
+            b["degree"].alias("degree"),
+            F.when(F.size(b["field"]) > 0, F.array_join(b["field"], " ")).alias("field"),
+            F.when(F.size(b["years"]) > 0, F.element_at(b["years"], -1)).alias("end_year"),
+        ),
     )
+    return F.filter(schools, lambda b: b["institution"] != "")
 
 
 def education_blocks(text: Column) -> Column:
@@ -213,23 +262,26 @@ def education_blocks(text: Column) -> Column:
 
     The end year is the last whole 4-digit year of the block.
     """
-    section = _section(text, EDUCATION_SECTION_RX)
-    segs = F.split(py_strip(section), r"\n(?=[^" + P.WS_CLASS[1:-1] + "])")
-
-    def block(seg):
-        s = py_strip(seg)
-        first_line = py_strip(F.get(F.split(s, LINE_BREAK), 0))
-        before = F.regexp_extract(s, "(?su)^(.*?)" + DEGREE_RX.replace("(?iu)", "(?iu:") + ")", 1)
-        degree = _nz(F.regexp_extract(s, DEGREE_RX, 0))
-        after = F.substring(s, F.length(before) + F.length(degree) + 1, 1 << 30)
-        after = py_strip(F.regexp_replace(py_strip(after), "^[in]+", ""))
-        field_words = F.slice(words_of(after), 1, 4)
-        years = F.regexp_extract_all(s, F.lit(EDU_YEAR_RX), 1)
-        return F.struct(
-            first_line.alias("institution"),
-            degree.alias("degree"),
-            F.when(degree.isNotNull() & (F.size(field_words) > 0), F.array_join(field_words, " ")).alias("field"),
-            F.when(F.size(years) > 0, F.element_at(years, -1)).alias("end_year"),
-        )
-
-    return F.when(section.isNotNull(), F.filter(F.transform(segs, block), lambda b: b["institution"] != ""))
+    return education_in(section(text, EDUCATION_SECTION_RX))
+
+
+# --- whole texts ----------------------------------------------------------------
+
+
+def resume_marks(text: Column) -> dict[str, Column]:
+    """What one pass of each pattern finds in a resume, for ``resume_fields``."""
+    return {
+        "emails": emails(text),
+        "phones": phone_spans(text),
+        "linkedin": linkedin(text),
+        "github": github(text),
+        "head": head_lines(text),
+        "skills": section(text, SKILLS_SECTION_RX),
+        "experience": section(text, EXPERIENCE_SECTION_RX),
+        "education": section(text, EDUCATION_SECTION_RX),
+    }
+
+
+def notes_marks(text: Column) -> dict[str, Column]:
+    """The same of a recruiter's notes."""
+    return {"emails": emails(text), "phones": phone_spans(text), "skills": skills_labels(text)}

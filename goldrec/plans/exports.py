@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from goldrec.operators.project import write_json
 from goldrec.session import ensure_checkpoint_dir
-from goldrec.sources.files import load_sources, read_csv_source
+from goldrec.sources.files import load_sources, read_csv_source, write_sources
 
 FILES = 7
 KNOWN = "c_custkey % 9 <> 0"
@@ -81,7 +81,25 @@ def json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].union(parts[1])
 
 
-QUERIES = {f.__name__: f for f in (csv_files, first_per_file, source_status, json_sink)}
+DOCS = 3  # files of JSON documents, one a line
+DOC = """CASE c_custkey % 5 WHEN 0 THEN concat('{"name": "', c_name) WHEN 1 THEN concat('[7, {"email": "a', c_custkey, '@example.org"}]')
+  WHEN 2 THEN concat('{"data": {"note": "n', c_custkey, '"}}') ELSE concat('{"candidate": {"name": "', c_name, '"}}') END"""
+
+
+def write_documents(spark: SparkSession, sf_dir: str) -> str:
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(f"c_custkey % {DOCS} AS f", "c_custkey", f"{DOC} AS value")
+    path = _folder(spark)
+    rows.repartition("f").sortWithinPartitions("f", "c_custkey").select("value", "f").write.partitionBy("f").text(path)
+    return f"{path}/*/*.txt"
+
+
+def source_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of CSV exports and JSON Lines that are left out: where they stand, why, and their text."""
+    _, rejects = write_sources(spark, _folder(spark), csv=write_exports(spark, sf_dir), ats=write_documents(spark, sf_dir), ats_lines=True)
+    return rejects.select("source", F.regexp_extract("file", "/f=([0-9]+)/", 1).cast("int").alias("file"), "place", "reason", "raw")
+
+
+QUERIES = {f.__name__: f for f in (csv_files, first_per_file, source_status, source_rejects, json_sink)}
 
 _FIELDS = f"""c_custkey % {FILES} AS f, CASE WHEN {KNOWN} THEN c_name END AS full_name,
   CASE WHEN {KNOWN} THEN concat('c', c_custkey, '@example.org|d', c_custkey, '@example.org') END AS emails,
@@ -94,6 +112,13 @@ ORACLES = {
     "source_status": lambda: f"""SELECT 'csv' AS source, true AS found, count(DISTINCT c_custkey % {FILES}) AS files, 0::BIGINT AS files_bad,
   count(*) AS rows_in, count(*) FILTER ({KNOWN}) AS rows_kept, count(*) FILTER (NOT ({KNOWN})) AS rows_bad FROM customer
 UNION ALL SELECT 'notes', false, 0, 0, 0, 0, 0""",
+    "source_rejects": lambda: f"""WITH c AS (SELECT c_custkey, c_custkey % {FILES} AS f, {KNOWN} AS known, row_number() OVER (PARTITION BY c_custkey % {FILES} ORDER BY c_custkey) - 1 AS place,
+  concat('+1 415 555 ', lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0')) AS p, {TITLE} AS t FROM customer),
+d AS (SELECT c_custkey, c_custkey % {DOCS} AS f, row_number() OVER (PARTITION BY c_custkey % {DOCS} ORDER BY c_custkey) - 1 AS place, {DOC} AS value FROM customer)
+SELECT 'csv' AS source, f::INTEGER AS file, place, 'neither name nor e-mail' AS reason,
+  CASE f % 3 WHEN 0 THEN concat(', ,', p) WHEN 1 THEN concat(p, ', ,', t, ', ,') ELSE concat(t, ', ,') END AS raw FROM c WHERE NOT known
+UNION ALL SELECT 'ats', f::INTEGER, place, CASE c_custkey % 5 WHEN 0 THEN 'not valid JSON' WHEN 1 THEN 'not a JSON object' ELSE 'neither name nor e-mail' END,
+  CASE c_custkey % 5 WHEN 0 THEN value WHEN 1 THEN '7' ELSE replace(value, ': ', ':') END FROM d WHERE c_custkey % 5 < 3""",
     "json_sink": lambda: f"""SELECT p AS policy, c_custkey, CASE WHEN p = 'null' OR {KNOWN} THEN 'c_custkey,c_name' ELSE 'c_custkey' END AS keys
 FROM customer, (VALUES ('null'), ('omit')) t(p)""",
 }

@@ -13,14 +13,15 @@ from __future__ import annotations
 
 import csv
 import functools
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.functions import text as X
+from goldrec.functions.patterns import WS_CLASS
 from goldrec.functions.strings import blank_to_null, compose_name, py_strip, split_cell, to_double
 from goldrec.schemas import EDUCATION_RAW_ITEM, EXPERIENCE_ITEM, SOURCE_RECORDS, fields_struct
+from goldrec.sources.csv_lines import csv_records, numbered_lines
 from goldrec.sources.dims import SOURCE_CONSTANTS, literal_map
 
 CERTAINTY = {s: c for s, _, c in SOURCE_CONSTANTS}
@@ -73,6 +74,10 @@ def _empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], SOURCE_RECORDS)
 
 
+def _empty_read(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], READ.format(fields=SOURCE_RECORDS["fields"].dataType.simpleString()))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     if not path:
         return False
@@ -112,70 +117,77 @@ def map_csv_fields(cells: list[tuple[str, Column]] | DataFrame) -> Column:
     return fields_struct(**out)
 
 
+def _identified() -> Column:
+    f = F.col("fields")
+    return f["full_name"].isNotNull() | (F.coalesce(F.size(f["emails"]), F.lit(0)) > 0)
+
+
 def identity_gate(records: DataFrame) -> DataFrame:
     """structured records need a name or at least one e-mail."""
-    f = F.col("fields")
-    return records.where(f["full_name"].isNotNull() | (F.coalesce(F.size(f["emails"]), F.lit(0)) > 0))
-
-
-def csv_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files under ``path`` by their first line; unreadable files are left out (``source_status`` counts them)."""
-    lines = spark.read.option("lineSep", "\n").option("ignoreCorruptFiles", "true").text(path)
-    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), "value")
-    firsts = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "pos")).alias("header"))
-    shapes = firsts.groupBy("header").agg(F.array_sort(F.collect_list("file")).alias("files"))
-    return {r["header"].lstrip("\ufeff").rstrip("\r"): r["files"] for r in shapes.collect()}  # one row a header; paths, as in any file listing
-
-
-def _csv_rows(spark: SparkSession, header: str, files: list[str], multiline: bool) -> DataFrame:
-    """Rows of files with one header: file, place in the file, fields."""
-    names = next(csv.reader([header]), [])
-    schema = ", ".join(f"c{i} string" for i in range(max(1, len(names))))
-    raw = (
-        spark.read.schema(schema).option("header", "true").option("enforceSchema", "true").option("multiLine", str(multiline).lower())
-        .option("escape", '"').option("mode", "PERMISSIVE").option("encoding", "UTF-8").option("ignoreCorruptFiles", "true")
-        .csv([unquote(f) for f in files])
-    )
-    return raw.select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-        map_csv_fields([(n, F.col(f"c{i}")) for i, n in enumerate(names)]).alias("fields"),
-    )
+    return records.where(_identified())
+
+
+# Why a row is left out.
+NO_IDENTITY = "neither name nor e-mail"
+NO_JSON = "not valid JSON"
+NO_OBJECT = "not a JSON object"
+NO_TEXT = "no text"
+NOTHING_READ = "unreadable or empty file"
+
+SOURCE_COLUMNS = ("record_id", "source", "extraction_confidence", "fields")
+#: Rows as the readers see them: source_records, the place in the file, and why the row is left out (null: kept) with its text.
+READ = "record_id string, source string, extraction_confidence double, fields {fields}, file string, place long, reason string, raw string"
+
+
+def _read(rows: DataFrame, source: str, record_id: Column, file: Column, place: Column, reason: Column, raw: Column) -> DataFrame:
+    return rows.select(
+        record_id.alias("record_id"), F.lit(source).alias("source"), F.lit(CERTAINTY[source]).alias("extraction_confidence"), "fields",
+        file.alias("file"), place.cast("long").alias("place"), reason.alias("reason"), F.when(reason.isNotNull(), raw).alias("raw"),
+    )
+
+
+def kept(read: DataFrame) -> DataFrame:
+    return read.where("reason is null")
 
 
 def csv_rows(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """All rows of CSV files, each read by its own header: _file, _pos (block, row in it), fields.
+    """All rows of CSV files, each read by its own header: _file, _pos (the row's line in it), fields, raw (its text).
 
-    A row's place does not depend on what other files there are.
+    A row's place does not depend on what other files there are, nor on how Spark
+    splits the file.  Rows are read once for their places and once for their
+    cells; of the files only the distinct headers reach the driver.
     """
+    kind = SOURCE_RECORDS["fields"].dataType
     if not _exists(spark, path):
-        return spark.createDataFrame([], f"_file string, _pos struct<block:bigint,row:bigint>, fields {SOURCE_RECORDS['fields'].dataType.simpleString()}")
-    parts = [_csv_rows(spark, h, files, multiline) for h, files in sorted(csv_headers(spark, path).items())]
-    if not parts:
-        return csv_rows(spark, "", multiline)
-    rows = functools.reduce(DataFrame.union, parts)
-    starts = rows.groupBy("_file", "_block").agg(F.min("_id").alias("_first"))
-    rows = rows.join(starts, ["_file", "_block"])
-    return rows.select("_file", F.struct(F.col("_block").alias("block"), (F.col("_id") - F.col("_first")).alias("row")).alias("_pos"), "fields")
+        return spark.createDataFrame([], f"_file string, _pos bigint, fields {kind.simpleString()}, raw string")
+    records, heads = csv_records(spark, path, multiline)
+    headers = {r["header"]: next(csv.reader([r["header"]], strict=False), []) for r in heads.select("header").distinct().collect()}
+    width = max([1, *map(len, headers.values())])
+    cells = F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(width))), {"escape": '"', "mode": "PERMISSIVE"})
+    rows = records.join(heads, "file").select("file", "line", "header", "value", cells.alias("cells"))
+    fields = F.lit(None).cast(kind)
+    for header, names in sorted(headers.items()):
+        fields = F.when(F.col("header") == header, map_csv_fields([(n, F.col(f"cells.c{i}")) for i, n in enumerate(names)])).otherwise(fields)
+    return rows.select(F.col("file").alias("_file"), F.col("line").alias("_pos"), fields.alias("fields"), F.col("value").alias("raw")).where("fields is not null")
 
 
 def read_csv_source(spark: SparkSession, path: str, first_per_file: bool = False, multiline: bool = True) -> DataFrame:
     """A1 (+A2 when ``first_per_file``): recruiter CSV exports -> source_records.
 
-    ``multiline=False`` lets Spark split large files whose cells hold no line breaks.
+    Large files are split, also where cells hold line breaks; ``multiline=False``
+    takes every line for a record and so saves the search for open quotes.
     """
-    rec = csv_rows(spark, path, multiline).select(
-        F.concat_ws("#", "_file", F.when(F.col("_pos.block") > 0, F.col("_pos.block").cast("string")), F.col("_pos.row").cast("string")).alias("record_id"),
-        F.lit("csv").alias("source"),
-        F.lit(CERTAINTY["csv"]).alias("extraction_confidence"),
-        "fields", "_file", "_pos",
-    )
-    rec = identity_gate(rec)
+    rec = kept(_csv_read(spark, path, multiline))
     if first_per_file:
-        first = rec.groupBy("_file").agg(F.min("_pos").alias("_pos"))
-        rec = rec.join(first, ["_file", "_pos"], "left_semi")
-    return rec.drop("_file", "_pos")
+        first = rec.groupBy("file").agg(F.min_by(F.struct(*SOURCE_COLUMNS), "place").alias("r"))
+        return first.select("r.*")
+    return rec.select(*SOURCE_COLUMNS)
+
+
+def _csv_read(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    rows = csv_rows(spark, path, multiline)
+    record_id = F.concat_ws("#", "_file", F.col("_pos").cast("string"))
+    return _read(rows, "csv", record_id, F.col("_file"), F.col("_pos"), F.when(~_identified(), NO_IDENTITY), F.col("raw"))
 
 
 # --- ATS JSON (A3, A4, B3-B7) ----------------------------------------------------
@@ -284,36 +296,55 @@ def map_ats_fields() -> Column:
     return fields_struct(**fields)
 
 
-def ats_records_from_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A3 core: JSON text column -> source_records (bad JSON and non-objects dropped; arrays exploded).
+def ats_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """A3 core: JSON text column -> (record_id, fields, _id, _i, _reason, _raw), a row a document or an array's element.
 
     Staged projections (entries -> picks -> fields) keep each step's expression small.
     """
-    v = F.try_parse_json(F.col(text_col))
-    parsed = docs.select(F.col(id_col).cast("string").alias("_id"), v.alias("_v")).where(F.col("_v").isNotNull())
-    elems = parsed.select(
-        "_id",
-        F.posexplode(F.coalesce(_vget(F.col("_v"), "$", "array<variant>"), F.array(F.col("_v")))).alias("_i", "_e"),
-    )
-    objs = elems.select("_id", "_i", unwrap(F.col("_e")).alias("_o")).where(
-        _vget(F.col("_o"), "$", "map<string,variant>").isNotNull()
-    )
-    ent = objs.select("_id", "_i", ats_entries(F.col("_o")).alias("_entries"))
-    picks = ent.select("_id", "_i", *pick_columns(F.col("_entries")))
-    rec = picks.select(
-        F.concat(F.col("_id"), F.lit("#"), F.col("_i").cast("string")).alias("record_id"),
-        F.lit("ats").alias("source"),
-        F.lit(CERTAINTY["ats"]).alias("extraction_confidence"),
-        map_ats_fields().alias("fields"),
-    )
+    parsed = docs.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("_t"), F.try_parse_json(F.col(text_col)).alias("_v"))
+    items = F.coalesce(_vget(F.col("_v"), "$", "array<variant>"), F.array(F.col("_v")))
+    elems = parsed.select("_id", F.when(F.col("_v").isNull(), F.col("_t")).alias("_t"), F.posexplode(items).alias("_i", "_e"))
+    objs = elems.select("_id", "_i", "_t", "_e", unwrap(F.col("_e")).alias("_o"))
+    whole = _vget(F.col("_o"), "$", "map<string,variant>").isNotNull()
+    ent = objs.select("_id", "_i", "_t", "_e", F.when(F.col("_t").isNotNull(), NO_JSON).when(~whole, NO_OBJECT).alias("_reason"), ats_entries(F.col("_o")).alias("_entries"))
+    picks = ent.select("_id", "_i", "_t", "_e", "_reason", *pick_columns(F.col("_entries")))
+    return picks.select(
+        F.concat(F.col("_id"), F.lit("#"), F.col("_i").cast("string")).alias("record_id"), map_ats_fields().alias("fields"),
+        "_id", "_i", "_reason", F.coalesce("_t", F.to_json("_e")).alias("_raw"),
+    )
+
+
+def ats_records_from_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """JSON text column -> source_records (bad JSON and non-objects dropped; arrays exploded)."""
+    rec = ats_rows(docs, id_col, text_col).where("_reason is null")
+    rec = rec.select("record_id", F.lit("ats").alias("source"), F.lit(CERTAINTY["ats"]).alias("extraction_confidence"), "fields")
     return identity_gate(rec)
 
 
-def read_ats_source(spark: SparkSession, path: str) -> DataFrame:
-    """A3: one JSON document per file."""
+JSON_LINES = "*.{jsonl,ndjson,jsonl.gz,ndjson.gz}"
+JSON_LINES_RX = r"(?i)\.(?:jsonl|ndjson)(?:\.gz)?$"
+
+
+def _ats_read(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
     if not _exists(spark, path):
-        return _empty(spark)
-    return ats_records_from_text(_read_text(spark, path), "file", "value")
+        return _empty_read(spark)
+    whole = _read_text(spark, path, F.lit(False) if lines else F.lit(True) if lines is False else ~F.col("_metadata.file_name").rlike(JSON_LINES_RX))
+    docs = whole.select("file", F.lit(None).cast("long").alias("line"), "value")
+    if lines is not False:
+        docs = docs.unionByName(numbered_lines(spark, path, "*" if lines else JSON_LINES).where(F.col("value").rlike(r"\S")))
+    docs = docs.withColumn("id", F.concat_ws("#", "file", F.col("line").cast("string")))
+    rows = ats_rows(docs, "id", "value")
+    where = F.regexp_extract("_id", r"^(.*?)(?:#([0-9]+))?$", 1), F.regexp_extract("_id", r"#([0-9]+)$", 1).try_cast("long")
+    reason = F.coalesce("_reason", F.when(~_identified(), NO_IDENTITY))
+    return _read(rows, "ats", F.col("record_id"), where[0], F.coalesce(where[1], F.col("_i")), reason, F.col("_raw"))
+
+
+def read_ats_source(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
+    """A3: one JSON document per file, or one a line, which Spark splits.
+
+    ``lines`` says which; None: by name, lines in files named .jsonl or .ndjson.
+    """
+    return kept(_ats_read(spark, path, lines)).select(*SOURCE_COLUMNS)
 
 
 # --- resume / notes text (A5, A6, F3, C-operators) --------------------------------
@@ -325,31 +356,34 @@ def normalise_newlines(c: Column) -> Column:
 
 def drop_empty_text(df: DataFrame, text_col: str = "text") -> DataFrame:
     """F3."""
-    return df.where(py_strip(F.col(text_col)) != "")
+    return df.where(_has_text(F.col(text_col)))
+
+
+def _has_text(c: Column) -> Column:
+    return c.rlike(f"[^{WS_CLASS[1:-1]}]")
 
 
 def extract_resume(df: DataFrame, id_col: str, text_col: str, as_of_year: int) -> DataFrame:
     """A5: resume text -> source_records (all C-operators in one projection)."""
     t = normalise_newlines(F.col(text_col))
     base = drop_empty_text(df.select(F.col(id_col).cast("string").alias("record_id"), t.alias("text")))
-    t = F.col("text")
-    name = X.name_from_lines(t)
-    emails = X.emails(t)
-    phones = X.phone_spans(t)
-    fields = fields_struct(
-        full_name=name,
-        emails=F.when(F.size(emails) > 0, emails),
-        phones=F.when(F.size(phones) > 0, phones),
-        linkedin=X.linkedin(t),
-        github=X.github(t),
-        skills_raw=X.skills_section(t),
-        experience_raw=X.experience_blocks(t),
-        education_raw=X.education_blocks(t),
-        years_experience=X.sum_year_ranges(t, as_of_year),
-        headline=X.headline(t, name),
+    # columns by steps, each of which names costly columns of the step before, so that Spark keeps them apart
+    marks = base.select("record_id", "text", *[c.alias(f"m_{n}") for n, c in X.resume_marks(F.col("text")).items()])
+    found = marks.select(
+        "record_id",
+        X.name_in(F.col("m_head")).alias("full_name"),
+        F.col("m_head"),
+        _nonempty("m_emails").alias("emails"),
+        _nonempty("m_phones").alias("phones"),
+        F.col("m_linkedin").alias("linkedin"),
+        F.col("m_github").alias("github"),
+        X.skills_in(F.col("m_skills")).alias("skills_raw"),
+        X.experience_in(F.col("m_experience")).alias("experience_raw"),
+        X.education_in(F.col("m_education")).alias("education_raw"),
+        X.sum_year_ranges(F.col("text"), as_of_year).alias("years_experience"),
     )
-    return base.select("record_id", F.lit("resume").alias("source"), F.lit(CERTAINTY["resume"]).alias("extraction_confidence"),
-                       fields.alias("fields"))
+    found = found.withColumn("headline", X.headline_in(F.col("m_head"), F.col("full_name")))
+    return _records(found.drop("m_head"), "resume")
 
 
 def extract_notes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -357,21 +391,30 @@ def extract_notes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     t = normalise_newlines(F.col(text_col))
     base = drop_empty_text(df.select(F.col(id_col).cast("string").alias("record_id"), t.alias("text")))
     t = F.col("text")
-    emails = X.emails(t)
-    phones = X.phone_spans(t)
-    fields = fields_struct(
-        full_name=X.name_from_label(t),
-        emails=F.when(F.size(emails) > 0, emails),
-        phones=F.when(F.size(phones) > 0, phones),
-        linkedin=X.linkedin(t),
-        github=X.github(t),
-        years_experience=X.stated_years(t),
-        skills_raw=X.skills_labels(t),
-        current_company=X.company_mention(t),
-        notes_raw=X.snippet(t, 500),
+    marks = base.select("record_id", "text", *[c.alias(f"m_{n}") for n, c in X.notes_marks(t).items()])
+    found = marks.select(
+        "record_id",
+        X.name_from_label(t).alias("full_name"),
+        _nonempty("m_emails").alias("emails"),
+        _nonempty("m_phones").alias("phones"),
+        X.linkedin(t).alias("linkedin"),
+        X.github(t).alias("github"),
+        X.stated_years(t).alias("years_experience"),
+        F.col("m_skills").alias("skills_raw"),
+        X.company_mention(t).alias("current_company"),
+        X.snippet(t, 500).alias("notes_raw"),
     )
-    return base.select("record_id", F.lit("notes").alias("source"), F.lit(CERTAINTY["notes"]).alias("extraction_confidence"),
-                       fields.alias("fields"))
+    return _records(found, "notes")
+
+
+def _nonempty(column: str) -> Column:
+    return F.when(F.size(column) > 0, F.col(column))
+
+
+def _records(found: DataFrame, source: str) -> DataFrame:
+    """source_records of rows with a record_id and a column a field."""
+    fields = fields_struct(**{c: F.col(c) for c in found.columns if c != "record_id"})
+    return found.select("record_id", F.lit(source).alias("source"), F.lit(CERTAINTY[source]).alias("extraction_confidence"), fields.alias("fields"))
 
 
 def drop_null_records(records: DataFrame) -> DataFrame:
@@ -379,13 +422,33 @@ def drop_null_records(records: DataFrame) -> DataFrame:
     return records.where(F.col("fields").isNotNull())
 
 
-def _read_text(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_text(spark: SparkSession, path: str, files: Column | None = None) -> DataFrame | None:
     if not _exists(spark, path):
         return None
     docs = spark.read.option("ignoreCorruptFiles", "true").text(path, wholetext=True)
+    if files is not None:  # on a file's name: the others are not opened
+        docs = docs.where(files)
     return docs.select(F.col("_metadata.file_path").alias("file"), "value")
 
 
+def _text_read(spark: SparkSession, path: str, source: str, extract) -> DataFrame:
+    docs = _read_text(spark, path)
+    if docs is None:
+        return _empty_read(spark)
+    found = extract(docs).select("record_id", "fields")
+    rows = _read(found, source, F.col("record_id"), F.col("record_id"), F.lit(0), F.lit(None).cast("string"), F.lit(None).cast("string"))
+    blank = docs.where(~_has_text(F.col("value"))).withColumn("fields", F.lit(None).cast(SOURCE_RECORDS["fields"].dataType))
+    return rows.unionByName(_read(blank, source, F.col("file"), F.col("file"), F.lit(0), F.lit(NO_TEXT), F.col("value")))
+
+
+def _resume_read(spark: SparkSession, path: str, as_of_year: int) -> DataFrame:
+    return _text_read(spark, path, "resume", lambda docs: extract_resume(docs, "file", "value", as_of_year))
+
+
+def _notes_read(spark: SparkSession, path: str) -> DataFrame:
+    return _text_read(spark, path, "notes", lambda docs: extract_notes(docs, "file", "value"))
+
+
 def read_resume_source(spark: SparkSession, path: str, as_of_year: int) -> DataFrame:
     docs = _read_text(spark, path)
     return _empty(spark) if docs is None else extract_resume(docs, "file", "value", as_of_year)
@@ -419,7 +482,7 @@ def _status(spark: SparkSession, name: str, path: str, kept: DataFrame) -> DataF
     )
 
 
-def load_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026):
+def load_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026, ats_lines: bool | None = None):
     """A7 + U1: all given sources as one ``source_records`` DataFrame, plus ``source_status``.
 
     A missing path or an unreadable file is skipped and the rest goes on;
@@ -428,7 +491,7 @@ def load_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=Non
     """
     readers = [
         ("csv", csv, lambda p: read_csv_source(spark, p)),
-        ("ats", ats, lambda p: read_ats_source(spark, p)),
+        ("ats", ats, lambda p: read_ats_source(spark, p, ats_lines)),
         ("resume", resume, lambda p: read_resume_source(spark, p, as_of_year)),
         ("notes", notes, lambda p: read_notes_source(spark, p)),
     ]
@@ -437,3 +500,41 @@ def load_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=Non
     kind = "source string, path string, found boolean, files bigint, files_bad bigint, rows_in bigint, rows_kept bigint, rows_bad bigint"
     status = functools.reduce(DataFrame.unionByName, [_status(spark, n, p, df) for n, p, df in read], spark.createDataFrame([], kind))
     return records, status
+
+
+# --- one pass over the sources, with what is left out (A7) --------------------------
+
+
+def read_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026, ats_lines: bool | None = None) -> DataFrame:
+    """Every row of the given sources: source_records, its file and place, and why it is left out (null: kept) with its text."""
+    readers = [
+        (csv, lambda: _csv_read(spark, csv)),
+        (ats, lambda: _ats_read(spark, ats, ats_lines)),
+        (resume, lambda: _resume_read(spark, resume, as_of_year)),
+        (notes, lambda: _notes_read(spark, notes)),
+    ]
+    return functools.reduce(DataFrame.unionByName, [read() for path, read in readers if path], _empty_read(spark))
+
+
+def write_sources(spark: SparkSession, out: str, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026, ats_lines: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """Read the sources once and write records and rejects side by side; returns (source_records, rejects).
+
+    ``rejects``: source, file, place (line of a CSV or JSON Lines file, element of an array),
+    reason, raw text.  Files of which nothing could be read have one row without a place.
+    """
+    paths = {"csv": csv, "ats": ats, "resume": resume, "notes": notes}
+    rows = read_sources(spark, **paths, as_of_year=as_of_year, ats_lines=ats_lines)
+    rows.withColumn("kept", F.col("reason").isNull()).write.partitionBy("kept").parquet(out)
+    kind = READ.format(fields=SOURCE_RECORDS["fields"].dataType.simpleString()) + ", kept boolean"
+    read = spark.read.schema(kind).parquet(out)
+    rejects = read.where(~F.col("kept")).select("source", "file", "place", "reason", "raw")
+    listed = [
+        spark.read.format("binaryFile").load(path).select(F.lit(name).alias("source"), F.col("_metadata.file_path").alias("file"))
+        for name, path in paths.items()
+        if path and _exists(spark, path)
+    ]
+    if listed:
+        files = functools.reduce(DataFrame.unionByName, listed)
+        silent = files.join(read.select("source", "file").distinct(), ["source", "file"], "left_anti")
+        rejects = rejects.unionByName(silent.select("source", "file", F.lit(None).cast("long").alias("place"), F.lit(NOTHING_READ).alias("reason"), F.lit(None).cast("string").alias("raw")))
+    return read.where("kept").select(*SOURCE_COLUMNS), rejects
