@@ -47,9 +47,9 @@ def contributed(field: str) -> Column:
     return out
 
 
-def record_stats(keyed: DataFrame) -> DataFrame:
-    """entity_key, n_records, best_<field>, n_<field>, raw-list flags and the
-    best location source (G5) - all in one partial aggregation per entity."""
+def stats_state(keyed: DataFrame) -> DataFrame:
+    """entity_key, n_records, best_<field>, n_<field>, raw-list flags and the first record with a raw
+    location - all in one partial aggregation per entity, and mergeable (``merged_stats``)."""
     scored = with_score(keyed)
     aggs = [F.count(F.lit(1)).alias("n_records")]
     for field, _ in FIELD_IMPORTANCE:
@@ -60,14 +60,29 @@ def record_stats(keyed: DataFrame) -> DataFrame:
         has = F.exists(F.coalesce(F.col(f"fields.{lst}"), F.array()), lambda x: x.isNotNull() & (x != ""))
         aggs.append(F.max(has).alias(f"has_raw_{lst}"))
     loc = F.col("fields.location_raw")
-    aggs.append(
-        F.min(F.when(loc.isNotNull() & (loc != ""), F.struct("source_rank", "record_id", "source")))["source"].alias(
-            "location_raw_best_source"
-        )
-    )
+    aggs.append(F.min(F.when(loc.isNotNull() & (loc != ""), F.struct("source_rank", "record_id", "source"))).alias("located"))
     return scored.groupBy("entity_key").agg(*aggs)
 
 
+def merged_stats(states: DataFrame) -> DataFrame:
+    """``stats_state`` of all records from those of parts of them."""
+    aggs = [F.sum("n_records").alias("n_records")]
+    for field, _ in FIELD_IMPORTANCE:
+        aggs += [F.max(f"best_{field}").alias(f"best_{field}"), F.sum(f"n_{field}").alias(f"n_{field}")]
+    aggs += [F.max(c).alias(c) for c in ("has_raw_emails", "has_raw_phones")]
+    return states.groupBy("entity_key").agg(*aggs, F.min("located").alias("located"))
+
+
+def stats_of(state: DataFrame) -> DataFrame:
+    """The state with the best location source."""
+    return state.withColumn("location_raw_best_source", F.col("located.source")).drop("located")
+
+
+def record_stats(keyed: DataFrame) -> DataFrame:
+    """What the golden row takes from its records as a whole, one row an entity."""
+    return stats_of(stats_state(keyed))
+
+
 def populated(field: str) -> Column:
     """F6 on a golden row."""
     c = F.col(field)

@@ -37,8 +37,11 @@ def _row(part: str, k1: Column, pos: Column | None = None, k2: Column | None = N
     )
 
 
-def record_values(keyed: DataFrame, region: str) -> DataFrame:
-    """entity_key, record columns, part, k1, k2, pos, raw, name, confidence, exp, edu: every value of every record (narrow)."""
+def record_values(keyed: DataFrame, region: str, dictionary: DataFrame | None = None) -> DataFrame:
+    """entity_key, record columns, part, k1, k2, pos, raw, name, confidence, exp, edu: every value of every record.
+
+    Narrow, unless skills are looked up in a ``dictionary`` (pos, name).
+    """
 
     def field(name: str) -> Column:
         return F.col(f"fields.{name}")
@@ -61,7 +64,12 @@ def record_values(keyed: DataFrame, region: str) -> DataFrame:
     )
     listed_parts = F.col("part").isin("emails", "phones", "skills")
     rows = rows.where(F.col("k1").isNotNull() & (~listed_parts | (F.col("k1") != "")))
-    rows = canonical_skills(rows).drop("method")
+    if dictionary is None:
+        rows = canonical_skills(rows).drop("method")
+    else:
+        skills = canonical_skills(rows.where("part = 'skills'"), dictionary=dictionary).drop("method")
+        others = rows.where("part <> 'skills'").withColumns({"name": F.lit(None).cast("string"), "confidence": F.lit(None).cast("double")})
+        rows = skills.unionByName(others)
     return rows.withColumn("k1", F.when(F.col("part") == "skills", F.lower("name")).otherwise(F.col("k1")))
 
 
@@ -124,13 +132,25 @@ def _skill(srcs: Column):
     return item
 
 
-def merge_records(spark: SparkSession, keyed: DataFrame, region: str = "US") -> DataFrame:
-    """G1: entity_key + the golden columns (``schemas.GOLDEN``) + ``conf_<field>`` scores."""
-    rows = record_values(keyed, region)
-    parts = distinct_values(rows).groupBy("entity_key").agg(F.collect_list(F.struct("part", "k1", "agree", "top", "first", "claims")).alias("parts"))
-    srcs = skill_sources(rows.where("part = 'skills'").select("entity_key", "raw", F.col("k1").alias("key"), "source"))
+def merge_records(spark: SparkSession, keyed: DataFrame, region: str = "US", dictionary: DataFrame | None = None) -> DataFrame:
+    """G1: entity_key + the golden columns (``schemas.GOLDEN``) + ``conf_<field>`` scores.
+
+    ``dictionary`` (pos, name): the skills dictionary to use in place of the built-in one.
+    """
+    rows = record_values(keyed, region, dictionary)
+    return assemble_golden(record_stats(keyed), distinct_values(rows), skill_rows(rows))
+
+
+def skill_rows(rows: DataFrame) -> DataFrame:
+    """entity_key, raw, key (the canonical skill, lower-case), source of the skills among ``record_values``."""
+    return rows.where("part = 'skills'").select("entity_key", "raw", F.col("k1").alias("key"), "source")
+
+
+def assemble_golden(stats: DataFrame, values: DataFrame, skills: DataFrame) -> DataFrame:
+    """Golden rows from ``record_stats``, ``distinct_values`` and ``skill_rows``."""
+    parts = values.groupBy("entity_key").agg(F.collect_list(F.struct("part", "k1", "agree", "top", "first", "claims")).alias("parts"))
+    srcs = skill_sources(skills)
     srcs = srcs.groupBy("entity_key").agg(F.map_from_entries(F.collect_list(F.struct("key", "srcs"))).alias("srcs"))
-    stats = record_stats(keyed)
     g = stats.join(parts, "entity_key", "left").join(srcs, "entity_key", "left")
     g = g.withColumn("parts", F.coalesce("parts", F.array()))
     g = g.select("*", *[_winner(f).alias(f"w_{f}") for f in C.CLAIM_FIELDS])

@@ -46,7 +46,7 @@ def _ip(arr: str, i: Column, sub: str | None = None) -> Column:
     return F.concat(*parts)
 
 
-def canonical_rules(df: DataFrame) -> list[Column]:
+def canonical_rules(df: DataFrame, confidence: bool = True) -> list[Column]:
     """V1: the canonical golden schema's constraints as Columns; those of absent columns are left to the shape check."""
     rules = {
         "candidate_id": lambda: [_v(F.col("candidate_id").isNull(), "candidate_id", _NONE_T.format(t="string"))],
@@ -82,7 +82,7 @@ def canonical_rules(df: DataFrame) -> list[Column]:
             )),
         ],
     }
-    shape = [_v(F.lit(True), path, message) for path, message in schema_violations(df)]
+    shape = [_v(F.lit(True), path, message) for path, message in schema_violations(df, confidence=confidence)]
     return shape + [rule for column, make in rules.items() if column in df.columns for rule in make()]
 
 
@@ -93,11 +93,15 @@ def _list_of(column: str, kind: str) -> list[Column]:
     ]
 
 
-def schema_violations(df: DataFrame, schema: T.StructType = GOLDEN) -> list[tuple[str, str]]:
-    """Closed-shape check on the DataFrame's schema (driver-side, no data touched)."""
+def schema_violations(df: DataFrame, schema: T.StructType = GOLDEN, confidence: bool = True) -> list[tuple[str, str]]:
+    """Closed-shape check on the DataFrame's schema (driver-side, no data touched).
+
+    Without ``confidence`` the two confidence columns need not be there (Q30).
+    """
     out = []
+    spared = () if confidence else ("provenance", "overall_confidence")
     for f in schema.fields:
-        if f.name not in df.columns and f.name in ("candidate_id", "full_name", "emails", "phones", "provenance", "overall_confidence"):
+        if f.name not in df.columns and f.name not in spared and f.name in ("candidate_id", "full_name", "emails", "phones", "provenance", "overall_confidence"):
             out.append(("root", f"'{f.name}' is a required property"))
     extra = [c for c in df.columns if c not in schema.fieldNames() and c != "entity_key" and not c.startswith("conf_")]
     if extra:
@@ -140,7 +144,13 @@ def validate(df: DataFrame, config: dict | None = None, key: str = "entity_key")
         if not rules:
             return df.select(F.col(key), F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("message")).where(F.lit(False))
         return violations(df, rules, key)
-    return violations(df, canonical_rules(df), key)
+    return violations(df, canonical_rules(df, (config or {}).get("include_confidence", True)), key)
+
+
+def violation_counts(v: DataFrame) -> DataFrame:
+    """V3: (path, message, n, n_entities), items of a list under one path (``emails.0`` as ``emails.*``)."""
+    path = F.regexp_replace("path", r"\.[0-9]+", ".*")
+    return v.groupBy(path.alias("path"), "message").agg(F.count("*").alias("n"), F.count_distinct("entity_key").alias("n_entities"))
 
 
 def sort_violations(v: DataFrame) -> DataFrame:

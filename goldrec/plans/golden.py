@@ -18,6 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from goldrec.operators import claims as C
+from goldrec.operators.dictionary import read_dictionary
 from goldrec.operators.merge import merge_records
 from goldrec.operators.project import project
 from goldrec.operators.quality import validate
@@ -48,7 +49,7 @@ def _without_constraints(spark: SparkSession):
 
 
 def build_golden_from_records(spark: SparkSession, records: DataFrame, config: dict | None = None,
-                              region: str = "US", checkpoint: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+                              region: str = "US", checkpoint: bool = True, dictionary: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     with _without_constraints(spark):
         keyed = resolve(records, materialize=checkpoint)
         if checkpoint:
@@ -57,14 +58,20 @@ def build_golden_from_records(spark: SparkSession, records: DataFrame, config: d
         else:
             keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
             keyed.count()
-    golden = merge_records(spark, keyed, region)
+    golden = merge_records(spark, keyed, region, dictionary)
     projected = project(spark, golden, config)
     return projected, C.field_claims(keyed), validate(projected, config)
 
 
 def build_golden(spark: SparkSession, csv: str | None = None, ats: str | None = None, resume: str | None = None,
                  notes: str | None = None, config: dict | None = None, as_of_year: int = 2026,
-                 region: str = "US", checkpoint: bool = True) -> GoldenResult:
-    records, status = load_sources(spark, csv=csv, ats=ats, resume=resume, notes=notes, as_of_year=as_of_year)
-    golden, claims, viol = build_golden_from_records(spark, records, config, region, checkpoint)
+                 region: str = "US", checkpoint: bool = True, skills: str | None = None,
+                 ats_lines: bool | None = None) -> GoldenResult:
+    """``skills``: a text file with the skills dictionary, one name a line; else the built-in one.
+
+    ``ats_lines``: whether the JSON files hold a document a line (None: by their names).
+    """
+    dictionary = read_dictionary(spark, skills) if skills else None
+    records, status = load_sources(spark, csv=csv, ats=ats, resume=resume, notes=notes, as_of_year=as_of_year, ats_lines=ats_lines)
+    golden, claims, viol = build_golden_from_records(spark, records, config, region, checkpoint, dictionary)
     return GoldenResult(golden, claims, viol, status)

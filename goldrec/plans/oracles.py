@@ -298,31 +298,43 @@ SELECT entity_key, {', '.join(f'conf_{f}' for f, _ in FIELD_IMPORTANCE)},
 FROM sc"""
 
 
-def oracle_match_fallback() -> str:
-    recs = customer_records_sql(orphans=True)
+def fallback_sql(recs: str, cutoff: int = 80) -> str:
+    """E5/E6 of ``recs`` (record_id, full_name, emails, phones): record_id, entity_key."""
     ts = token_sort_sql
-    return f"""WITH recs AS ({recs}),
-base AS (SELECT record_id, lower({strip('emails[1]')}) AS ekey, nullif(lower({strip('full_name')}), '') AS nm,
+
+    def close(a: str, b: str) -> str:
+        return f"least(length({ts(a)}), length({ts(b)})) * 200 >= (length({ts(a)}) + length({ts(b)})) * {cutoff}"
+
+    return f"""WITH RECURSIVE recs AS ({recs}),
+base AS MATERIALIZED (SELECT record_id, lower({strip('emails[1]')}) AS ekey, nullif(lower({strip('full_name')}), '') AS nm,
          {distinct_ordered(f"list_filter(list_transform(phones, lambda p: {phone_sql('p')}), lambda x: x IS NOT NULL)")} AS ph FROM recs),
 known AS (SELECT DISTINCT entity_key, nm, phone FROM (SELECT ekey AS entity_key, nm, unnest(ph) AS phone FROM base
           WHERE ekey IS NOT NULL AND nm IS NOT NULL)),
 unk AS (SELECT * FROM base WHERE ekey IS NULL),
 probes AS (SELECT DISTINCT probe_name, phone FROM (SELECT nm AS probe_name, unnest(ph) AS phone FROM unk WHERE nm IS NOT NULL)),
 pairs AS (SELECT p.probe_name, p.phone, k.entity_key, {token_sort_ratio_sql('p.probe_name', 'k.nm')} AS ratio
-          FROM probes p JOIN known k ON p.phone = k.phone
-          AND least(length({ts('p.probe_name')}), length({ts('k.nm')})) * 200 >= (length({ts('p.probe_name')}) + length({ts('k.nm')})) * 80),
+          FROM probes p JOIN known k ON p.phone = k.phone AND {close('p.probe_name', 'k.nm')}),
 best AS (SELECT probe_name, phone, entity_key AS match_key, ratio FROM (
-          SELECT *, row_number() OVER (PARTITION BY probe_name, phone ORDER BY ratio DESC, entity_key) AS rn FROM pairs WHERE ratio >= 80)
+          SELECT *, row_number() OVER (PARTITION BY probe_name, phone ORDER BY ratio DESC, entity_key) AS rn FROM pairs WHERE ratio >= {cutoff})
          WHERE rn = 1),
-rp AS (SELECT record_id, nm, unnest(CASE WHEN len(ph) = 0 THEN [NULL] ELSE ph END) AS phone,
-              unnest(CASE WHEN len(ph) = 0 THEN [0] ELSE generate_series(0, len(ph) - 1) END) AS pos FROM unk),
-m AS (SELECT rp.record_id, arg_min(b.match_key, (-b.ratio, b.match_key)) AS match_key,
+rp AS (SELECT record_id, nm, unnest(CASE WHEN len(ph) = 0 OR ph IS NULL THEN [NULL] ELSE ph END) AS phone,
+              unnest(CASE WHEN len(ph) = 0 OR ph IS NULL THEN [0] ELSE generate_series(0, len(ph) - 1) END) AS pos FROM unk),
+m AS MATERIALIZED (SELECT rp.record_id, arg_min(b.match_key, (-b.ratio, b.match_key)) AS match_key,
              arg_min(rp.phone, rp.pos) AS first_phone, first(rp.nm) AS nm
-      FROM rp LEFT JOIN best b ON rp.nm = b.probe_name AND rp.phone = b.phone GROUP BY rp.record_id)
+      FROM rp LEFT JOIN best b ON rp.nm = b.probe_name AND rp.phone = b.phone GROUP BY rp.record_id),
+own AS MATERIALIZED (SELECT record_id, match_key, CASE WHEN first_phone IS NOT NULL AND nm IS NOT NULL THEN 'phone:' || first_phone || '|' || nm END AS own_key FROM m),
+spot AS MATERIALIZED (SELECT DISTINCT own_key, rp.phone, rp.nm FROM own JOIN rp USING (record_id) WHERE match_key IS NULL AND own_key IS NOT NULL AND phone IS NOT NULL),
+link AS MATERIALIZED (SELECT DISTINCT a.own_key AS a, b.own_key AS b FROM spot a JOIN spot b ON a.phone = b.phone AND a.own_key <> b.own_key AND {close('a.nm', 'b.nm')}
+         WHERE {token_sort_ratio_sql('a.nm', 'b.nm')} >= {cutoff}),
+reach AS (SELECT DISTINCT a AS k, a AS r FROM link UNION SELECT reach.k, link.b FROM reach JOIN link ON reach.r = link.a),
+joint AS (SELECT k, min(r) AS joint_key FROM reach GROUP BY k)
 SELECT record_id, ekey AS entity_key FROM base WHERE ekey IS NOT NULL
 UNION ALL
-SELECT record_id, COALESCE(match_key, CASE WHEN first_phone IS NOT NULL AND nm IS NOT NULL THEN 'phone:' || first_phone || '|' || nm END,
-                           'record:' || record_id) AS entity_key FROM m"""
+SELECT record_id, COALESCE(match_key, joint_key, own_key, 'record:' || record_id) AS entity_key FROM own LEFT JOIN joint ON own_key = k"""
+
+
+def oracle_match_fallback() -> str:
+    return fallback_sql(customer_records_sql(orphans=True))
 
 
 def oracle_dates_normalized() -> str:
@@ -785,6 +797,8 @@ LEFT JOIN ({prov}) gp ON e.entity_key = gp.entity_key"""
 ORACLES["golden_records"] = oracle_golden_records
 
 from goldrec.plans.exports import ORACLES as _EXPORTS  # noqa: E402
+from goldrec.plans.jobs import ORACLES as _JOBS  # noqa: E402
+from goldrec.plans.people import ORACLES as _PEOPLE  # noqa: E402
 from goldrec.plans.texts import oracle_notes_fields, oracle_resume_fields  # noqa: E402
 
-ORACLES.update({"resume_fields": oracle_resume_fields, "notes_fields": oracle_notes_fields, **_EXPORTS})
+ORACLES.update({"resume_fields": oracle_resume_fields, "notes_fields": oracle_notes_fields, **_EXPORTS, **_PEOPLE, **_JOBS})

@@ -25,6 +25,8 @@ from goldrec.operators.resolve import resolve
 from goldrec.operators.skills import canonical_skills
 from goldrec.plans.derive import customer_records, customer_records_with_orphans
 from goldrec.plans.exports import QUERIES as _EXPORTS
+from goldrec.plans.jobs import QUERIES as _JOBS
+from goldrec.plans.people import QUERIES as _PEOPLE
 from goldrec.plans.texts import notes_fields, resume_fields
 from goldrec.sources.dims import SKILLS, literal_array
 
@@ -509,4 +511,4 @@ def golden_provenance(spark, sf_dir):
 QUERIES["golden_provenance"] = golden_provenance
 
 
-QUERIES.update({"resume_fields": resume_fields, "notes_fields": notes_fields, **_EXPORTS})
+QUERIES.update({"resume_fields": resume_fields, "notes_fields": notes_fields, **_EXPORTS, **_PEOPLE, **_JOBS})

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from goldrec.operators.incremental import add_records, golden_of
 from goldrec.sources.files import ats_records_from_text, extract_notes, extract_resume
 
 
@@ -53,3 +54,22 @@ def start_ingest(spark: SparkSession, landing: str, kind: str, table_path: str,
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def start_golden(spark: SparkSession, landing: str, kind: str, store: str, golden: str, checkpoint: str | None = None,
+                 available_now: bool = False, as_of_year: int = 2026) -> StreamingQuery:
+    """Keep golden rows up to date: every trigger adds the new files' records to the store (``operators/incremental.py``)
+    and writes the golden rows of the entities they touch to ``golden``/batch=<id>.
+
+    A trigger that is repeated after a failure replaces its own batch.  An entity's
+    current row is the one of its largest batch.  One store takes one stream.
+    """
+
+    def add(records: DataFrame, batch: int) -> None:
+        add_records(spark, store, records, batch)
+        golden_of(spark, store, batch).write.mode("overwrite").parquet(f"{golden}/batch={batch}")
+
+    checkpoint = checkpoint or f"{store.rstrip('/')}-checkpoint-{kind}"
+    w = source_record_stream(spark, landing, kind, as_of_year).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
