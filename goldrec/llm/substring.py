@@ -12,9 +12,10 @@ task that all text which can match it is sent to.
    equal windows have equal anchors.  Anchors of one document only match
    nothing, which leaves the passages worth sending.
 2. *Pieces.*  Neighbouring windows of one anchor travel as one piece of text to
-   the anchor's shard; the windows of a frequent anchor travel singly, by their
+   the anchor's shard, ``MAX_RUN`` at most; the windows of a frequent anchor travel singly, by their
    own hash, so no anchor makes a large shard.  Equal pieces are one row with
-   their smallest doc_id, combined by batches before the shuffle.
+   their smallest doc_id, combined by batches before the shuffle and by Spark
+   after it; their places are written in the same pass.
 3. *Automata.*  Shards build the suffix automaton of their pieces; a state keeps
    the smallest doc_id of its occurrences.  Streaming the pieces gives the
    matching statistics: at every word, the state of the last ``window`` words
@@ -47,6 +48,7 @@ from goldrec.llm.common import Scratch, lean, release, ship
 WINDOW = 13
 PHRASE = 6  # words of an anchor phrase
 FREQUENT = 512  # occurrences from which an anchor's windows travel singly
+MAX_RUN = 256  # windows of a piece, also where a text repeats itself
 SHARD_WORDS = 40_000  # words of one automaton, from whole anchors
 SLICE_BYTES = 1 << 20  # text hashed at a time
 
@@ -283,13 +285,15 @@ def _anchors_of(window: int, phrase: int):
     return run
 
 
-def _pieces(window: int, phrase: int, with_text: bool):
-    """(doc_id, tkey, text, shared, frequent) -> the pieces of the shared anchors.
+PIECES = "route long, key long, doc_id long, piece string, tkey long, at int"
 
-    With text: (route, key, doc_id, piece), equal pieces of a batch combined to
-    their smallest doc_id.  Else: (route, key, doc_id, tkey, at), their places.
+
+def _pieces(window: int, phrase: int):
+    """(doc_id, tkey, text, shared, frequent) -> the pieces of the shared anchors (PIECES).
+
+    Every piece gives its place (route, key, doc_id, tkey, at).  The first of equal
+    pieces of a batch also gives the piece, with the batch's smallest doc_id.
     """
-    fields = {"route": "int64", "key": "int64", "doc_id": "int64", **({"piece": "string"} if with_text else {"tkey": "int64", "at": "int32"})}
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -297,10 +301,11 @@ def _pieces(window: int, phrase: int, with_text: bool):
         import xxhash
 
         hasher = WordHasher()
-        kind = pa.schema([(k, pa.type_for_alias(v)) for k, v in fields.items()])
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32()]
+        names = [f.split()[0] for f in PIECES.split(", ")]
 
-        def table(rows: list):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kind.types)], schema=kind)
+        def table(n: int, **columns):
+            return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds)], names=names)
 
         for b in batches:
             ids, tkeys = b.column(0), b.column(1)
@@ -319,6 +324,8 @@ def _pieces(window: int, phrase: int, with_text: bool):
                     wanted, single = np.isin(h, mine), np.isin(h, often)
                     new = np.ones(z - a, bool)
                     new[1:] = (h[1:] != h[:-1]) | single[1:]
+                    n = np.arange(z - a)
+                    new |= (n - np.maximum.accumulate(np.where(new, n, 0))) % MAX_RUN == 0
                     at = np.flatnonzero(new)
                     stop = np.concatenate([at[1:], [z - a]])
                     use = wanted[at]
@@ -327,15 +334,17 @@ def _pieces(window: int, phrase: int, with_text: bool):
                     for p, q, r in zip(at[use].tolist(), stop[use].tolist(), routes[use].tolist()):
                         piece = b" ".join(words[p : q + window - 1])
                         key = xxhash.xxh3_64_intdigest(piece) - (1 << 63)
-                        if not with_text:
-                            rows.append((r, key, doc_id, tkey, p))
-                        elif (known := firsts.get((r, key))) is None or doc_id < known[0]:
+                        rows.append((r, key, doc_id, tkey, p))
+                        if (known := firsts.get((r, key))) is None or doc_id < known[0]:
                             firsts[r, key] = (doc_id, piece)
                 if rows:
-                    yield table(rows)
-            items = [(r, key, doc_id, piece.decode()) for (r, key), (doc_id, piece) in firsts.items()]
+                    yield table(len(rows), **dict(zip(("route", "key", "doc_id", "tkey", "at"), zip(*rows))))
+            items = list(firsts.items())
             for at in range(0, len(items), 10_000):
-                yield table(items[at : at + 10_000])
+                some = items[at : at + 10_000]
+                route, key = zip(*(name for name, _ in some))
+                doc_id, piece = zip(*(v for _, v in some))
+                yield table(len(some), route=route, key=key, doc_id=doc_id, piece=[x.decode() for x in piece])
 
     return run
 
@@ -350,11 +359,6 @@ def _judge(window: int, shard_words: int):
         import pyarrow as pa
 
         def judged(rows: list):
-            lowest: dict = {}
-            for r in rows:  # equal pieces of several batches
-                if (known := lowest.get(r[:2])) is None or r[2] < known[2]:
-                    lowest[r[:2]] = r
-            rows = list(lowest.values())
             auto, numbers = Automaton(), {}
             seqs = [[numbers.setdefault(w, len(numbers)) for w in piece.split(" ")] for _, _, _, piece in rows]
             for (_, _, doc, _), seq in zip(rows, seqs):
@@ -428,13 +432,15 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE
     passages = scratch.save(keyed.join(mine, "doc_id"), "passages")
     release(spark)
 
-    pieces = passages.mapInArrow(lean(_pieces(window, phrase, True)), "route long, key long, doc_id long, piece string")
+    pieces = scratch.save(passages.mapInArrow(lean(_pieces(window, phrase)), PIECES), "pieces")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = pieces.repartition(parts, "route").sortWithinPartitions("route")
+    alike = pieces.where("piece is not null").select("route", "key", "doc_id", "piece").repartition(parts, "route")
+    alike = alike.groupBy("route", "key").agg(F.min("doc_id").alias("doc_id"), F.first("piece").alias("piece"))
+    shards = alike.sortWithinPartitions("route", "key")
     judged = scratch.save(shards.mapInArrow(lean(_judge(window, shard_words)), "route long, key long, firsts array<long>"), "judged")
     release(spark)
 
-    places = passages.mapInArrow(lean(_pieces(window, phrase, False)), "route long, key long, doc_id long, tkey long, at int")
+    places = pieces.where("piece is null").select("route", "key", "doc_id", "tkey", "at")
     places = places.join(judged.where(F.exists("firsts", lambda f: f.isNotNull())), ["route", "key"])
     places = places.where(F.exists("firsts", lambda f: f < F.col("doc_id")))
     marks = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.col("at") + i)), lambda x: x.isNotNull())
@@ -442,6 +448,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE
     cut = passages.select("doc_id", "tkey", "text").join(places, ["doc_id", "tkey"])
     cut = cut.mapInPandas(lean(_cut(window)), f"doc_id long, tkey long, cut long, cut_sha256 string, cut_spans {SPANS}")
     cut = scratch.save(cut.dropDuplicates(["doc_id", "tkey"]), "cut")
+    for done in ("pieces", "judged", "passages", "anchors"):
+        scratch.remove(done)
     release(spark)
 
     whole = docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").mapInArrow(lean(_whole), "doc_id long, tkey long, n_words long, whole_sha256 string")
