@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.functions import PandasUDFType
 
 from goldrec.llm.common import Scratch, lean, ship
 
@@ -189,15 +190,14 @@ def _sigmoid(odds: Column) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def judge(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT, keep: list[str] | None = None) -> tuple:
-    """(rows with ``keep`` as struct ``row``, host, path, odds; weights; sites; strengths of hosts and paths; global share)."""
+def judge(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> tuple:
+    """(rows with doc_id, host, path, odds; weights; sites; strengths of hosts and paths; global share)."""
     scratch = Scratch(docs.sparkSession)
-    kept = F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys([*(keep or []), "doc_id"])])
-    rows = docs.select(kept.alias("row"), F.col("source").cast("string").alias("host"), F.col("lang").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("host"), F.col("lang").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
     kind = T.StructType([*rows.schema.fields[:3], T.StructField("x", T.ArrayType(T.DoubleType()))])
     rows = scratch.save(rows.mapInArrow(lean(_feature_rows), kind), "features")
-    weights = train(rows.select("row.doc_id", "x"), labels, max_fit)
-    scored = rows.select("row", "host", "path", log_odds(F.col("x"), weights).alias("odds"))
+    weights = train(rows.select("doc_id", "x"), labels, max_fit)
+    scored = rows.select("doc_id", "host", "path", log_odds(F.col("x"), weights).alias("odds"))
     sites, k_host, k_path, share = site_posteriors(scored.select("host", "path", _sigmoid(F.col("odds")).alias("p")), scratch)
     return scored, weights, sites, k_host, k_path, share
 
@@ -218,17 +218,34 @@ def classify(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> Data
     p = posterior(F.col("odds"), _sigmoid(F.col("odds")), k_host, k_path, share)
     site_share = _share(k_host, k_path, share, F.lit(None).cast("double"))
     kept = F.lit(True) if weights is None else F.col("posterior") >= 0.5
-    rows = _placed(scored, sites).select("row.doc_id", F.col("odds").alias("evidence"), site_share.alias("site_share"), p.alias("posterior"))
+    rows = _placed(scored, sites).select("doc_id", F.col("odds").alias("evidence"), site_share.alias("site_share"), p.alias("posterior"))
     return rows.withColumn("kept", kept)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, max_fit: int = MAX_FIT) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with their columns; features are computed once."""
-    scored, weights, sites, k_host, k_path, share = judge(docs, labels, max_fit, docs.columns)
+    """The rows of ``docs`` that the classifier keeps, with their columns.
+
+    Features are computed again here: rows kept beside them would lie in the
+    shared folder, a copy of all texts, as long as the result is read.
+    """
+    _, weights, sites, k_host, k_path, share = judge(docs.select("doc_id", "source", "lang", "text"), labels, max_fit)
     if weights is None:
         return docs
+    w = weights
+
+    def scored(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        kinds = _classes()
+        for texts in batches:
+            x = np.array([features(t, kinds) for t in texts]).reshape(-1, FEATURES)
+            yield pd.Series(np.clip(x @ np.array(w[:-1]) + w[-1], -MOST_ODDS, MOST_ODDS))
+
+    odds_of = F.pandas_udf(lean(scored), "double", PandasUDFType.SCALAR_ITER)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").cast("string").alias("host"), F.col("lang").cast("string").alias("path"), odds_of(F.col("text").cast("string")).alias("odds"))
     good = posterior(F.col("odds"), _sigmoid(F.col("odds")), k_host, k_path, share) >= 0.5
-    return _placed(scored, sites).where(good).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return _placed(rows, sites).where(good).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 ship(__name__)
