@@ -14,7 +14,8 @@ score cannot be lower.
 Defined results: vectors that are null or hold null or non-finite components
 take no part, neither do rows with a null id; vectors of unlike length are not
 compared; a query with fewer than k candidates gets all; rows that repeat an id
-are candidates of their own, but never of a query with their id; query rows that
+are candidates of their own, but never of a query with their id; scores beyond
+a long count as the largest or smallest long but one; query rows that
 repeat an id are all searched, and the k best of what they find together are the
 id's; an empty table gives an empty result.
 """
@@ -33,7 +34,7 @@ SCALE = 64
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 8192
 FANOUT = 64
-BOUND = 1 << 62
+BOUND = (1 << 63) - 1  # of a score: a long holds no more
 
 
 def usable(vector: Column) -> Column:
@@ -54,7 +55,7 @@ def _blocks(rows: int, size: int) -> int:
 
 
 def _scores(q, c):
-    """Integer scores, queries by candidates: in doubles where these hold every sum, else in whole numbers, held to +-2^62."""
+    """Integer scores, queries by candidates: in doubles where these hold every sum, else in whole numbers, held to +-BOUND."""
     import numpy as np
 
     if not len(q) or not len(c):
@@ -80,7 +81,7 @@ def _histogram(width: int, k: int):
             if len(mine) > k:  # no lower than the k-th here
                 kth = np.partition(mine, len(mine) - k)[len(mine) - k]
                 mine = mine[mine >= (kth // width) * width]
-            mine = mine[(mine >= lo) & (mine < hi)]
+            mine = mine[(mine >= lo) & (mine <= hi)]
             buckets, counts = np.unique(mine // width, return_counts=True)
             out += [(key, int(b), int(n)) for b, n in zip(buckets, counts)]
         return pd.DataFrame(out, columns=["key", "bucket", "n"])
@@ -129,7 +130,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, query_block: in
         q = with_state.withColumn("qb", F.pmod(F.xxhash64("key"), F.lit(g))).withColumn("cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(h - 1).cast("long"))))
         return q.groupBy("len", "qb", "cb").cogroup(c_blocks).applyInPandas(run, schema)
 
-    state = queries.select("key", "id", "len", "v").withColumns({"lo": F.lit(-BOUND), "hi": F.lit(BOUND + 1), "above": F.lit(0).cast("long"), "kth": F.lit(None).cast("long")})
+    state = queries.select("key", "id", "len", "v").withColumns({"lo": F.lit(-BOUND), "hi": F.lit(BOUND), "above": F.lit(0).cast("long"), "kth": F.lit(None).cast("long")})
     for level in range(levels - 1, -1, -1):
         width = FANOUT**level
         counts = meet(state, _histogram(width, k), "key long, bucket long, n long").groupBy("key", "bucket").agg(F.sum("n").alias("n"))
@@ -146,7 +147,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, query_block: in
         state = state.select(
             "key", "id", "len", "v",
             F.when(F.col("at").isNotNull(), F.col("at") * width).otherwise(F.col("lo")).alias("lo"),
-            F.when(F.col("at").isNotNull(), (F.col("at") + 1) * width).otherwise(F.col("hi")).alias("hi"),
+            F.when(F.col("at").isNotNull(), F.col("at") * width + (width - 1)).otherwise(F.col("hi")).alias("hi"),
             (F.col("above") + F.coalesce("over", F.lit(0))).alias("above"),
             F.when(F.col("at").isNotNull(), F.col("at")).alias("kth"),
         )
