@@ -5,7 +5,9 @@ Not expressible: op4 (a tokeniser), op5 (XXH64), op9 (a fitted classifier).
 
 from __future__ import annotations
 
-from goldrec.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, template_words
+import re
+
+from goldrec.llm.licenses import GAP, NEEDED, PHRASES, TEMPLATES, THRESHOLD, label_of, least_overlap, template_words
 from goldrec.llm.secret_scan import RULES
 from goldrec.llm.urls import BASE, DEPTH, MANY, NEW, PRIOR, REJECT, SIGMAS
 from goldrec.llm.urls import RULES as URL_RULES
@@ -77,17 +79,23 @@ def op6() -> str:
         + " AND ".join(f"w[i + {j}] = '{x}'" if j else f"w[i] = '{x}'" for j, x in enumerate(phrase.split(" ")))
         for phrase, label in PHRASES.items()
     )
-    templates = ", ".join(f"('{k}', {_quoted(w)}, {len(v)})" for k, v in template_words(TEMPLATES).items() for w in v)
+    lengths = {k: len([w for w in re.split(GAP, t.lower()) if w]) for k, t in TEMPLATES.items()}
+    listed = lambda words: "[" + ", ".join(map(_quoted, sorted(words))) + "]::VARCHAR[]"
+    templates = ", ".join(
+        f"('{label_of(k)}', {listed(v)}, {listed(NEEDED.get(k, ()))}, {len(v)}, {least_overlap(len(v), THRESHOLD)}, {lengths[k]})" for k, v in template_words(TEMPLATES).items()
+    )
     return f"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 ws AS (SELECT doc_id, t, regexp_extract_all(t, '{word}') AS w FROM d),
 spot AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM ws),
 hit AS ({phrases}),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS z, list_sort(list(DISTINCT label)) AS labels FROM hit GROUP BY doc_id),
-template(label, word, total) AS (VALUES {templates}),
-lines AS (SELECT doc_id, unnest(range(len(string_split(t, chr(10))))) AS line, unnest(string_split(t, chr(10))) AS x FROM d),
-held AS (SELECT DISTINCT doc_id, line, unnest(regexp_extract_all(x, '{word}')) AS word FROM lines),
-close AS (SELECT doc_id, label, count(*) / max(total) AS c FROM held JOIN template USING (word) GROUP BY doc_id, line, label HAVING count(*) >= {THRESHOLD} * max(total) - 1e-9),
+template(label, tw, must, total, need, length) AS (VALUES {templates}),
+able AS (SELECT doc_id, t, w, template.* FROM ws JOIN template ON len(list_intersect(w, tw)) >= need AND list_has_all(w, must)),
+lines AS (SELECT doc_id, tw, must, label, total, need, regexp_extract_all(unnest(string_split(t, chr(10))), '{word}') AS b FROM able),
+starts AS (SELECT doc_id, tw, must, label, total, need, length, w, unnest(range(1, len(w) + 1)) AS i FROM able),
+blocks AS (SELECT * FROM lines UNION ALL SELECT doc_id, tw, must, label, total, need, w[i:i + length - 1] AS b FROM starts WHERE list_contains(tw, w[i])),
+close AS (SELECT doc_id, label, len(list_intersect(b, tw)) / total AS c FROM blocks WHERE len(list_intersect(b, tw)) >= need AND list_has_all(b, must)),
 more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(c) AS c FROM close GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
   coalesce(array_to_string(base.labels, ','), '') AS base_labels,

@@ -18,7 +18,7 @@ import corpus_pipeline
 from goldrec.llm import vectors as V
 from goldrec.llm.common import Scratch
 from goldrec.llm.components import connected_components
-from goldrec.llm.licenses import GAP, TEMPLATES, THRESHOLD, scan_licenses, template_words
+from goldrec.llm.licenses import GAP, NEEDED, TEMPLATES, THRESHOLD, label_of, scan_licenses, template_words
 from goldrec.llm.mixing import mix_sizes
 from goldrec.llm.quality import FEATURES, classify, features, fit
 from goldrec.llm.secret_scan import BASE_RULES, RULES, Rule, redact_documents, scan_documents
@@ -144,6 +144,17 @@ def test_top_k(spark):
     assert got == want
 
 
+def test_top_k_of_scores_up_to_a_long(spark):
+    """Scores beyond 2^62 keep their order and value."""
+    one, rows = 3 * 10**9, [(20, [3 * 10**9])]
+    rows += [(i, [f]) for i, f in ((1, 2 * 10**9), (2, 19 * 10**8), (3, -3 * 10**9), (4, 2 * 10**9), (5, 3074457345), (6, 0))]
+    df = spark.createDataFrame([(i, 1, v) for i, v in rows], "id long, len int, v array<long>")
+    got = [(r.vec_id, r.score) for r in top_k(df.where("id = 20"), df, k=4).orderBy("rank").collect()]
+    assert got == [(5, one * 3074457345), (1, one * 2 * 10**9), (4, one * 2 * 10**9), (2, one * 19 * 10**8)]
+    every = {r.vec_id: r.score for r in top_k(df.where("id = 20"), df, k=20).collect()}
+    assert every == {i: one * v[0] for i, v in rows if i != 20}
+
+
 def test_top_k_of_repeated_queries(spark):
     """Every row of a query id is searched; the id's best are those of all its rows, as in the SQL."""
     rng = np.random.default_rng(6)
@@ -368,12 +379,24 @@ def matched(text):
         words = [w for w in re.split(GAP, text.lower()) if w]
         n = len([w for w in re.split(GAP, TEMPLATES[k].lower()) if w])
         blocks = [re.split(GAP, line) for line in text.lower().split("\n")] + [words[i : i + n] for i in range(len(words))]
-        c = max(len(set(v) & set(b)) for b in blocks) / len(v)
+        c = max((len(set(v) & set(b)) for b in blocks if NEEDED.get(k, set()) <= set(b)), default=0) / len(v)
         if c >= THRESHOLD - 1e-9:
-            best[k] = c
+            best[label_of(k)] = max(best[label_of(k)], c)
     return dict(best)
 
 
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("Released under the ISC License", ""), ("Released under the Foo License", ""), ("released under the\n * MIT\n * license", "mit"),
+        ("Licensed under CC BY 4.0", ""), ("licensed under CC-BY-NC 4.0", "cc-by-nc"), ("Licensed under the Eclipse License, Version 2.0", ""),
+    ],
+)
+def test_names_tell_short_mentions_apart(spark, text, label):
+    rows = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [m.label for m in rows[0].matches] == ([label] if label else [])
+
+
 def test_wrapped_notices(spark):
     """A notice wrapped over lines is found wherever it starts; words of it that lie apart are not, nor are other names below the threshold."""
     rng = random.Random(5)
@@ -398,7 +421,7 @@ def test_wrapped_notices(spark):
             found[m.label] = max(found[m.label], m.containment)
         assert dict(found) == pytest.approx(want), name
         if " by " in name:
-            assert found[name.split(" ")[0]] == 1, name
+            assert found[label_of(name.split(" ")[0])] == 1, name
         if name == "other" or name.endswith(" apart"):
             assert not found, name
 
