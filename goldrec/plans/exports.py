@@ -6,13 +6,11 @@ the same header twice.  Every ninth customer has neither name nor e-mail.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.operators.project import write_json
-from goldrec.session import ensure_checkpoint_dir
+from goldrec.session import scratch_folder
 from goldrec.sources.files import load_sources, read_csv_source, write_sources
 
 FILES = 7
@@ -28,7 +26,7 @@ LAYOUTS = [
 
 
 def _folder(spark: SparkSession) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/exports-{uuid.uuid4().hex}"
+    return scratch_folder(spark, "exports")
 
 
 def write_exports(spark: SparkSession, sf_dir: str) -> str:

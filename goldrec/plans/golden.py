@@ -66,10 +66,10 @@ def build_golden_from_records(spark: SparkSession, records: DataFrame, config: d
 def build_golden(spark: SparkSession, csv: str | None = None, ats: str | None = None, resume: str | None = None,
                  notes: str | None = None, config: dict | None = None, as_of_year: int = 2026,
                  region: str = "US", checkpoint: bool = True, skills: str | None = None,
-                 ats_lines: bool | None = None) -> GoldenResult:
+                 ats_lines: bool | str | None = None) -> GoldenResult:
     """``skills``: a text file with the skills dictionary, one name a line; else the built-in one.
 
-    ``ats_lines``: whether the JSON files hold a document a line (None: by their names).
+    ``ats_lines``: whether the JSON files hold a document a line (None: by their names), or "arrays" that are split.
     """
     dictionary = read_dictionary(spark, skills) if skills else None
     records, status = load_sources(spark, csv=csv, ats=ats, resume=resume, notes=notes, as_of_year=as_of_year, ats_lines=ats_lines)

@@ -1,21 +1,20 @@
-"""Spellings against a dictionary file, and records without e-mail that share phones, written from the tables by rule.
+"""Spellings against a dictionary file, records without e-mail that share phones, and places, written from the tables by rule.
 
 The rules are SQL that Spark and DuckDB read alike.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.functions.similarity import token_sort_ratio_sql, token_sort_sql
+from goldrec.operators.countries import search_countries
 from goldrec.operators.dictionary import canonical_names, read_dictionary
 from goldrec.operators.resolve import resolve
 from goldrec.plans.texts import FIRST, LAST, _pick
 from goldrec.schemas import fields_struct
-from goldrec.session import ensure_checkpoint_dir
+from goldrec.session import scratch_folder
 
 #: Syllables of a coined name and its fields, by letters each.
 SYLLABLES = [("KaLoMiRuTeVoXeBrSnQu", 2), ("bander" "folgim" "hesjur" "latmon" "pilrok", 3), ("noxelldufagyhistzopi", 2)]
@@ -45,7 +44,7 @@ SPELT = """CASE WHEN p_partkey % 41 = 0 THEN NULL ELSE CASE p_partkey % 11 WHEN
 
 def skills_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spellings by ``part`` against a dictionary file with a name a ``supplier``, comments and blank lines."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dictionary-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "dictionary")
     lines = f"concat({NAME}, CASE WHEN s_suppkey % 5 = 0 THEN concat(chr(10), chr(10), '#', {NAME}) ELSE '' END) AS value"
     names = spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr("s_suppkey", lines)
     names.repartitionByRange(3, "s_suppkey").sortWithinPartitions("s_suppkey").select("value").write.text(path)
@@ -102,5 +101,44 @@ def oracle_match_components() -> str:
     )
 
 
-QUERIES = {f.__name__: f for f in (skills_dictionary, match_components)}
-ORACLES = {"skills_dictionary": oracle_skills_dictionary, "match_components": oracle_match_components}
+# --- countries ------------------------------------------------------------------
+
+#: Texts and the countries that are meant.
+PLACES = [
+    ("Karnataka", "IN"), ("bavaria", "DE"), ("XYZ123", None), ("Emirates", "AE"), (" usa ", "US"), ("Nova Scotia", "CA"), ("Republic", None), ("Herzegovina", "BA"),
+    ("Leichtenstein", "LI"), ("Tobago", "TT"), ("Californa", "US"), ("of the", None), ("Islands Marshall", "MH"), ("", None), ("Queensland", "AU"),
+]
+#: Countries whose names are written with a letter left out.
+NAMES = [
+    ("Argentina", "AR"), ("Bangladesh", "BD"), ("Cambodia", "KH"), ("Denmark", "DK"), ("Ethiopia", "ET"), ("Finland", "FI"), ("Germany", "DE"), ("Honduras", "HN"),
+    ("Indonesia", "ID"), ("Kazakhstan", "KZ"), ("Luxembourg", "LU"), ("Mozambique", "MZ"), ("Nicaragua", "NI"), ("Portugal", "PT"), ("Singapore", "SG"),
+]
+
+
+def _literal(value: str | None) -> str:
+    return "NULL" if value is None else f"'{value}'"
+
+
+def _case(index: str, values: list[str | None]) -> str:
+    return f"CASE ({index}) % {len(values)} " + " ".join(f"WHEN {i} THEN {_literal(v)}" for i, v in enumerate(values)) + " END"
+
+
+WHICH = "cast(floor(c_custkey / 3) AS bigint)"
+WRITTEN = _case(WHICH, [n for n, _ in NAMES])
+LEFT_OUT = f"cast(2 + c_custkey % (length({WRITTEN}) - 1) AS int)"
+PLACE = f"CASE WHEN c_custkey % 3 = 0 THEN {_case(WHICH, [p for p, _ in PLACES])} ELSE concat(substr({WRITTEN}, 1, {LEFT_OUT} - 1), substr({WRITTEN}, {LEFT_OUT} + 1)) END"
+
+
+def country_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in part, misspelt names and subdivisions, by ``customer``."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr("c_custkey", f"{PLACE} AS raw")
+    return search_countries(c).select("c_custkey", "raw", "country")
+
+
+def oracle_country_search() -> str:
+    """What the rule means, not what the search does."""
+    return f"SELECT c_custkey, {PLACE} AS raw, CASE WHEN c_custkey % 3 = 0 THEN {_case(WHICH, [c for _, c in PLACES])} ELSE {_case(WHICH, [c for _, c in NAMES])} END AS country FROM customer"
+
+
+QUERIES = {f.__name__: f for f in (skills_dictionary, match_components, country_search)}
+ORACLES = {"skills_dictionary": oracle_skills_dictionary, "match_components": oracle_match_components, "country_search": oracle_country_search}

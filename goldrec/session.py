@@ -6,10 +6,13 @@ is for tests, benchmarks and the driver contract only.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "goldrec") -> SparkSession:
@@ -49,3 +52,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local one is unsafe on a cluster")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="goldrec-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the shared checkpoint folder; what is written there goes when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def drop() -> None:
+        try:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # the session has ended: the folder's owner cleans it
+            pass
+
+    atexit.register(drop)
+    return path
+
+
+def broadcast_if_few(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df``, which should be cheap to count, marked for broadcast if it has ``most`` rows at most; else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from goldrec.session import ensure_checkpoint_dir
+from goldrec.session import broadcast_if_few, ensure_checkpoint_dir
 
 BOM = "﻿"
 KEEPS, TURNS, CLOSES, OPENS = 0, 1, 2, 3  # what a line does to "inside a quoted cell"
@@ -162,8 +162,9 @@ def numbered_lines(spark: SparkSession, path: str, names: str = "*") -> DataFram
     """(file, line, value) of every line of the files, numbered from 0 in each."""
     lines = read_lines(spark, path, names)
     blocks = lines.groupBy("file", "block").agg(F.min("pos").alias("first"), F.count("*").alias("n"))
-    blocks = blocks.withColumn("line", F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n"))
-    placed = lines.join(blocks, ["file", "block"])
+    ensure_checkpoint_dir(spark)
+    blocks = blocks.withColumn("line", F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")).checkpoint()
+    placed = lines.join(broadcast_if_few(blocks), ["file", "block"])
     return placed.select("file", (F.col("line") + F.col("pos") - F.col("first")).alias("line"), "value")
 
 
@@ -201,7 +202,7 @@ def csv_records(spark: SparkSession, path: str, multiline: bool = True) -> tuple
     blocks = blocks_of(lines)
     head = F.col("head") if multiline else F.split("head", "\n", 2)[0]
     heads = blocks.where("block = 0").select("file", F.ltrim(_clean(head), F.lit(BOM)).alias("header"))
-    placed = lines.join(blocks.drop("head"), ["file", "block"]).withColumn("line", F.col("line") + F.col("pos") - F.col("first"))
+    placed = lines.join(broadcast_if_few(blocks.drop("head")), ["file", "block"]).withColumn("line", F.col("line") + F.col("pos") - F.col("first"))
     records = placed.where("plain") if multiline else placed
     records = records.select("file", "line", "value")
     if multiline and not blocks.where("not plain").isEmpty():

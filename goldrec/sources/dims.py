@@ -214,6 +214,12 @@ def country_rows() -> tuple[tuple[str, str], ...]:
     return tuple((r[0], r[1]) for r in _read_rows("iso3166_countries.psv"))
 
 
+@functools.lru_cache(maxsize=None)
+def subdivision_rows() -> tuple[tuple[str, str], ...]:
+    """ISO alpha-2 code of the country and name of a subdivision (ISO 3166-2, public standard)."""
+    return tuple((r[0], r[1]) for r in _read_rows("iso3166_2_subdivisions.psv"))
+
+
 @functools.lru_cache(maxsize=None)
 def numbering_plan_rows() -> tuple[tuple[str, str, int, int, str], ...]:
     """ITU E.164 country calling code, region, national length range, pattern."""

@@ -21,8 +21,10 @@ from goldrec.functions import text as X
 from goldrec.functions.patterns import WS_CLASS
 from goldrec.functions.strings import blank_to_null, compose_name, py_strip, split_cell, to_double
 from goldrec.schemas import EDUCATION_RAW_ITEM, EXPERIENCE_ITEM, SOURCE_RECORDS, fields_struct
+from goldrec.session import broadcast_if_few
 from goldrec.sources.csv_lines import csv_records, numbered_lines
 from goldrec.sources.dims import SOURCE_CONSTANTS, literal_map
+from goldrec.sources.json_arrays import array_elements
 
 CERTAINTY = {s: c for s, _, c in SOURCE_CONSTANTS}
 
@@ -164,7 +166,7 @@ def csv_rows(spark: SparkSession, path: str, multiline: bool = True) -> DataFram
     headers = {r["header"]: next(csv.reader([r["header"]], strict=False), []) for r in heads.select("header").distinct().collect()}
     width = max([1, *map(len, headers.values())])
     cells = F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(width))), {"escape": '"', "mode": "PERMISSIVE"})
-    rows = records.join(heads, "file").select("file", "line", "header", "value", cells.alias("cells"))
+    rows = records.join(broadcast_if_few(heads), "file").select("file", "line", "header", "value", cells.alias("cells"))
     fields = F.lit(None).cast(kind)
     for header, names in sorted(headers.items()):
         fields = F.when(F.col("header") == header, map_csv_fields([(n, F.col(f"cells.c{i}")) for i, n in enumerate(names)])).otherwise(fields)
@@ -325,13 +327,20 @@ JSON_LINES = "*.{jsonl,ndjson,jsonl.gz,ndjson.gz}"
 JSON_LINES_RX = r"(?i)\.(?:jsonl|ndjson)(?:\.gz)?$"
 
 
-def _ats_read(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
+def _ats_read(spark: SparkSession, path: str, lines: bool | str | None = None) -> DataFrame:
     if not _exists(spark, path):
         return _empty_read(spark)
+    if lines == "arrays":
+        return _ats_documents(array_elements(spark, path))
     whole = _read_text(spark, path, F.lit(False) if lines else F.lit(True) if lines is False else ~F.col("_metadata.file_name").rlike(JSON_LINES_RX))
     docs = whole.select("file", F.lit(None).cast("long").alias("line"), "value")
     if lines is not False:
         docs = docs.unionByName(numbered_lines(spark, path, "*" if lines else JSON_LINES).where(F.col("value").rlike(r"\S")))
+    return _ats_documents(docs)
+
+
+def _ats_documents(docs: DataFrame) -> DataFrame:
+    """READ rows of documents (file, line or null, value)."""
     docs = docs.withColumn("id", F.concat_ws("#", "file", F.col("line").cast("string")))
     rows = ats_rows(docs, "id", "value")
     where = F.regexp_extract("_id", r"^(.*?)(?:#([0-9]+))?$", 1), F.regexp_extract("_id", r"#([0-9]+)$", 1).try_cast("long")
@@ -339,10 +348,11 @@ def _ats_read(spark: SparkSession, path: str, lines: bool | None = None) -> Data
     return _read(rows, "ats", F.col("record_id"), where[0], F.coalesce(where[1], F.col("_i")), reason, F.col("_raw"))
 
 
-def read_ats_source(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
+def read_ats_source(spark: SparkSession, path: str, lines: bool | str | None = None) -> DataFrame:
     """A3: one JSON document per file, or one a line, which Spark splits.
 
-    ``lines`` says which; None: by name, lines in files named .jsonl or .ndjson.
+    ``lines`` says which; None: by name, lines in files named .jsonl or .ndjson;
+    "arrays": every file is one array, which is split too (``json_arrays.py``).
     """
     return kept(_ats_read(spark, path, lines)).select(*SOURCE_COLUMNS)
 
@@ -482,7 +492,7 @@ def _status(spark: SparkSession, name: str, path: str, kept: DataFrame) -> DataF
     )
 
 
-def load_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026, ats_lines: bool | None = None):
+def load_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026, ats_lines: bool | str | None = None):
     """A7 + U1: all given sources as one ``source_records`` DataFrame, plus ``source_status``.
 
     A missing path or an unreadable file is skipped and the rest goes on;
@@ -505,7 +515,7 @@ def load_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=Non
 # --- one pass over the sources, with what is left out (A7) --------------------------
 
 
-def read_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026, ats_lines: bool | None = None) -> DataFrame:
+def read_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026, ats_lines: bool | str | None = None) -> DataFrame:
     """Every row of the given sources: source_records, its file and place, and why it is left out (null: kept) with its text."""
     readers = [
         (csv, lambda: _csv_read(spark, csv)),
@@ -516,7 +526,7 @@ def read_sources(spark: SparkSession, csv=None, ats=None, resume=None, notes=Non
     return functools.reduce(DataFrame.unionByName, [read() for path, read in readers if path], _empty_read(spark))
 
 
-def write_sources(spark: SparkSession, out: str, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026, ats_lines: bool | None = None) -> tuple[DataFrame, DataFrame]:
+def write_sources(spark: SparkSession, out: str, csv=None, ats=None, resume=None, notes=None, as_of_year: int = 2026, ats_lines: bool | str | None = None) -> tuple[DataFrame, DataFrame]:
     """Read the sources once and write records and rejects side by side; returns (source_records, rejects).
 
     ``rejects``: source, file, place (line of a CSV or JSON Lines file, element of an array),
