@@ -3,6 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and calls one operator over all rows
 that the stage before it kept; all but the last return the columns of
 ``documents``.
+
+Defined results: null texts pass as empty ones and stay null; of rows that
+repeat, whatever their doc_id, near-dedup keeps one; the mix repeats a row as
+often as it takes it; an empty table gives an empty result; columns beside those
+of ``documents`` are carried along up to the last stage.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every SimHash component."""
+    """One row of every SimHash component: the smallest doc_id's, by a total order of its rows."""
     return keep_one(docs)
 
 
