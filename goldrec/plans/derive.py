@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.schemas import fields_struct
+from goldrec.session import spread
 from goldrec.sources.dims import SKILLS, literal_array
 
 # Invented place strings, picked by nation key (25 nations).
@@ -57,7 +58,7 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from goldrec.sources.dims import SOURCE_CONSTANTS
 
     cert = {s: c for s, _, c in SOURCE_CONSTANTS}
-    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    c = spread(_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
     k = F.col("c_custkey")
     ks = k.cast("string")
     email = F.concat(F.lit("customer"), ks, F.lit("@example.com"))
@@ -138,7 +139,7 @@ def customer_records_with_orphans(spark: SparkSession, sf_dir: str) -> DataFrame
     from goldrec.sources.dims import SOURCE_CONSTANTS
 
     cert = {s: c for s, _, c in SOURCE_CONSTANTS}
-    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    c = spread(_table(spark, sf_dir, "customer").select("c_custkey", "c_name"))
     k = F.col("c_custkey")
     phone_tail = F.lpad((k % 10000).cast("string"), 4, "0")
     # odd keys get a phone nobody else has, so they stay apart

@@ -69,6 +69,20 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Rows of a table from which a task derives values many times their size.
+ROWS_A_TASK = 20_000
+
+
+def spread(df: DataFrame, rows: int = ROWS_A_TASK) -> DataFrame:
+    """``df``, a table as it is read, dealt out to tasks of ``rows`` rows at most; a smaller one stays as it is.
+
+    Spark cuts files by bytes and between row groups only, so a well compressed table of
+    millions of rows comes in a few tasks, whatever is derived from its rows.
+    """
+    tasks = -(-df.count() // rows)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def broadcast_if_few(df: DataFrame, most: int = 100_000) -> DataFrame:
     """``df``, which should be cheap to count, marked for broadcast if it has ``most`` rows at most; else as it is."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
