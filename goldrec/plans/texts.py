@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.functions.phones import normalize_phones
+from goldrec.session import spread
 from goldrec.sources.files import extract_notes, extract_resume
 
 AS_OF_YEAR = 2026
@@ -95,7 +96,7 @@ def _blocks(column: str, fields: list[str]):
 
 
 def _texts(spark: SparkSession, sf_dir: str, expression: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.expr(expression).alias("text"))
+    return spread(spark.read.parquet(f"{sf_dir}/customer.parquet")).select("c_custkey", F.expr(expression).alias("text"))
 
 
 def resume_fields(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldrec.plans.derive import customer_records, customer_records_with_orphans
+from goldrec.plans.texts import notes_fields, resume_fields
 from goldrec.session import ROWS_A_TASK
 
 
@@ -25,6 +26,11 @@ def most(df):
     return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
 
 
+@pytest.mark.parametrize("query", [notes_fields, resume_fields])
+def test_texts_are_spread(spark, wide, query):
+    assert query(spark, wide).rdd.getNumPartitions() == 3
+
+
 def test_records_are_spread(spark, wide):
     records = customer_records(spark, wide)
     assert most(records) <= ROWS_A_TASK
