@@ -244,9 +244,16 @@ def resume_extract(spark, sf_dir, as_of_year: int = 2026):
     )
 
 
-def _history_items(spark, sf_dir):
+#: Lines of orders that a task joins and makes items of.
+LINES_A_TASK = 200_000
+
+
+def _history_items(spark, sf_dir, lines=LINES_A_TASK):
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    tasks = -(-li.count() // lines)
+    if tasks > spark.sparkContext.defaultParallelism:  # fewer rows are cut finer by Spark itself
+        li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     src = F.when(F.col("l_linenumber") % 2 == 0, F.lit("ats")).otherwise(F.lit("resume"))
     return j.select(

@@ -4,9 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldrec.plans.derive import customer_records, customer_records_with_orphans
+from goldrec.plans.queries import _history_items
 from goldrec.plans.texts import notes_fields, resume_fields
 from goldrec.session import ROWS_A_TASK
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def wide(spark, tmp_path_factory):
@@ -37,3 +40,10 @@ def test_records_are_spread(spark, wide):
     n = 2 * ROWS_A_TASK + 1
     assert records.select("record_id").distinct().count() == records.count() == sum(-(-n // d) for d in (1, 2, 3, 5))
     assert most(customer_records_with_orphans(spark, wide)) <= ROWS_A_TASK
+
+
+def test_lines_are_spread(spark):
+    cut, whole = _history_items(spark, SF, lines=100), _history_items(spark, SF)
+    n = whole.count()
+    assert cut.rdd.getNumPartitions() >= n // 100
+    assert cut.count() == n and cut.exceptAll(whole).isEmpty()
