@@ -1,9 +1,12 @@
 """Small files of many rows are dealt out to tasks by rows, as what is derived from them is large."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from goldrec.plans.derive import customer_records, customer_records_with_orphans
+from goldrec.plans.jobs import _written
 from goldrec.plans.queries import _history_items
 from goldrec.plans.texts import notes_fields, resume_fields
 from goldrec.session import ROWS_A_TASK
@@ -47,3 +50,15 @@ def test_lines_are_spread(spark):
     n = whole.count()
     assert cut.rdd.getNumPartitions() >= n // 100
     assert cut.count() == n and cut.exceptAll(whole).isEmpty()
+
+
+def test_notes_stand_in_one_folder(spark, tmp_path):
+    rows = [(20, "b"), (20, "a"), (40, "c"), (60, "d"), (7, "e"), (None, "f"), (80, None), (100, None)]
+    df = spark.createDataFrame(rows, "c_custkey bigint, c_name string")
+    df.selectExpr("*", "'x' AS c_mktsegment", "1 AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    folder = _written(spark, str(tmp_path))["notes"]
+    local = folder.removeprefix("file:")
+    assert not [f for f in os.listdir(local) if os.path.isdir(f"{local}/{f}")]
+    texts = sorted(r["value"] for r in spark.read.text(folder, wholetext=True).collect())
+    note = "Name: {}\nc{}@example.org\nSkills: Go\n".format
+    assert texts == sorted([note("a", 20) + note("b", 20), " \n", " \n", note("d", 60), "\n"])
