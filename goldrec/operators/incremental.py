@@ -33,8 +33,8 @@ TABLES = ("values", "skills", "stats")
 
 def _own_states(records: DataFrame, region: str, dictionary: DataFrame | None) -> dict[str, DataFrame]:
     keyed = resolve(records, fallback=False)
-    rows = record_values(keyed, region, dictionary)
-    return {"values": distinct_values(rows), "skills": skill_rows(rows).distinct(), "stats": stats_state(keyed)}
+    values = distinct_values(record_values(keyed, region, dictionary))
+    return {"values": values, "skills": skill_rows(keyed, dictionary).distinct(), "stats": stats_state(keyed)}
 
 
 def add_records(spark: SparkSession, path: str, records: DataFrame, batch: int, region: str = "US", dictionary: DataFrame | None = None) -> None:
@@ -44,9 +44,10 @@ def add_records(spark: SparkSession, path: str, records: DataFrame, batch: int,
 
 
 def _write(state: DataFrame, path: str) -> None:
-    """By buckets, each in a few files: a task of every range of entities of a bucket."""
+    """By buckets, each in a few files.  Buckets are met by a hash, cut where they are large: ranges would be
+    sampled first, which works out the whole state twice."""
     state = state.withColumn("bucket", F.pmod(F.xxhash64("entity_key"), F.lit(BUCKETS)).cast("int"))
-    state.repartitionByRange("bucket", "entity_key").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    state.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def _states(spark: SparkSession, path: str, batch: int | None) -> dict[str, DataFrame]:

@@ -19,7 +19,7 @@ from goldrec.functions.strings import entity_id, py_strip
 from goldrec.operators import claims as C
 from goldrec.operators.confidence import confidence_columns, record_stats
 from goldrec.operators.history import education_key, education_norm, experience_key, experience_norm
-from goldrec.operators.skills import canonical_skills, skill_bonus, skill_sources
+from goldrec.operators.skills import canonical_skills, skill_bonus, skill_items, skill_sources
 from goldrec.schemas import EDUCATION_ITEM, EXPERIENCE_ITEM, GOLDEN
 
 SKILLS_METHOD = "skill_normalizer+fuzzy"
@@ -137,13 +137,13 @@ def merge_records(spark: SparkSession, keyed: DataFrame, region: str = "US", dic
 
     ``dictionary`` (pos, name): the skills dictionary to use in place of the built-in one.
     """
-    rows = record_values(keyed, region, dictionary)
-    return assemble_golden(record_stats(keyed), distinct_values(rows), skill_rows(rows))
+    values = distinct_values(record_values(keyed, region, dictionary))
+    return assemble_golden(record_stats(keyed), values, skill_rows(keyed, dictionary))
 
 
-def skill_rows(rows: DataFrame) -> DataFrame:
-    """entity_key, raw, key (the canonical skill, lower-case), source of the skills among ``record_values``."""
-    return rows.where("part = 'skills'").select("entity_key", "raw", F.col("k1").alias("key"), "source")
+def skill_rows(keyed: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+    """entity_key, raw, key (the canonical skill, lower-case), source of every skill of every record; lists no other value."""
+    return skill_items(keyed.sparkSession, keyed, dictionary).select("entity_key", "raw", F.lower("name").alias("key"), "source")
 
 
 def assemble_golden(stats: DataFrame, values: DataFrame, skills: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from goldrec.operators.incremental import add_records, compact, golden_of
-from goldrec.operators.merge import merge_records
+from goldrec.operators.incremental import BUCKETS, _own_states, _write, add_records, compact, golden_of
+from goldrec.operators.merge import merge_records, record_values
 from goldrec.operators.ranking import ranked
 from goldrec.operators.resolve import resolve
 from goldrec.plans.derive import customer_records
@@ -75,3 +76,29 @@ def test_a_file_stream_updates_golden_rows(spark, tmp_path):
     latest = {r["entity_key"]: (r["batch"], [s["name"] for s in r["skills"]]) for r in rows.orderBy("batch").collect()}
     assert latest == {"ida@x.org": (1, ["Go"]), "olaf@x.org": (0, [])}
     assert rows.where("batch = 1").count() == 1
+
+
+def test_a_state_is_worked_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    state = spark.range(1000).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("entity_key")).repartition(3)
+    _write(state.mapInArrow(pass_on, state.schema), str(tmp_path / "out"))
+    assert seen.value == 1000  # ranges would be sampled first
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.select("entity_key").distinct().count() == out.count() == 1000
+    assert out.where(f"bucket <> pmod(xxhash64(entity_key), {BUCKETS})").isEmpty()
+
+
+def test_skills_list_no_other_value(spark, tmp_path):
+    customer_records(spark, SF).write.parquet(str(tmp_path / "records"))
+    keyed = resolve(spark.read.parquet(str(tmp_path / "records")), fallback=False)
+    state = _own_states(keyed.drop("entity_key"), "US", None)["skills"]
+    plan = state._jdf.queryExecution().optimizedPlan().toString()
+    assert set(re.findall(r"fields#\d+\.(\w+)", plan)) == {"emails", "skills_raw"}  # emails: the key
+    rows = record_values(keyed, "US").where("part = 'skills'").select("entity_key", "raw", F.col("k1").alias("key"), "source").distinct()
+    assert rows.count() == state.count() and rows.exceptAll(state).isEmpty()
