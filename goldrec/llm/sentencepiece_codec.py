@@ -9,8 +9,8 @@ No piece of the usual models joins letters and other characters, or runs on
 over a marker into the next word.  Where that holds (it is checked when the
 model is read), a text's segments - markers and the run of letters or of other
 characters behind them - are encoded apart, so a worker encodes each distinct
-segment once and new segments go to the library's threads together.  Models
-with pieces that cross segments are encoded by whole texts.  The joined ids of
+segment once and new segments go to the library together, as the words of one
+input.  Models with pieces that cross segments are encoded by whole texts.  The joined ids of
 every row are turned back into their pieces' bytes, and every whole text is
 encoded by the ``sentencepiece`` library: ``roundtrip`` and ``parity`` say whether
 they agreed with the text and with the joined ids.  ``decode_documents`` decodes
@@ -23,6 +23,7 @@ matter.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from array import array
@@ -39,6 +40,7 @@ MAX_MODEL_BYTES = 32 << 20
 MARK = "▁"
 CACHE = 200_000  # segments a worker remembers; the cache starts anew beyond
 LEARN = 4096  # segments encoded at a time: the library's own results are many times their ids
+RUN = 1 << 18  # characters (or ids) of the texts that are encoded (decoded) at a time
 
 
 def _kinds(moved: str) -> tuple[str, str]:
@@ -181,15 +183,20 @@ class Codec:
     """One worker's encoder and decoder."""
 
     def __init__(self, data: bytes):
+        import numpy as np
+        import pyarrow as pa
         import sentencepiece
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core: threads cost it time and memory
         self.model = read_model(data)
         # one pipeline is enough: the decoder is the same for segments and whole texts
         self.segments = self.model.segments()
         self.backend = build_tokenizer(self.model, whole_texts=self.segments is None)
         self.other = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.known: dict[str, bytes] = {}  # ids as int32
-        self.bytes_of = [self._bytes(p, t) for p, _, t in self.model.pieces]
+        self.bytes_of = pa.array([self._bytes(p, t) for p, _, t in self.model.pieces], pa.binary())
+        # bytes of a normalised text that a piece takes; the unknown one takes any
+        self.takes = np.array([0 if t == UNKNOWN else 1 if t == BYTE else len(p.encode()) for p, _, t in self.model.pieces], np.int64)
 
     @staticmethod
     def _bytes(piece: str, kind: int) -> bytes:
@@ -198,7 +205,10 @@ class Codec:
 
     def _gives(self, ids, text: str) -> bool:
         """Whether ``ids`` decode to ``text``: their pieces' bytes, joined, without the space of the marker before the text."""
-        joined = b"".join(map(self.bytes_of.__getitem__, ids))
+        import pyarrow as pa
+
+        parts = self.bytes_of.take(pa.array(ids, pa.int32()))
+        joined = parts.buffers()[2].to_pybytes() if len(parts) else b""
         if self.model.dummy_prefix and joined[:1] == b" ":
             joined = joined[1:]
         return joined == text.encode()
@@ -207,6 +217,26 @@ class Codec:
         encode = getattr(self.backend, "encode_batch_fast", self.backend.encode_batch)  # the fast one leaves out offsets
         return [e.ids for e in encode(texts, add_special_tokens=False)]
 
+    def _ids_of(self, segments: list[str]) -> Iterator[bytes]:
+        """ids (int32 bytes) of every segment.
+
+        As words of one input they give one result, which costs less than one a
+        segment; where a segment ends in it follows from the bytes that its pieces
+        take.  Where that does not come out (unknown pieces), each is encoded by itself.
+        """
+        import numpy as np
+
+        encode = getattr(self.backend, "encode_batch_fast", self.backend.encode_batch)
+        (got,) = encode([segments], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(got.ids, np.int32)
+        takes = self.takes[ids]
+        ends, wanted = np.cumsum(takes), np.cumsum([len(s.encode()) for s in segments])
+        cuts = np.searchsorted(ends, wanted)
+        if not len(ids) or not takes.all() or ends[-1] != wanted[-1] or (ends[cuts] != wanted).any():
+            return (array("i", i).tobytes() for i in self._fast(segments))
+        raw, to = ids.tobytes(), ((cuts + 1) * 4).tolist()
+        return (raw[a:b] for a, b in zip([0, *to], to))
+
     def _by_segments(self, texts: list[str]) -> list[bytes]:
         """ids of every text, joined from those of its segments."""
         lead = MARK if self.model.dummy_prefix else ""
@@ -219,21 +249,22 @@ class Codec:
             new = list(wanted)
         for at in range(0, len(new), LEARN):
             part = new[at : at + LEARN]
-            known.update((s, array("i", got).tobytes()) for s, got in zip(part, self._fast(part)))
+            known.update(zip(part, self._ids_of(part)))
         return [b"".join(map(known.__getitem__, c)) for c in cut]
 
     def encode_rows(self, texts: list[str | None]) -> tuple[list[bytes | None], list[bool], list[bool]]:
         """ids (int32 bytes), parity and round trip of every text."""
+        import numpy as np
+
         filled = [t or "" for t in texts]
         if self.segments is None:
             rows = [array("i", g if t else []).tobytes() for t, g in zip(filled, self._fast(filled))]
         else:
             rows = self._by_segments(filled)
         parity, roundtrip = [], []
-        for text, row, other in zip(filled, rows, self.other.encode(filled, num_threads=1)):
-            same = array("i", other).tobytes() == row
-            parity.append(same)
-            roundtrip.append(self._gives(other if same else array("i", row), text))
+        for text, row in zip(filled, rows):  # one by one: a list of texts goes to a thread of its own, whose memory is fetched anew each time
+            parity.append(array("i", self.other.encode(text)).tobytes() == row)
+            roundtrip.append(self._gives(np.frombuffer(row, np.int32), text))
         return [None if t is None else r for t, r in zip(texts, rows)], parity, roundtrip
 
     def encode(self, texts: list[str | None]) -> tuple[list, list[bool]]:
@@ -255,7 +286,7 @@ def model_bytes(path: str = MODEL) -> bytes:
     return data
 
 
-def _rows(batch, at: int, size: int = 1 << 19) -> Iterator[tuple[int, list]]:
+def _rows(batch, at: int, size: int = RUN) -> Iterator[tuple[int, list]]:
     """Runs of rows with about ``size`` characters or ids: (first row, values)."""
     first, held, total = 0, [], 0
     for i, v in enumerate(batch.column(at)):
